@@ -54,3 +54,23 @@ def ordinal(df: DataFrame, by: Sequence[str], order: Sequence[str], bucket: Colu
                          F.when(F.col("__rn") == 1, F.col("__prev_last")["__p"][c])
                          .otherwise(F.lag(c).over(w)))
     return x.drop(b, "__off", "__prev_last", "__rn")
+
+
+def prefix_sums(df: DataFrame, order: Sequence, values: Sequence[str], bucket: Column,
+                by: Sequence[str] = (), suffix: str = "_cum") -> DataFrame:
+    """Inclusive running sums of ``values`` in ``order`` within ``by``.
+
+    Two-level: sums per (group, bucket) are turned into offsets with a window
+    over the small bucket table, joined back, and each bucket is then scanned by
+    its own window task.  ``bucket`` must be non-decreasing along ``order``
+    (pass a decreasing bucket for a descending order)."""
+    by = list(by)
+    b = "__pbucket"
+    x = df.withColumn(b, bucket)
+    agg = x.groupBy(*by, b).agg(*[F.sum(v).alias(f"__s_{v}") for v in values])
+    wb = Window.partitionBy(*by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    agg = agg.select(*by, b, *[F.coalesce(F.sum(f"__s_{v}").over(wb), F.lit(0)).alias(f"__o_{v}") for v in values])
+    x = x.join(agg, on=by + [b], how="inner")
+    w = Window.partitionBy(*by, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumns({f"{v}{suffix}": F.col(f"__o_{v}") + F.sum(v).over(w) for v in values})
+    return x.drop(b, *[f"__o_{v}" for v in values])
