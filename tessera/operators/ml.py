@@ -105,7 +105,7 @@ def train(df: DataFrame, name: str, grid: bool = False, folds: int = 5, seed: in
                                        metricName="areaUnderROC", numBins=0)
     data = df if "fold" in df.columns else fe.stratified_folds(df, "label", "row_id", folds, seed)
     cv = CrossValidator(estimator=est, estimatorParamMaps=default_grid(name, est, n_features), evaluator=ev,
-                        foldCol="fold", parallelism=parallelism, seed=seed)
+                        foldCol="fold", numFolds=folds, parallelism=parallelism, seed=seed)
     return cv.fit(data.withColumn("fold", F.col("fold").cast("int"))).bestModel
 
 
