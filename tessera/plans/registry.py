@@ -21,5 +21,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> dict[str, tuple[Builder, str | None]]:
     # Importing the query modules fills REGISTRY.
-    from tessera.plans import q_allocation, q_evaluate, q_features, q_ml, q_profile, q_timeseries  # noqa: F401
+    from tessera.plans import q_allocation, q_evaluate, q_features, q_forecast, q_ml, q_profile, q_timeseries  # noqa: F401
     return REGISTRY
