@@ -22,5 +22,5 @@ def register(name: str, sql: str | None = None):
 def load_all() -> dict[str, tuple[Builder, str | None]]:
     # Importing the query modules fills REGISTRY.
     from tessera.plans import (q_allocation, q_evaluate, q_features, q_forecast, q_ml, q_profile,  # noqa: F401
-                               q_search, q_streaming, q_timeseries)
+                               q_io, q_search, q_streaming, q_timeseries)
     return REGISTRY
