@@ -277,3 +277,54 @@ def sample_n(df: DataFrame, n: int, seed: int, key: str, by: Sequence[str] = ())
         return x.orderBy("__u", key).limit(n).drop("__u")
     w = Window.partitionBy(*by).orderBy("__u", key)
     return x.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= n).drop("__u", "__r")
+
+
+# Rational approximation of the inverse normal CDF (Acklam),
+# relative error below 1.2e-9.
+_A = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
+      1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00]
+_B = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02,
+      6.680131188771972e+01, -1.328068155288572e+01]
+_C = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00,
+      -2.549671010422968e+00, 4.374664141464968e+00, 2.938163982698783e+00]
+_D = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00]
+P_LOW = 0.02425
+
+
+def _horner(coefs, x):
+    acc = F.lit(coefs[0])
+    for c in coefs[1:]:
+        acc = acc * x + F.lit(c)
+    return acc
+
+
+def inv_norm(p) -> Column:
+    """Inverse standard normal CDF as a native Column expression."""
+    p = _c(p)
+    ql = F.sqrt(-2 * F.log(p))
+    lower = _horner(_C, ql) / (_horner(_D, ql) * ql + 1)
+    q = p - 0.5
+    r = q * q
+    central = _horner(_A, r) * q / (_horner(_B, r) * r + 1)
+    qu = F.sqrt(-2 * F.log(1 - p))
+    upper = -(_horner(_C, qu) / (_horner(_D, qu) * qu + 1))
+    return F.when(p < P_LOW, lower).when(p > 1 - P_LOW, upper).otherwise(central)
+
+
+def qq_points(df: DataFrame, col: str, key: str, bucket: Column | None = None) -> DataFrame:
+    """Ordered sample values against normal quantiles at Filliben
+    positions ((i - 0.3175) / (n + 0.365); ends 1 - 0.5^(1/n) and 0.5^(1/n)).
+    The global rank is skew-safe (``ordering.ordinal``) when ``bucket`` (a
+    monotone function of the value) is given."""
+    from tessera.operators.ordering import ordinal
+    x = df.select(F.col(key), F.col(col).cast("double").alias("sample")).filter(F.col("sample").isNotNull())
+    if bucket is None:
+        x = x.withColumn("i", F.row_number().over(Window.orderBy("sample", key)).cast("bigint"))
+    else:
+        x = ordinal(x, by=[], order=["sample", key], bucket=bucket, name="i").withColumn("i", F.col("i") + 1)
+    n = x.agg(F.count(F.lit(1)).alias("__n"))
+    x = x.crossJoin(F.broadcast(n))  # one row
+    last = F.pow(F.lit(0.5), F.lit(1.0) / F.col("__n"))
+    m = (F.when(F.col("i") == F.col("__n"), last).when(F.col("i") == 1, 1 - last)
+         .otherwise((F.col("i") - 0.3175) / (F.col("__n") + 0.365)))
+    return x.select("i", key, "sample", m.alias("position"), inv_norm(m).alias("theoretical"))

@@ -205,3 +205,53 @@ def split_time(df: DataFrame, order: str = "ds", test_size: float = 0.2, by: Seq
     x = df.withColumn("__rn", F.row_number().over(w)).withColumn("__n", F.count(F.lit(1)).over(wn))
     cut = F.floor(F.col("__n") * F.lit(1.0 - test_size))
     return x.withColumn(out, F.when(F.col("__rn") <= cut, "train").otherwise("test")).drop("__rn", "__n")
+
+
+def decompose(df: DataFrame, y: str, period: int = 365, order: str = "ds", by: Sequence[str] = ()) -> DataFrame:
+    """Additive decomposition.  Trend = centred moving average over
+    ``period`` rows (odd period; even periods use half-weight ends), extended
+    linearly at both ends by least squares over ``period`` trend points;
+    seasonal = mean of the detrended series by position mod period minus the
+    mean of those means; residual = y - trend - seasonal.  Needs >= 2 periods."""
+    by = list(by)
+    w = _w(by, order)
+    x = df.withColumn("__i", F.row_number().over(w) - 1)
+    h = period // 2
+    fr = w.rowsBetween(-h, h)
+    if period % 2:
+        ma = F.when(F.count(y).over(fr) == period, F.avg(y).over(fr))
+    else:
+        full = w.rowsBetween(-h, h)
+        s = F.sum(y).over(full) - (F.first(y).over(full) + F.last(y).over(full)) / 2
+        ma = F.when(F.count(y).over(full) == period + 1, s / period)
+    x = x.withColumn("__ma", ma)
+    wn = Window.partitionBy(*by) if by else Window.partitionBy()
+    x = x.withColumn("__front", F.min(F.when(F.col("__ma").isNotNull(), F.col("__i"))).over(wn)) \
+         .withColumn("__back", F.max(F.when(F.col("__ma").isNotNull(), F.col("__i"))).over(wn))
+    f_lo, f_hi = F.col("__front"), F.least(F.col("__front") + period, F.col("__back"))
+    b_lo, b_hi = F.greatest(F.col("__front"), F.col("__back") - period), F.col("__back")
+    in_f = (F.col("__i") >= f_lo) & (F.col("__i") < f_hi)
+    in_b = (F.col("__i") >= b_lo) & (F.col("__i") < b_hi)
+    fits = x.groupBy(*by).agg(
+        F.regr_slope(F.when(in_f, F.col("__ma")), F.when(in_f, F.col("__i").cast("double"))).alias("__kf"),
+        F.regr_intercept(F.when(in_f, F.col("__ma")), F.when(in_f, F.col("__i").cast("double"))).alias("__nf"),
+        F.regr_slope(F.when(in_b, F.col("__ma")), F.when(in_b, F.col("__i").cast("double"))).alias("__kb"),
+        F.regr_intercept(F.when(in_b, F.col("__ma")), F.when(in_b, F.col("__i").cast("double"))).alias("__nb"))
+    x = x.join(fits, by) if by else x.crossJoin(F.broadcast(fits))  # one row per series
+    i = F.col("__i").cast("double")
+    trend = (F.when(F.col("__i") < F.col("__front"), F.col("__kf") * i + F.col("__nf"))
+             .when(F.col("__i") > F.col("__back"), F.col("__kb") * i + F.col("__nb"))
+             .otherwise(F.col("__ma")))
+    x = x.withColumn("trend", trend).withColumn("__det", F.col(y) - F.col("trend")) \
+         .withColumn("__ph", F.pmod(F.col("__i"), F.lit(period)))
+    seas = x.groupBy(*by, "__ph").agg(F.avg("__det").alias("__pa"))
+    seas = seas.withColumn("seasonal", F.col("__pa") - F.avg("__pa").over(wn)).drop("__pa")
+    x = x.join(seas, by + ["__ph"])
+    return x.withColumn("resid", F.col(y) - F.col("trend") - F.col("seasonal")) \
+        .drop("__i", "__ma", "__front", "__back", "__kf", "__nf", "__kb", "__nb", "__det", "__ph")
+
+
+def ordinal_plain(df: DataFrame, order: str, by: Sequence[str] = (), out: str = "position") -> DataFrame:
+    """0-based position in order (row_number - 1) for calendar-bounded
+    tables; use ``ordering.ordinal`` for unbounded groups."""
+    return df.withColumn(out, (F.row_number().over(_w(by, order)) - 1).cast("bigint"))
