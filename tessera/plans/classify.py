@@ -70,3 +70,27 @@ def explain_linear(spark: SparkSession, d: str, n_rows: int = 200, k: int = 5) -
     sample = pr.sample_n(x.filter(F.col("split") == "test"), n_rows, 42, "row_id")
     phi = xp.linear_shap(sample, model.coefficients.toArray().tolist(), train, names=names)
     return xp.global_importance(phi, k)
+
+
+def explain_sampled(spark: SparkSession, d: str, name: str = "rf", n_rows: int = 50, n_perm: int = 4,
+                    k: int = 5) -> DataFrame:
+    """X2 + X3 for any model: sampled Shapley attributions on a hash sample of
+    test rows, then the top-k mean |phi| features."""
+    x = model_data(spark, d)
+    train = x.filter(F.col("split") == "train")
+    model = ml.train(train, name)
+    names = ml.feature_names(x)
+    sample = pr.sample_n(x.filter(F.col("split") == "test"), n_rows, 42, "row_id")
+    phi = xp.sampled_shapley(sample, model, train, n_perm=n_perm, seed=7, n_features=len(names))
+    nm = F.array(*[F.lit(n) for n in names])
+    phi = phi.withColumn("feature", F.element_at(nm, F.col("feature_index") + 1))
+    return xp.global_importance(phi, k)
+
+
+def model_importance(spark: SparkSession, d: str, name: str = "rf", k: int = 5) -> DataFrame:
+    """Model-native importances (trees) or |coefficients| (linear), top k."""
+    x = model_data(spark, d)
+    model = ml.train(x.filter(F.col("split") == "train"), name)
+    top = xp.model_importance(model, ml.feature_names(x), k)
+    return spark.createDataFrame([(i + 1, n, v) for i, (n, v) in enumerate(top)],
+                                 "rank INT, feature STRING, importance DOUBLE")

@@ -12,3 +12,5 @@ register("t04_mlp_scores")(lambda s, d: classify.fit_and_score(s, d, "mlp"))
 register("t05_grid_search_logreg")(lambda s, d: classify.fit_and_score(s, d, "logreg", grid=True))
 register("t06_leaderboard")(lambda s, d: classify.leaderboard(s, d, ("logreg", "rf")))
 register("x03_linear_importance")(lambda s, d: classify.explain_linear(s, d))
+register("x02_sampled_shapley_importance")(lambda s, d: classify.explain_sampled(s, d, "rf"))
+register("x04_model_importance")(lambda s, d: classify.model_importance(s, d, "rf"))
