@@ -127,35 +127,45 @@ def infeasible_items(consumption: DataFrame, resources: DataFrame, capacity: str
                     F.size("__v").alias("n_violations"))
 
 
-PROFIT_BANDS = 64
+DOMINANCE_BANDS = 24
 
 
 def dominated_pairs(items: DataFrame, consumption: DataFrame, resources: DataFrame,
-                    symmetric: bool = False) -> DataFrame:
+                    symmetric: bool = False, bands: int = DOMINANCE_BANDS) -> DataFrame:
     """Count pairs (i, j), i < j (any order when ``symmetric``), with
     profit_i > profit_j and amount_i <= amount_j on every resource.
 
-    Items are cut into profit bands (quantiles per problem); a pair can only
-    qualify when band_i >= band_j, so each item is replicated to the bands at
-    or below its own and joined on (problem, band) — a band-limited equi-join
-    instead of a cross product.  Amount vectors are dense arrays (m values)."""
-    d = densify(items, resources, consumption)
-    vec = d.groupBy(P, "item").agg(F.first("profit").alias("profit"),
-                                    F.array_sort(F.collect_list(F.struct("resource", "amount"))).alias("__a"))
-    vec = vec.select(P, "item", "profit", F.transform("__a", lambda s: s["amount"]).alias("amounts"))
-    q = vec.groupBy(P).agg(F.percentile_approx("profit", [i / PROFIT_BANDS for i in range(1, PROFIT_BANDS)], 1000)
-                           .alias("__cuts"))
-    vec = vec.join(F.broadcast(q), P)
-    band = F.size(F.filter("__cuts", lambda c: c < F.col("profit")))
-    vec = vec.withColumn("band", band).drop("__cuts")
-    # i side: replicate to every band <= own band
-    a = vec.select(P, F.col("item").alias("i"), F.col("profit").alias("pi"), F.col("amounts").alias("ai"),
-                   F.explode(F.sequence(F.lit(0), F.col("band"))).alias("band"))
-    b = vec.select(P, F.col("item").alias("j"), F.col("profit").alias("pj"), F.col("amounts").alias("aj"), "band")
-    cond = (F.col("pi") > F.col("pj")) & F.forall(F.arrays_zip("ai", "aj"), lambda z: z["ai"] <= z["aj"])
+    Two necessary conditions prune the pairs before they are compared:
+    profit_i > profit_j and total_i <= total_j (sum of amounts).  Items get a
+    profit band and a total band (quantile cuts per problem); item i is
+    replicated to the (profit band <= own, total band >= own) cells and joined
+    on (problem, cell) — a band-limited equi-join instead of a cross product.
+    Amounts are plain columns (one per resource), so the residual predicate
+    stays in generated code."""
+    rids = [r["resource"] for r in resources.select("resource").distinct().orderBy("resource").collect()]
+    wide = (densify(items, resources, consumption).groupBy(P, "item")
+            .pivot("resource", rids).agg(F.first("amount")))
+    acols = [f"a{k}" for k in range(len(rids))]
+    wide = wide.toDF(P, "item", *acols).join(items.select(P, "item", "profit"), [P, "item"])
+    wide = wide.withColumn("total", sum((F.col(c) for c in acols), F.lit(0)))
+    probs = [i / bands for i in range(1, bands)]
+    q = wide.groupBy(P).agg(F.percentile_approx("profit", probs, 10000).alias("__cp"),
+                            F.percentile_approx("total", probs, 10000).alias("__ct"))
+    wide = wide.join(F.broadcast(q), P)  # (bands - 1) cut values per problem
+    wide = wide.withColumn("bp", F.size(F.filter("__cp", lambda c: c < F.col("profit")))) \
+               .withColumn("bt", F.size(F.filter("__ct", lambda c: c < F.col("total")))).drop("__cp", "__ct")
+    a = wide.select(P, F.col("item").alias("i"), F.col("profit").alias("pi"), *[F.col(c).alias(f"i_{c}") for c in acols],
+                    F.explode(F.sequence(F.lit(0), F.col("bp"))).alias("bp"),
+                    F.col("bt").alias("__bt0"))
+    a = a.select("*", F.explode(F.sequence(F.col("__bt0"), F.lit(bands - 1))).alias("bt")).drop("__bt0")
+    b = wide.select(P, F.col("item").alias("j"), F.col("profit").alias("pj"), *[F.col(c).alias(f"j_{c}") for c in acols],
+                    "bp", "bt")
+    cond = F.col("pi") > F.col("pj")
+    for c in acols:
+        cond = cond & (F.col(f"i_{c}") <= F.col(f"j_{c}"))
     if not symmetric:
         cond = cond & (F.col("i") < F.col("j"))
-    pairs = a.join(b, [P, "band"]).filter(cond)
+    pairs = a.join(b, [P, "bp", "bt"]).filter(cond)
     n = pairs.groupBy(P).agg(F.count(F.lit(1)).alias("dominated_pairs"))
     return items.select(P).distinct().join(n, P, "left").fillna(0, ["dominated_pairs"])
 
