@@ -282,9 +282,10 @@ def greedy_select(items: DataFrame, consumption: DataFrame, resources: DataFrame
     because capacities only shrink.  The driver holds only the loop state."""
     from tessera.session import checkpoint
 
-    res = resources.select(P, "resource", "name", F.col("capacity").cast("bigint").alias("capacity"))
+    # inputs are rescanned every round: materialize them once (reliable checkpoint)
+    res = checkpoint(resources.select(P, "resource", "name", F.col("capacity").cast("bigint").alias("capacity")))
     todo = items.select(P, "item", "profit")
-    cons = consumption.select(P, "item", "resource", "amount")
+    cons = checkpoint(consumption.select(P, "item", "resource", "amount"))
     chosen = None
     rnd = 0
     while True:
