@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import np_round, np_round_sql
 from tessera.operators import features as fe
 from tessera.operators import timeseries as ts
+from tessera.session import checkpoint
 from tessera.sources import fixtures as fx
 
 TARGET = "total_load_actual"
@@ -36,7 +37,11 @@ def weather_daily(spark: SparkSession, d: str) -> DataFrame:
 def merged_calendar(spark: SparkSession, d: str) -> DataFrame:
     e = energy_daily(spark, d)
     x = ts.merge_daily(e, weather_daily(spark, d), "time")
-    x = ts.holiday_flag(x, fx.holidays(spark, e, "time"), "time")
+    # The merged table has one row per day (bounded by the calendar, not by the
+    # raw volume).  Materialize it once so the statistics, holiday span and
+    # windows below do not rescan the raw tables.
+    x = checkpoint(x)
+    x = ts.holiday_flag(x, fx.holidays(spark, x, "time"), "time")
     return ts.calendar_features(x, "time", season="date")
 
 
