@@ -328,3 +328,8 @@ def qq_points(df: DataFrame, col: str, key: str, bucket: Column | None = None) -
     m = (F.when(F.col("i") == F.col("__n"), last).when(F.col("i") == 1, 1 - last)
          .otherwise((F.col("i") - 0.3175) / (F.col("__n") + 0.365)))
     return x.select("i", key, "sample", m.alias("position"), inv_norm(m).alias("theoretical"))
+
+
+def short_label(c, n: int = 20) -> Column:
+    """First ``n`` characters of a label."""
+    return F.substring(_c(c), 1, n)

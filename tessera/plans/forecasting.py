@@ -70,6 +70,7 @@ def run_all(spark: SparkSession, d: str) -> DataFrame:
         w = test.select("ds").withColumn("step", F.row_number().over(Window.orderBy("ds")))
         return b.drop("ds").join(w, "step")
     add("bootstrap_paths", boot)
+    add("differenced_arx", lambda: arx_test(x))
     long = preds[0]
     for p in preds[1:]:
         long = long.unionByName(p)
@@ -84,3 +85,27 @@ def overlay(spark: SparkSession, d: str, last: int = 60) -> DataFrame:
     f = forecast_horizon(spark, d).select(F.col("Date").alias("ds"), F.col("Predicted_Load_MW").alias("value"),
                                           F.lit("forecast").alias("kind"))
     return tail.unionByName(f)
+
+
+def arx_test(x: DataFrame) -> DataFrame:
+    """G5 on the test period (recursive, exogenous weather known)."""
+    train, test = x.filter(F.col("split") == "train"), x.filter(F.col("split") == "test")
+    ex = ["temp", "humidity", "is_weekend"]
+    m = fc.fit_arx(train, "ds", "y", ex)
+    p = fc.forecast_arx(m, train, test, "ds", ex)
+    return p.join(test.select("ds", "y"), "ds").select("ds", "y", "yhat", "yhat_lower", "yhat_upper", "step")
+
+
+def refit_best(spark: SparkSession, d: str) -> DataFrame:
+    """Pick the grid point with the lowest mean CV RMSE (first on ties),
+    refit on all training rows and forecast the test rows."""
+    x = series(spark, d)
+    grid = [{"ridge": r, "yearly_order": o} for r in (1e-6, 1e-2) for o in (5, 10)]
+    cv = fc.rolling_origin_cv(x, grid, "ds", "y", REGRESSORS)
+    best = cv.orderBy("mean_rmse", "grid_index").first()["grid_index"]  # one number
+    g = grid[best]
+    seasons = tuple((n, p, g.get(f"{n}_order", o)) for n, p, o in fc.SEASONS)
+    train, test = x.filter(F.col("split") == "train"), x.filter(F.col("split") == "test")
+    m = fc.fit_seasonal(train, "ds", "y", REGRESSORS, ridge=g["ridge"], seasons=seasons)
+    return fc.forecast_seasonal(m, test, "ds", REGRESSORS, seasons=seasons) \
+        .select("ds", "y", "yhat", "yhat_lower", "yhat_upper").withColumn("grid_index", F.lit(best))

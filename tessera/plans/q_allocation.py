@@ -305,3 +305,9 @@ def k24(spark, d):
             F.sum("profit").alias("profit"), F.count(F.lit(1)).alias("n_selected"), F.lit(0.0).alias("seconds"))
     out = al.compare_solutions(summ(al.prefix_greedy(i, c, r)), summ(al.greedy_select(i, c, r)))
     return _round(out)
+
+
+@register("p24_short_label", WA + "x AS (SELECT 1) SELECT problem, resource, substring(name, 1, 15) AS short_name FROM resources")
+def p24(spark, d):
+    _, _, r = _alloc(spark, d)
+    return r.select("problem", "resource", pr.short_label("name", 15).alias("short_name"))

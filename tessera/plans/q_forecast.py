@@ -87,3 +87,14 @@ register("g07_forecast_bootstrap")(g07)
 register("g08_forecast_horizon")(lambda s, d: forecasting.forecast_horizon(s, d, 30))
 register("g09_run_all")(lambda s, d: forecasting.run_all(s, d))
 register("g10_overlay")(lambda s, d: forecasting.overlay(s, d))
+register("g04_refit_best")(lambda s, d: forecasting.refit_best(s, d))
+register("g05_arx_test")(lambda s, d: forecasting.arx_test(forecasting.series(s, d)))
+
+
+def x05(spark, d):
+    x = forecasting.series(spark, d)
+    m = fc.fit_seasonal(x.filter(F.col("split") == "train"), "ds", "y", forecasting.REGRESSORS)
+    return fc.regressor_importance(m, forecasting.REGRESSORS)
+
+
+register("x05_regressor_importance")(x05)
