@@ -150,3 +150,16 @@ def e11(spark, d):
     m = ev.forecast_metrics(predictions(spark, d)).drop("n")
     m = m.withColumns({c: np_round(c, 4) for c in ("MAE", "RMSE", "MAPE", "R2")})
     return ev.metrics_long(m)
+
+
+@register("e10_residual_histogram", PRED_SQL + f"""r AS (SELECT model, actual - pred AS res FROM preds),
+st AS (SELECT model, min(res) AS mn, max(res) AS mx FROM r GROUP BY 1),
+c AS (SELECT r.model, CAST(CASE WHEN mx = mn THEN 0 ELSE least(floor((res - mn) / (mx - mn) * 20), 19) END AS INT) AS bin, count(*) AS n
+  FROM r JOIN st ON r.model = st.model GROUP BY 1, 2),
+sp AS (SELECT model, CAST(range AS INT) AS bin, mn, mx FROM st, range(0, 20))
+SELECT sp.model, sp.bin, {R('mn + (mx - mn) * sp.bin / 20', 4)} AS lo, {R('mn + (mx - mn) * (sp.bin + 1) / 20', 4)} AS hi,
+  CAST(COALESCE(n, 0) AS BIGINT) AS n FROM sp LEFT JOIN c ON sp.model = c.model AND sp.bin = c.bin""")
+def e10h(spark, d):
+    from tessera.operators import profile as pr
+    r = ev.residuals(predictions(spark, d))
+    return _round(pr.histogram(r, "residual", 20, by=["model"]), 4)

@@ -110,3 +110,20 @@ def s12(spark, d):
     path = scratch(spark, "metrics-log")
     io.log_metrics(m, "run-1", path)
     return spark.read.parquet(path).filter(F.col("run_id") == "run-1").select("model", "key", "value")
+
+
+@register("p19_problem_summary_declared", WA + f"""SELECT i.problem, n_items, {R('avg_profit', 6)} AS avg_profit, max_profit, n_resources,
+  CAST(total_capacity AS BIGINT) AS total_capacity, 'Unknown' AS optimal_value
+FROM (SELECT problem, count(*) AS n_items, avg(profit * 1000) AS avg_profit, max(profit * 1000) AS max_profit FROM items GROUP BY 1) i
+JOIN (SELECT problem, count(*) AS n_resources, sum(capacity) AS total_capacity FROM resources GROUP BY 1) r ON i.problem = r.problem""")
+def p19(spark, d):
+    """A21 + P19 on instances scanned back from the text format (optimum 0 -> 'Unknown')."""
+    items, cons, res = _alloc(spark, d)
+    path = scratch(spark, "instances-p19")
+    io.write_instances_text(items, res, cons, path)
+    probs, it, rs, _cs = io.scan_instances(spark, path)
+    from tessera.operators.allocation import problem_summary
+    s = problem_summary(it.withColumn("problem", F.col("problem").cast("int")),
+                        rs.withColumn("problem", F.col("problem").cast("int")),
+                        probs.withColumn("problem", F.col("problem").cast("int")))
+    return s.withColumn("avg_profit", np_round("avg_profit", 6)).withColumn("total_capacity", F.col("total_capacity").cast("bigint"))
