@@ -51,8 +51,10 @@ def value_counts(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     """A3: count and share of each value (share within the ``by`` group)."""
     by = list(by)
     c = df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(*by) if by else Window.partitionBy()
-    return c.withColumn("share", F.col("n") / F.sum("n").over(w))
+    # group totals as a separate aggregate (no window over all distinct values)
+    tot = c.groupBy(*by).agg(F.sum("n").alias("__tot"))
+    x = c.join(tot, by) if by else c.crossJoin(F.broadcast(tot))  # one total row
+    return x.withColumn("share", F.col("n") / F.col("__tot")).drop("__tot")
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -120,11 +122,16 @@ def summary(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), approx:
     )
 
 
-def iqr_outliers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def _quantiles(x: Column, probs: Sequence[float], approx: bool) -> Column:
+    arr = F.array(*[F.lit(p) for p in probs])
+    return F.percentile_approx(x, arr, 10000) if approx else F.percentile(x, arr)
+
+
+def iqr_outliers(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """Values strictly outside Q1 - 1.5 IQR / Q3 + 1.5 IQR, per column.
-    Two passes: quantiles (one aggregate), then one conditional-count aggregate."""
-    q = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.75))).alias(c)
-                 for c in cols])
+    Two passes: quantiles (one aggregate), then one conditional-count aggregate.
+    ``approx=True`` bounds the quantile buffers for continuous columns."""
+    q = df.agg(*[_quantiles(F.col(c).cast("double"), (0.25, 0.75), approx).alias(c) for c in cols])
     x = df.crossJoin(F.broadcast(q.select(*[F.col(c).alias(f"__q_{c}") for c in cols])))  # one row
     aggs = []
     for c in cols:
@@ -170,11 +177,11 @@ def histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ()) -> Dat
                       F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
-def box_stats(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
+def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), approx: bool = False) -> DataFrame:
     """Quartiles, whiskers (extreme values inside 1.5 IQR) and outlier count."""
     by = list(by)
     x = F.col(col).cast("double")
-    q = df.groupBy(*by).agg(F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("__q"))
+    q = df.groupBy(*by).agg(_quantiles(x, (0.25, 0.5, 0.75), approx).alias("__q"))
     d = df.select(*by, x.alias("__x"))
     d = d.join(q, on=by, how="inner") if by else d.crossJoin(F.broadcast(q))
     q1, med, q3 = F.col("__q")[0], F.col("__q")[1], F.col("__q")[2]
@@ -215,19 +222,29 @@ def reindex(agg: DataFrame, key: str, domain: Sequence[str]) -> DataFrame:
 SQRT_2PI = math.sqrt(2 * math.pi)
 
 
-def kde(df: DataFrame, col: str, grid: int = 1000, by: Sequence[str] = ()) -> DataFrame:
+def kde(df: DataFrame, col: str, grid: int = 1000, by: Sequence[str] = (), bins: int | None = None) -> DataFrame:
     """Gaussian kernel density with Scott's bandwidth (std * n^-1/5) on a
     grid over [min - range/2, max + range/2].
 
     Data are first reduced to (value, multiplicity); each distinct value is
     expanded against the ``grid`` points and summed per grid point, so the
-    shuffle carries one partial sum per grid point and task."""
+    shuffle carries one partial sum per grid point and task.  For continuous
+    columns at scale pass ``bins`` (binned KDE, error below one bin width)."""
     by = list(by)
     x = F.col(col).cast("double")
     base = df.select(*by, x.alias("__x")).filter(F.col("__x").isNotNull())
     st = base.groupBy(*by).agg(F.min("__x").alias("__mn"), F.max("__x").alias("__mx"),
                                F.count(F.lit(1)).alias("__n"), F.stddev_samp("__x").alias("__sd"))
     st = st.withColumn("__h", F.col("__sd") * F.pow(F.col("__n").cast("double"), F.lit(-0.2)))
+    if bins:
+        # pre-bin to bin centres: at most ``bins`` distinct values per group, so
+        # the grid expansion is bounded by bins * grid whatever the row count
+        mm = base.groupBy(*by).agg(F.min("__x").alias("__a"), F.max("__x").alias("__b"))
+        base = base.join(F.broadcast(mm), by) if by else base.crossJoin(F.broadcast(mm))
+        wdt = (F.col("__b") - F.col("__a")) / bins
+        k = F.least(F.floor((F.col("__x") - F.col("__a")) / wdt), F.lit(bins - 1))
+        base = base.withColumn("__x", F.when(wdt > 0, F.col("__a") + (k + 0.5) * wdt).otherwise(F.col("__x"))) \
+                   .drop("__a", "__b")
     vc = base.groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__c"))
     vc = vc.join(F.broadcast(st), on=by, how="inner") if by else vc.crossJoin(F.broadcast(st))
     rng = F.col("__mx") - F.col("__mn")
