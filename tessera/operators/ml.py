@@ -30,10 +30,9 @@ NUM_COLS = ["acctbal", "total", "campaign", "pdays", "previous", "day_of_week",
 def one_hot_stages(cats: Sequence[str]) -> list:
     """M3: alphabetical indexer keeping unseen values + one-hot dropping the
     'unseen' slot, so unseen categories become all-zero vectors."""
-    stages = []
-    for c in cats:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep",
-                                    stringOrderType="alphabetAsc"))
+    # one multi-column indexer: a single pass over the data for all columns
+    stages = [StringIndexer(inputCols=list(cats), outputCols=[f"{c}__idx" for c in cats], handleInvalid="keep",
+                            stringOrderType="alphabetAsc")]
     stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in cats], outputCols=[f"{c}__oh" for c in cats],
                                 dropLast=True, handleInvalid="keep"))
     return stages

@@ -100,7 +100,11 @@ def m03(spark, d):
     from tessera.operators.ml import one_hot_stages
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
-    c = fe.split_stratified(fx.campaign(spark, d), "y", "row_id", 0.2, 0.2, 42)
+    from tessera.session import checkpoint
+    # fitting on the train rows and encoding all rows reads the input twice:
+    # materialize the split table once
+    c = checkpoint(fe.split_stratified(fx.campaign(spark, d), "y", "row_id", 0.2, 0.2, 42)
+                   .select("row_id", "split", *_CATS))
     model = Pipeline(stages=one_hot_stages(_CATS)).fit(c.filter(F.col("split") == "train"))
     x = model.transform(c)
     # active slot of each one-hot vector (NULL when the category is unseen -> all zeros)
