@@ -132,7 +132,7 @@ def best_f1_threshold(df: DataFrame, label: str = "label", score: str = "score",
     lower = j.agg(F.max(F.when(F.col("threshold") < F.col("b.s"), F.col("threshold"))).alias("lower"),
                   F.first("b").alias("b"))
     chosen = F.col("b.s") if offset == 0 else F.coalesce(F.col("lower"), F.lit(0.5))
-    return lower.crossJoin(area).select(
+    return lower.crossJoin(area).select(  # one-row side
         F.greatest(F.lit(0.0), F.least(F.lit(1.0), chosen)).alias("threshold"),
         F.greatest(F.col("b.f1"), F.lit(0.0)).alias("best_f1"), "pr_auc")
 

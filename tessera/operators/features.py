@@ -159,7 +159,7 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
     """M9: class weight n / (k * n_c)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
     tot = counts.agg(F.sum("__nc").alias("__n"), F.count(F.lit(1)).alias("__k"))
-    w = counts.crossJoin(F.broadcast(tot)).select(
+    w = counts.crossJoin(F.broadcast(tot)).select(  # one-row side
         label, (F.col("__n") / (F.col("__k") * F.col("__nc"))).alias(out))
     return df.join(F.broadcast(w), on=label, how="inner")  # one row per class
 

@@ -119,7 +119,7 @@ def fit_seasonal(train: DataFrame, ds: str = "ds", y: str = "y", regressors: Seq
         coef = coef.withColumn("__k", F.from_json("__series", f"struct<{schema}>")).select("*", "__k.*").drop("__k")
     coef = coef.drop("__series")
     if stats is not None:
-        coef = coef.join(stats, by) if by else coef.crossJoin(stats)
+        coef = coef.join(stats, by) if by else coef.crossJoin(stats)  # one-row side
     return coef
 
 
@@ -309,7 +309,7 @@ def fit_arx(train: DataFrame, ds: str = "ds", y: str = "y", exog: Sequence[str]
         F.transform(F.array_sort(F.collect_list(F.struct(ds, F.col(y).cast("double").alias("v")))), lambda s: s["v"]).alias("ys"),
         F.transform(F.array_sort(F.collect_list(F.struct(ds, F.coalesce("__z", F.lit(0.0)).alias("v")))), lambda s: s["v"]).alias("zs"),
         F.transform(F.array_sort(F.collect_list(F.struct(ds, F.coalesce("__e", F.lit(0.0)).alias("v")))), lambda s: s["v"]).alias("es"))
-    return s2.join(st, by) if by else s2.crossJoin(st)
+    return s2.join(st, by) if by else s2.crossJoin(st)  # one-row side
 
 
 def forecast_arx(model: DataFrame, history: DataFrame, future: DataFrame, ds: str = "ds", exog: Sequence[str] = (),

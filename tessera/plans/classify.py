@@ -53,9 +53,9 @@ def leaderboard(spark: SparkSession, d: str, names=("logreg", "rf", "gbt", "mlp"
         thr = ev.best_f1_threshold(val)
         t = float(thr.first()["threshold"])  # one number decides the test predicate
         r = (ev.roc_auc(val).withColumnRenamed("auc", "val_auc")
-             .crossJoin(thr.select(F.col("pr_auc").alias("val_pr_auc"), "threshold"))
-             .crossJoin(ev.roc_auc(test).withColumnRenamed("auc", "test_auc"))
-             .crossJoin(ev.classification_metrics(test, t).select("f1", "precision", "recall", "accuracy"))
+             .crossJoin(thr.select(F.col("pr_auc").alias("val_pr_auc"), "threshold"))  # one-row side
+             .crossJoin(ev.roc_auc(test).withColumnRenamed("auc", "test_auc"))  # one-row side
+             .crossJoin(ev.classification_metrics(test, t).select("f1", "precision", "recall", "accuracy"))  # one-row side
              .withColumn("model", F.lit(n)))
         rows = r if rows is None else rows.unionByName(r)
     return rows
