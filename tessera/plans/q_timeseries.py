@@ -126,3 +126,36 @@ def a20(spark, d):
     q = pr.qq_points(fx.campaign(spark, d), "total", "row_id", bucket=F.floor(F.col("sample") / 10000))
     return q.select("i", "row_id", "sample", np_round("position", 8).alias("position"),
                     np_round("theoretical", 6).alias("theoretical"))
+
+
+# ------------------------------------------------- many series at once (by=)
+def _priority_daily(spark, d):
+    from tessera.sources.tables import table
+    o = table(spark, d, "orders").select(F.col("o_orderpriority").alias("series"), "o_orderdate", "o_totalprice")
+    return ts.resample_daily_mean(o, F.to_date("o_orderdate"), "o_totalprice", out_day="ds", by=["series"])
+
+
+PRI_SQL = f"""WITH pd AS (SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) AS ds,
+  {R('avg(o_totalprice)', 0)} AS o_totalprice FROM orders GROUP BY 1, 2 HAVING avg(o_totalprice) IS NOT NULL)
+"""
+
+register("a01_resample_by_series", PRI_SQL + "SELECT * FROM pd")(_priority_daily)
+
+
+@register("w02_rolling_by_series", PRI_SQL + "SELECT series, ds, o_totalprice, " + ", ".join(
+    f"{R(f'CASE WHEN count(o_totalprice) OVER w = 7 THEN {fn}(o_totalprice) OVER w END', 4)} AS o_totalprice_rolling_{nm}_7"
+    for fn, nm in (("avg", "mean"), ("stddev_samp", "std")))
+    + " FROM pd WINDOW w AS (PARTITION BY series ORDER BY ds ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)")
+def w02s(spark, d):
+    x = ts.add_rolling(_priority_daily(spark, d), "o_totalprice", [7], "ds", by=["series"])
+    return x.withColumns({c: np_round(c, 4) for c in x.columns if "rolling" in c})
+
+
+def g01s(spark, d):
+    """G1 for every series in one set of jobs (Gram sums keyed by series)."""
+    from tessera.operators import forecast as fc
+    m = fc.fit_seasonal(_priority_daily(spark, d), "ds", "o_totalprice", by=["series"])
+    return m.select("series", "n", np_round("sigma", 4).alias("sigma"))
+
+
+register("g01_fit_seasonal_by_series")(g01s)
