@@ -98,3 +98,43 @@ def x05(spark, d):
 
 
 register("x05_regressor_importance")(x05)
+
+
+# ------------------------------------------------------------- Gram sums (D*)
+def _design_sql_terms():
+    import math as _m
+    t = "CAST(date_diff('day', DATE '1970-01-01', ds) AS DOUBLE)"
+    terms = ["1.0::DOUBLE", f"{t} / {365.25 * 30!r}::DOUBLE"]
+    for _n, period, order in fc.SEASONS:
+        for k in range(1, order + 1):
+            c = repr(2.0 * _m.pi * k / period)
+            terms += [f"sin({c}::DOUBLE * {t})", f"cos({c}::DOUBLE * {t})"]
+    return terms
+
+
+def _gram_sql():
+    terms = _design_sql_terms()
+    p = len(terms)
+    sel = ", ".join(f"{t} AS f{i}" for i, t in enumerate(terms))
+    sums = ", ".join(f"sum(f{i} * f{j}) AS g_{i}_{j}" for i in range(p) for j in range(i, p))
+    cols = ", ".join(f"g_{i}_{j}" for i in range(p) for j in range(i, p))
+    return PRI + f""", x AS (SELECT series, {sel} FROM pd),
+s AS (SELECT series, {sums} FROM x GROUP BY series),
+u AS (SELECT * FROM (UNPIVOT s ON {cols} INTO NAME k VALUE v))
+SELECT series, CAST(split_part(k, '_', 2) AS INT) AS i, CAST(split_part(k, '_', 3) AS INT) AS j, {R('v', 6)} AS value FROM u"""
+
+
+PRI = """WITH pd AS (SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) AS ds,
+  avg(o_totalprice) AS o_totalprice FROM orders GROUP BY 1, 2 HAVING avg(o_totalprice) IS NOT NULL)"""
+
+
+@register("g01_gram_sums", _gram_sql())
+def g01g(spark, d):
+    """X'X of the seasonal design per series, from the distributed Gram sums."""
+    from tessera.plans.q_timeseries import _priority_daily
+    x = fc.design(_priority_daily(spark, d), "ds", [], None, ["series"])
+    g = fc.gram_sums(x, "o_totalprice", ["series"])
+    p = len(_design_sql_terms())
+    out = g.select(F.get_json_object("__series", "$.series").alias("series"), F.posexplode("g").alias("pos", "v"))
+    out = out.select("series", (F.col("pos") / p).cast("int").alias("i"), F.pmod("pos", F.lit(p)).cast("int").alias("j"), "v")
+    return out.filter(F.col("i") <= F.col("j")).select("series", "i", "j", np_round("v", 6).alias("value"))
