@@ -158,3 +158,19 @@ def test_smote_count_and_segments(spark):
     n_min = emb.filter(F.col("label") == 5).count()
     assert s.count() == emb.count() - 2 * n_min
     assert s.filter((F.col("gap") < 0) | (F.col("gap") >= 1)).count() == 0
+
+
+def test_approximate_paths_close_to_exact(spark):
+    from tessera.operators import profile as pr
+    from tessera.sources import fixtures as fx
+    c = fx.campaign(spark, SF_SMALL).cache()
+    ex = {r["column_name"]: r for r in pr.summary(c, ["total", "campaign"]).collect()}
+    ap = {r["column_name"]: r for r in pr.summary(c, ["total", "campaign"], approx=True).collect()}
+    for k in ex:
+        rng = ex[k]["range"]
+        for q in ("q1", "median", "q3"):
+            assert abs(ex[k][q] - ap[k][q]) <= 0.01 * rng
+    exact = {r["grid_index"]: r["density"] for r in pr.kde(c, "total", grid=200).collect()}
+    binned = {r["grid_index"]: r["density"] for r in pr.kde(c, "total", grid=200, bins=2000).collect()}
+    peak = max(exact.values())
+    assert max(abs(exact[g] - binned[g]) for g in exact) <= 0.01 * peak
