@@ -174,3 +174,24 @@ def test_approximate_paths_close_to_exact(spark):
     binned = {r["grid_index"]: r["density"] for r in pr.kde(c, "total", grid=200, bins=2000).collect()}
     peak = max(exact.values())
     assert max(abs(exact[g] - binned[g]) for g in exact) <= 0.01 * peak
+
+
+def test_skew_safe_ordinal_and_prefix_sums_equal_plain_windows(spark):
+    from pyspark.sql import Window
+    from tessera.operators.ordering import ordinal, prefix_sums
+    from tessera.sources.tables import table
+    # make one customer hold a third of the orders (a hot group)
+    o = table(spark, SF_SMALL, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice")
+    o = o.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(-1)).otherwise(F.col("o_custkey"))) \
+         .withColumn("o_day", F.to_date("o_orderdate"))
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    plain = o.select("o_orderkey", (F.row_number().over(w) - 1).alias("p"), F.lag("o_orderstatus").over(w).alias("ps"),
+                     F.sum("o_totalprice").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cs"))
+    a = ordinal(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.col("o_day"), name="q", prev=["o_orderstatus"])
+    b = prefix_sums(o, ["o_orderdate", "o_orderkey"], ["o_totalprice"], F.col("o_day"), by=["o_custkey"])
+    j = plain.join(a.select("o_orderkey", "q", "prev_o_orderstatus"), "o_orderkey").join(
+        b.select("o_orderkey", "o_totalprice_cum"), "o_orderkey")
+    assert j.count() == o.count()
+    bad = j.filter((F.col("p") != F.col("q")) | ~F.col("ps").eqNullSafe(F.col("prev_o_orderstatus"))
+                   | (F.abs(F.col("cs") - F.col("o_totalprice_cum")) > 1e-6 * F.abs(F.col("cs"))))
+    assert bad.count() == 0
