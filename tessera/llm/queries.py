@@ -42,3 +42,15 @@ def op5_virtual_slot_shards(spark, sf_dir):
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                       F.col("position").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
                       "virtual_slot", "map_version")
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op8_histogram_packing")
+def op8_histogram_packing(spark, sf_dir):
+    from tessera.llm.packing import pack_documents
+    packed = pack_documents(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
