@@ -54,3 +54,9 @@ def op8_histogram_packing(spark, sf_dir):
     from tessera.llm.packing import pack_documents
     packed = pack_documents(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query("op3_quality_discriminant")
+def op3_quality_discriminant(spark, sf_dir):
+    from tessera.llm.quality import score_quality
+    return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
