@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.session import is_local, ship_package
+
 _FOLDERS: dict[str, str] = {}
 
 
@@ -20,9 +22,10 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if sc.applicationId in _FOLDERS:
         return _FOLDERS[sc.applicationId]
+    ship_package(spark)
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        if not is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="tessera-llm-")
     folder = f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"

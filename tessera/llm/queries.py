@@ -60,3 +60,9 @@ def op8_histogram_packing(spark, sf_dir):
 def op3_quality_discriminant(spark, sf_dir):
     from tessera.llm.quality import score_quality
     return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op2_toxicity_nnpu")
+def op2_toxicity_nnpu(spark, sf_dir):
+    from tessera.llm.toxicity import score_toxicity
+    return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
