@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -40,20 +41,51 @@ def get_spark(app: str = "tessera", master: str | None = None,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, so that its functions can be
+    unpickled there wherever the driver was started from."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(root):  # else it came as an archive and is on the workers already
+        path = os.path.join(tempfile.mkdtemp(prefix="tessera-code-"), "tessera.zip")
+        with zipfile.ZipFile(path, "w") as z:
+            for folder, _, names in os.walk(root):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
+        sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
+def is_local(spark: SparkSession) -> bool:
+    """Executors are threads of the driver, so that its temporary folders are theirs too."""
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (local tests) create a private scratch folder."""
+    """Use the cluster's shared ``spark.checkpoint.dir``; only a local master may leave it unset and
+    then gets a private scratch folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-", dir="/tmp")
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
@@ -61,4 +93,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint(df):
     """Cut lineage with a reliable checkpoint (never localCheckpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
+    ship_package(df.sparkSession)
     return df.checkpoint(eager=True)
