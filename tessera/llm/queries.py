@@ -66,3 +66,9 @@ def op3_quality_discriminant(spark, sf_dir):
 def op2_toxicity_nnpu(spark, sf_dir):
     from tessera.llm.toxicity import score_toxicity
     return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op4_projection_forest")
+def op4_projection_forest(spark, sf_dir):
+    from tessera.llm.embedding_dedup import near_vectors
+    return near_vectors(read(spark, sf_dir, "embeddings"))
