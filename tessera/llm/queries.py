@@ -72,3 +72,9 @@ def op2_toxicity_nnpu(spark, sf_dir):
 def op4_projection_forest(spark, sf_dir):
     from tessera.llm.embedding_dedup import near_vectors
     return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+@query("op7_order_minhash")
+def op7_order_minhash(spark, sf_dir):
+    from tessera.llm.order_minhash import near_copies
+    return near_copies(read(spark, sf_dir, "documents")).drop("node")
