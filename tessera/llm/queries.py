@@ -78,3 +78,10 @@ def op4_projection_forest(spark, sf_dir):
 def op7_order_minhash(spark, sf_dir):
     from tessera.llm.order_minhash import near_copies
     return near_copies(read(spark, sf_dir, "documents")).drop("node")
+
+
+@query("op6_capture_index")
+def op6_capture_index(spark, sf_dir):
+    from tessera.llm.warc import archive_and_read
+    back = archive_and_read(read(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
