@@ -85,3 +85,9 @@ def op6_capture_index(spark, sf_dir):
     from tessera.llm.warc import archive_and_read
     back = archive_and_read(read(spark, sf_dir, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_sentencepiece")
+def op10_sentencepiece(spark, sf_dir):
+    from tessera.llm.sentencepieces import encode_documents
+    return encode_documents(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
