@@ -91,3 +91,9 @@ def op6_capture_index(spark, sf_dir):
 def op10_sentencepiece(spark, sf_dir):
     from tessera.llm.sentencepieces import encode_documents
     return encode_documents(read(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query("op1_pseudo_likelihood")
+def op1_pseudo_likelihood(spark, sf_dir):
+    from tessera.llm.lm_scoring import score_documents
+    return score_documents(read(spark, sf_dir, "documents"))
