@@ -75,9 +75,8 @@ def gap_label(gap) -> Column:
 
 # ---------------------------------------------------------------- shaping
 def densify(items: DataFrame, resources: DataFrame, consumption: DataFrame) -> DataFrame:
-    """Every (item, resource) of a problem with a 0 for absent pairs.
-    The resource table is a handful of rows per problem and is broadcast."""
-    grid = items.select(P, "item", "profit").join(F.broadcast(resources.select(P, "resource", "name", "capacity")), P)
+    """Every (item, resource) of a problem with a 0 for absent pairs."""
+    grid = items.select(P, "item", "profit").join(resources.select(P, "resource", "name", "capacity"), P)
     c = consumption.select(P, "item", "resource", "amount")
     return grid.join(c, [P, "item", "resource"], "left").withColumn("amount", F.coalesce("amount", F.lit(0)).cast("bigint"))
 
@@ -85,7 +84,7 @@ def densify(items: DataFrame, resources: DataFrame, consumption: DataFrame) -> D
 def wide_items(items: DataFrame, consumption: DataFrame, resources: DataFrame) -> DataFrame:
     """One ``Consumes_<name>`` column per resource plus the row total."""
     names = [r["name"] for r in resources.select("name").distinct().orderBy("name").collect()]
-    c = consumption.join(F.broadcast(resources.select(P, "resource", "name")), [P, "resource"])
+    c = consumption.join(resources.select(P, "resource", "name"), [P, "resource"])
     wide = c.groupBy(P, "item").pivot("name", names).agg(F.sum("amount"))
     cols = {f"Consumes_{n}": F.coalesce(F.col(f"`{n}`"), F.lit(0)).cast("bigint") for n in names}
     x = items.join(wide, [P, "item"], "left").withColumns(cols).drop(*names)
@@ -119,8 +118,7 @@ def check_dimensions(items: DataFrame, declared: DataFrame) -> DataFrame:
 def infeasible_items(consumption: DataFrame, resources: DataFrame, capacity: str = "capacity") -> DataFrame:
     """K4: items whose amount exceeds a capacity on its own, with the violated
     resource names in resource order (at most m names per item)."""
-    c = consumption.join(F.broadcast(resources.select(P, "resource", "name", F.col(capacity).alias("__cap"))),
-                         [P, "resource"])
+    c = consumption.join(resources.select(P, "resource", "name", F.col(capacity).alias("__cap")), [P, "resource"])
     v = c.filter(F.col("amount") > F.col("__cap"))
     g = v.groupBy(P, "item").agg(F.array_sort(F.collect_list(F.struct("resource", "name"))).alias("__v"))
     return g.select(P, "item", F.transform("__v", lambda s: s["name"]).alias("violations"),
@@ -151,7 +149,7 @@ def dominated_pairs(items: DataFrame, consumption: DataFrame, resources: DataFra
     probs = [i / bands for i in range(1, bands)]
     q = wide.groupBy(P).agg(F.percentile_approx("profit", probs, 10000).alias("__cp"),
                             F.percentile_approx("total", probs, 10000).alias("__ct"))
-    wide = wide.join(F.broadcast(q), P)  # (bands - 1) cut values per problem
+    wide = wide.join(q, P)  # (bands - 1) cut values per problem
     wide = wide.withColumn("bp", F.size(F.filter("__cp", lambda c: c < F.col("profit")))) \
                .withColumn("bt", F.size(F.filter("__ct", lambda c: c < F.col("total")))).drop("__cp", "__ct")
     a = wide.select(P, F.col("item").alias("i"), F.col("profit").alias("pi"), *[F.col(c).alias(f"i_{c}") for c in acols],
@@ -240,19 +238,18 @@ def top_efficient(eff: DataFrame, items: DataFrame, k: int = 5) -> DataFrame:
     return top.join(items.select(P, "item", "profit"), [P, "item"])
 
 
-def efficiency_eps(items: DataFrame, resources: DataFrame, consumption: DataFrame, eps: float = 1e-6,
-                   first: int = 4) -> DataFrame:
-    """Profit / (amount + eps) over every pair of the first ``first`` resources."""
-    d = densify(items, resources, consumption).filter(F.col("resource") < first)
+def efficiency_eps(items: DataFrame, resources: DataFrame, consumption: DataFrame, eps: float = 1e-6) -> DataFrame:
+    """Profit / (amount + eps) over every item and resource."""
+    d = densify(items, resources, consumption)
     return d.select(P, "item", "resource", "name",
                     (F.col("profit") / (F.col("amount") + F.lit(eps))).alias("efficiency"))
 
 
 # -------------------------------------------------------------- selections
 def prefix_greedy(items: DataFrame, consumption: DataFrame, resources: DataFrame) -> DataFrame:
-    """K11 (scale form): items in profit-descending order (ties by item id);
-    keep the longest prefix whose running usage fits every capacity.  Equal to
-    the exact greedy up to its first rejection.  One prefix-sum pass."""
+    """One round of K11: items in profit-descending order (ties by item id);
+    the longest prefix whose running usage fits every capacity.  Equal to the
+    exact greedy up to its first rejection, not a whole solution."""
     d = densify(items, resources, consumption)
     # rank of the item in (profit desc, item asc) order, skew-safe
     key = items.select(P, "item", "profit")
@@ -290,7 +287,7 @@ def greedy_select(items: DataFrame, consumption: DataFrame, resources: DataFrame
     rnd = 0
     while True:
         # (1) drop items that exceed a remaining capacity on their own
-        too_big = cons.join(todo.select(P, "item"), [P, "item"]).join(F.broadcast(res), [P, "resource"]) \
+        too_big = cons.join(todo.select(P, "item"), [P, "item"]).join(res, [P, "resource"]) \
             .filter(F.col("amount") > F.col("capacity")).select(P, "item").distinct()
         todo = todo.join(too_big, [P, "item"], "left_anti")
         todo = checkpoint(todo)
@@ -340,7 +337,7 @@ def selected_items(selection: DataFrame, items: DataFrame, consumption: DataFram
                    resources: DataFrame) -> DataFrame:
     """Selected items with category, profit and a map resource name -> amount."""
     sel = selection.select(P, "item").distinct()
-    c = sel.join(consumption, [P, "item"]).join(F.broadcast(resources.select(P, "resource", "name")), [P, "resource"])
+    c = sel.join(consumption, [P, "item"]).join(resources.select(P, "resource", "name"), [P, "resource"])
     usage = c.groupBy(P, "item").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "amount"))))
                                      .alias("resource_usage"))
     return sel.join(items, [P, "item"]).join(usage, [P, "item"], "left")
@@ -388,8 +385,3 @@ def allocation_summary(items: DataFrame, consumption: DataFrame, resources: Data
         P, F.col("name").alias("bottleneck"), F.col("utilization_pct").alias("bottleneck_utilization_pct"))
     return it.join(nres, P).join(bn, P, "left")
 
-
-def selection_from_hash(items: DataFrame, seed: int, p: float = 0.5) -> DataFrame:
-    """F5 B input: items whose hash draw is below ``p``."""
-    from tessera.functions.hashing import hash_uniform
-    return items.filter(hash_uniform(seed, "item") < p).select(P, "item")

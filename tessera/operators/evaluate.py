@@ -61,7 +61,7 @@ def score_counts(df: DataFrame, label: str = "label", score: str = "score", by:
     x = prefix_sums(st, [F.col("threshold").desc()], ["pos", "neg", "one"], bucket, by=by)
     x = x.withColumnsRenamed({"pos_cum": "tp", "neg_cum": "fp"})
     tot = st.groupBy(*by).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.count(F.lit(1)).alias("n_scores"))
-    x = x.join(F.broadcast(tot), on=by, how="inner") if by else x.crossJoin(F.broadcast(tot))
+    x = x.join(tot, on=by, how="inner") if by else x.crossJoin(F.broadcast(tot))
     return x.withColumn("point", (F.col("n_scores") - F.col("one_cum")).cast("bigint")).drop("one", "one_cum")
 
 

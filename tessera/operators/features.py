@@ -161,7 +161,7 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
     tot = counts.agg(F.sum("__nc").alias("__n"), F.count(F.lit(1)).alias("__k"))
     w = counts.crossJoin(F.broadcast(tot)).select(  # one-row side
         label, (F.col("__n") / (F.col("__k") * F.col("__nc"))).alias(out))
-    return df.join(F.broadcast(w), on=label, how="inner")  # one row per class
+    return df.join(w, on=label, how="inner")
 
 
 # ------------------------------------------------------------------- splits
@@ -181,7 +181,7 @@ def _rank_in_class(df: DataFrame, label: str, key: str, seed, buckets: int = SPL
                      F.coalesce(F.sum("__cnt").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
                      .alias("__off"),
                      F.sum("__cnt").over(Window.partitionBy(label)).alias("__nclass"))
-    x = x.join(F.broadcast(cnt) if buckets <= 4096 else cnt, on=[label, "__b"], how="inner")
+    x = x.join(cnt, on=[label, "__b"], how="inner")
     w = Window.partitionBy(label, "__b").orderBy("__u", key)
     return x.withColumn("__rank", F.col("__off") + F.row_number().over(w) - 1).drop("__b", "__off")
 

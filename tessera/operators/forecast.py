@@ -203,7 +203,7 @@ def forecast_bootstrap(df: DataFrame, horizon: int, ds: str = "ds", y: str = "y"
                       by + ["__src_back"])
     pth = base.withColumn("path", F.explode(F.sequence(F.lit(0), F.lit(paths - 1))))
     pth = pth.join(nres, by) if by else pth.crossJoin(F.broadcast(nres))
-    pth = pth.withColumn("__ri", F.floor(hash_uniform(seed, "path", "step") * F.col("__nres")).cast("long"))
+    pth = pth.withColumn("__ri", F.floor(hash_uniform(seed, *by, "path", "step") * F.col("__nres")).cast("long"))
     pth = pth.join(res.select(*by, "__ri", "__res"), by + ["__ri"])
     v = F.col("__level") + F.col("__res")
     return pth.groupBy(*by, "step").agg(

@@ -163,7 +163,7 @@ def histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ()) -> Dat
     x = F.col(col).cast("double")
     st = df.groupBy(*by).agg(F.min(x).alias("__mn"), F.max(x).alias("__mx"))
     data = df.select(*by, x.alias("__x")).filter(F.col("__x").isNotNull())
-    data = data.join(F.broadcast(st), on=by, how="inner") if by else data.crossJoin(F.broadcast(st))
+    data = data.join(st, on=by, how="inner") if by else data.crossJoin(F.broadcast(st))
     width = F.col("__mx") - F.col("__mn")
     idx = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("__x") - F.col("__mn")) / width * F.lit(bins)), F.lit(bins - 1))).cast("int")
@@ -216,7 +216,7 @@ def reindex(agg: DataFrame, key: str, domain: Sequence[str]) -> DataFrame:
     domain missing in ``agg`` are kept with NULLs."""
     spark = agg.sparkSession
     dom = spark.createDataFrame([(i, v) for i, v in enumerate(domain)], f"position INT, {key} STRING")
-    return F.broadcast(dom).join(agg, on=key, how="left")
+    return dom.join(agg, on=key, how="left")
 
 
 SQRT_2PI = math.sqrt(2 * math.pi)
@@ -240,13 +240,13 @@ def kde(df: DataFrame, col: str, grid: int = 1000, by: Sequence[str] = (), bins:
         # pre-bin to bin centres: at most ``bins`` distinct values per group, so
         # the grid expansion is bounded by bins * grid whatever the row count
         mm = base.groupBy(*by).agg(F.min("__x").alias("__a"), F.max("__x").alias("__b"))
-        base = base.join(F.broadcast(mm), by) if by else base.crossJoin(F.broadcast(mm))
+        base = base.join(mm, by) if by else base.crossJoin(F.broadcast(mm))
         wdt = (F.col("__b") - F.col("__a")) / bins
         k = F.least(F.floor((F.col("__x") - F.col("__a")) / wdt), F.lit(bins - 1))
         base = base.withColumn("__x", F.when(wdt > 0, F.col("__a") + (k + 0.5) * wdt).otherwise(F.col("__x"))) \
                    .drop("__a", "__b")
     vc = base.groupBy(*by, "__x").agg(F.count(F.lit(1)).alias("__c"))
-    vc = vc.join(F.broadcast(st), on=by, how="inner") if by else vc.crossJoin(F.broadcast(st))
+    vc = vc.join(st, on=by, how="inner") if by else vc.crossJoin(F.broadcast(st))
     rng = F.col("__mx") - F.col("__mn")
     g = F.col("__g")
     gx = (F.col("__mn") - rng / 2) + (rng * 2) * g / F.lit(grid - 1)
@@ -265,6 +265,11 @@ def head(df: DataFrame, n: int, order: Sequence) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def tail(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """O2: last n rows of an explicit order, returned in that order."""
+    return df.orderBy(*[F.col(c).desc() for c in order]).limit(n).orderBy(*order)
+
+
 def top_k(df: DataFrame, col: str, k: int, tie: str, by: Sequence[str] = ()) -> DataFrame:
     """O3: k largest values, ties broken by ``tie`` ascending; per group when
     ``by`` is given (window rank with a per-group limit)."""

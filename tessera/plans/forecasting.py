@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.operators import evaluate as ev
 from tessera.operators import forecast as fc
+from tessera.operators import profile as pr
 from tessera.operators import timeseries as ts
 from tessera.plans import daily
 from tessera.session import checkpoint
@@ -42,19 +45,14 @@ def forecast_horizon(spark: SparkSession, d: str, horizon: int = 30) -> DataFram
 
 def run_all(spark: SparkSession, d: str) -> DataFrame:
     """Each model forecasts the test period; predictions are aligned with
-    the actuals by date (J8), scored (E8) and ranked (E9).  A failing model is
-    reported and skipped."""
+    the actuals by date (J8), scored (E8) and ranked (E9).  Each forecast is
+    written to the checkpoint folder on its own, so a model that fails, also
+    while it runs, leaves a row with its error instead of ending the run."""
     x = series(spark, d)
     train, test = x.filter(F.col("split") == "train"), x.filter(F.col("split") == "test")
     actual = test.select("ds", F.col("y").alias("actual"))
-    preds = []
-
-    def add(name, fn):
-        try:
-            p = fn().select("ds", F.col("yhat").alias("pred")).withColumn("model", F.lit(name))
-            preds.append(p)
-        except Exception as e:  # noqa: BLE001 - one model's failure must not stop the others
-            print(f"model {name} failed: {e}")
+    jobs = {}
+    add = jobs.__setitem__
 
     add("seasonal_regression", lambda: seasonal_test(x))
 
@@ -71,17 +69,32 @@ def run_all(spark: SparkSession, d: str) -> DataFrame:
         return b.drop("ds").join(w, "step")
     add("bootstrap_paths", boot)
     add("differenced_arx", lambda: arx_test(x))
-    long = preds[0]
-    for p in preds[1:]:
-        long = long.unionByName(p)
-    aligned = ev.align(actual, long, "ds")
-    return ev.rank_models(ev.forecast_metrics(aligned))
+    return score_models(actual, jobs)
+
+
+def score_models(actual: DataFrame, jobs: dict[str, Callable[[], DataFrame]]) -> DataFrame:
+    """Metrics and ranks of every model's forecast (ds, yhat) against (ds, actual), with a ``status``:
+    ``ok`` or the error that stopped the model."""
+    preds, failed = None, []
+    for name, fn in jobs.items():
+        try:
+            p = checkpoint(fn().select("ds", F.col("yhat").alias("pred")).withColumn("model", F.lit(name)))
+        except Exception as e:  # noqa: BLE001 - one model's failure must not stop the others
+            failed.append((name, f"{type(e).__name__}: {str(e)[:300]}"))
+            continue
+        preds = p if preds is None else preds.unionByName(p)
+    spark = actual.sparkSession
+    errors = spark.createDataFrame(failed, "model string, status string")
+    if preds is None:
+        return errors
+    ranked = ev.rank_models(ev.forecast_metrics(ev.align(actual, preds, "ds"))).withColumn("status", F.lit("ok"))
+    return ranked.unionByName(errors, allowMissingColumns=True)
 
 
 def overlay(spark: SparkSession, d: str, last: int = 60) -> DataFrame:
-    """The last ``last`` actual days and the 30-day forecast, tagged."""
+    """The last ``last`` days of the training rows, where the forecast begins, and the 30-day forecast, tagged."""
     x = series(spark, d)
-    tail = x.orderBy(F.col("ds").desc()).limit(last).select("ds", F.col("y").alias("value"), F.lit("actual").alias("kind"))
+    tail = pr.tail(x.filter(F.col("split") == "train"), last, ["ds"]).select("ds", F.col("y").alias("value"), F.lit("actual").alias("kind"))
     f = forecast_horizon(spark, d).select(F.col("Date").alias("ds"), F.col("Predicted_Load_MW").alias("value"),
                                           F.lit("forecast").alias("kind"))
     return tail.unionByName(f)
@@ -101,7 +114,7 @@ def refit_best(spark: SparkSession, d: str) -> DataFrame:
     refit on all training rows and forecast the test rows."""
     x = series(spark, d)
     grid = [{"ridge": r, "yearly_order": o} for r in (1e-6, 1e-2) for o in (5, 10)]
-    cv = fc.rolling_origin_cv(x, grid, "ds", "y", REGRESSORS)
+    cv = fc.rolling_origin_cv(x.filter(F.col("split") == "train"), grid, "ds", "y", REGRESSORS)  # test rows stay unseen
     best = cv.orderBy("mean_rmse", "grid_index").first()["grid_index"]  # one number
     g = grid[best]
     seasons = tuple((n, p, g.get(f"{n}_order", o)) for n, p, o in fc.SEASONS)

@@ -190,7 +190,7 @@ def k09(spark, d):
     return _round(al.top_efficient(al.efficiency(i, r, c), i, 5)).withColumn("rank", F.col("rank").cast("int"))
 
 
-@register("k10_efficiency_hist", WA + DENSE_SQL + f""", e AS (SELECT problem, resource, profit / (amount + 1e-6::DOUBLE) AS efficiency FROM dense WHERE resource < 4),
+@register("k10_efficiency_hist", WA + DENSE_SQL + f""", e AS (SELECT problem, resource, profit / (amount + 1e-6::DOUBLE) AS efficiency FROM dense),
 st AS (SELECT resource, min(efficiency) AS mn, max(efficiency) AS mx FROM e GROUP BY 1),
 c AS (SELECT e.resource, CAST(CASE WHEN mx = mn THEN 0 ELSE least(floor((efficiency - mn) / (mx - mn) * 30), 29) END AS INT) AS bin,
   count(*) AS n FROM e JOIN st ON e.resource = st.resource GROUP BY 1, 2),
@@ -203,34 +203,29 @@ def k10(spark, d):
     return _round(pr.histogram(e, "efficiency", 30, by=["resource"]), 4)
 
 
-GREEDY_SQL = DENSE_SQL + """, ord AS (SELECT problem, item, profit, row_number() OVER (PARTITION BY problem ORDER BY profit DESC, item) AS rk FROM items),
-vec AS (SELECT o.problem, o.item, o.rk, list(d.amount ORDER BY d.resource) AS a FROM ord o JOIN dense d ON o.problem = d.problem AND o.item = d.item GROUP BY 1, 2, 3),
-capv AS (SELECT problem, list(capacity ORDER BY resource) AS cap FROM resources GROUP BY 1),
-g AS (SELECT problem, 0 AS rk, cap AS rem, NULL::BIGINT AS item, false AS took FROM capv
+def _greedy_sql(order, s=""):
+    """The sequential greedy as a recursive query, taking items in ``order``."""
+    return f"""ord{s} AS (SELECT problem, item, profit, row_number() OVER (PARTITION BY problem ORDER BY {order}) AS rk FROM items),
+vec{s} AS (SELECT o.problem, o.item, o.rk, list(d.amount ORDER BY d.resource) AS a FROM ord{s} o JOIN dense d ON o.problem = d.problem AND o.item = d.item GROUP BY 1, 2, 3),
+capv{s} AS (SELECT problem, list(capacity ORDER BY resource) AS cap FROM resources GROUP BY 1),
+g{s} AS (SELECT problem, 0 AS rk, cap AS rem, NULL::BIGINT AS item, false AS took FROM capv{s}
   UNION ALL
-  SELECT g.problem, v.rk, CASE WHEN list_bool_and(list_transform(range(1, len(g.rem) + 1), lambda k: v.a[k] <= g.rem[k]))
-      THEN list_transform(range(1, len(g.rem) + 1), lambda k: g.rem[k] - v.a[k]) ELSE g.rem END,
-    v.item, list_bool_and(list_transform(range(1, len(g.rem) + 1), lambda k: v.a[k] <= g.rem[k]))
-  FROM g JOIN vec v ON v.problem = g.problem AND v.rk = g.rk + 1)
+  SELECT g{s}.problem, v.rk, CASE WHEN list_bool_and(list_transform(range(1, len(g{s}.rem) + 1), lambda k: v.a[k] <= g{s}.rem[k]))
+      THEN list_transform(range(1, len(g{s}.rem) + 1), lambda k: g{s}.rem[k] - v.a[k]) ELSE g{s}.rem END,
+    v.item, list_bool_and(list_transform(range(1, len(g{s}.rem) + 1), lambda k: v.a[k] <= g{s}.rem[k]))
+  FROM g{s} JOIN vec{s} v ON v.problem = g{s}.problem AND v.rk = g{s}.rk + 1)
 """
 
 
+GREEDY_SQL = DENSE_SQL + ", " + _greedy_sql("profit DESC, item")
+
+
 @register("k11_greedy_select", WAR + GREEDY_SQL + "SELECT problem, item FROM g WHERE took")
 def k11(spark, d):
     i, c, r = _alloc(spark, d)
     return al.greedy_select(i, c, r)
 
 
-@register("k11_prefix_greedy", WA + """ord AS (SELECT problem, item, row_number() OVER (PARTITION BY problem ORDER BY profit DESC, item) AS rk FROM items),
-""" + DENSE_SQL + """, cum AS (SELECT d.problem, d.item, o.rk, d.resource, sum(d.amount) OVER (PARTITION BY d.problem, d.resource ORDER BY o.rk) AS used, d.capacity
-  FROM dense d JOIN ord o ON d.problem = o.problem AND d.item = o.item),
-bad AS (SELECT problem, min(rk) AS stop FROM cum WHERE used > capacity GROUP BY 1)
-SELECT o.problem, o.item FROM ord o LEFT JOIN bad b ON o.problem = b.problem WHERE b.stop IS NULL OR o.rk < b.stop""")
-def k11p(spark, d):
-    i, c, r = _alloc(spark, d)
-    return al.prefix_greedy(i, c, r)
-
-
 SEL_EVAL_SQL = GREEDY_SQL + """, sel AS (SELECT problem, item FROM g WHERE took),
 prof AS (SELECT s.problem, sum(i.profit) AS total_profit, count(*) AS n_selected FROM sel s JOIN items i ON s.problem = i.problem AND s.item = i.item GROUP BY 1),
 used AS (SELECT s.problem, c.resource, sum(c.amount) AS used FROM sel s JOIN consumption c ON s.problem = c.problem AND s.item = c.item GROUP BY 1, 2),
@@ -282,14 +277,9 @@ def k25(spark, d):
     return _round(al.allocation_summary(i, c, r))
 
 
-@register("k24_compare_solutions", WAR + SEL_EVAL_SQL.replace("sel AS (", "sel_exact AS (") + """,
-ordp AS (SELECT problem, item, row_number() OVER (PARTITION BY problem ORDER BY profit DESC, item) AS rk FROM items),
-cum AS (SELECT d.problem, d.item, o.rk, sum(d.amount) OVER (PARTITION BY d.problem, d.resource ORDER BY o.rk) AS used2, d.capacity
-  FROM dense d JOIN ordp o ON d.problem = o.problem AND d.item = o.item),
-bad AS (SELECT problem, min(rk) AS stop FROM cum WHERE used2 > capacity GROUP BY 1),
-pre AS (SELECT o.problem, o.item FROM ordp o LEFT JOIN bad b ON o.problem = b.problem WHERE b.stop IS NULL OR o.rk < b.stop),
-sa AS (SELECT p.problem, sum(i.profit) AS profit, count(*) AS n_selected FROM pre p JOIN items i ON p.problem = i.problem AND p.item = i.item GROUP BY 1),
-sb AS (SELECT s.problem, sum(i.profit) AS profit, count(*) AS n_selected FROM sel_exact s JOIN items i ON s.problem = i.problem AND s.item = i.item GROUP BY 1)
+@register("k24_compare_solutions", WAR + GREEDY_SQL + ", " + _greedy_sql("item", "2") + """,
+sa AS (SELECT s.problem, sum(i.profit) AS profit, count(*) AS n_selected FROM g2 s JOIN items i ON s.problem = i.problem AND s.item = i.item WHERE took GROUP BY 1),
+sb AS (SELECT s.problem, sum(i.profit) AS profit, count(*) AS n_selected FROM g s JOIN items i ON s.problem = i.problem AND s.item = i.item WHERE took GROUP BY 1)
 SELECT sa.problem, CAST(sa.profit AS BIGINT) AS profit_a, CAST(sb.profit AS BIGINT) AS profit_b, sa.n_selected AS n_selected_a,
   sb.n_selected AS n_selected_b, CAST(sb.profit - sa.profit AS DOUBLE) AS profit_difference,
   """ + R("CASE WHEN sb.profit > 0 THEN (sb.profit - sa.profit) / sb.profit * 100 ELSE 0.0 END", 6) + """ AS gap_pct,
@@ -298,12 +288,14 @@ SELECT sa.problem, CAST(sa.profit AS BIGINT) AS profit_a, CAST(sb.profit AS BIGI
        WHEN (CASE WHEN sb.profit > 0 THEN (sb.profit - sa.profit) / sb.profit * 100 ELSE 0.0 END) < 5 THEN 'GOOD' ELSE 'FAIR' END AS quality
 FROM sa JOIN sb ON sa.problem = sb.problem""")
 def k24(spark, d):
+    """Two whole solutions: the greedy in item order against the greedy in profit order."""
     i, c, r = _alloc(spark, d)
 
     def summ(sel):
         return sel.join(i, ["problem", "item"]).groupBy("problem").agg(
             F.sum("profit").alias("profit"), F.count(F.lit(1)).alias("n_selected"), F.lit(0.0).alias("seconds"))
-    out = al.compare_solutions(summ(al.prefix_greedy(i, c, r)), summ(al.greedy_select(i, c, r)))
+    out = al.compare_solutions(summ(al.greedy_select(i.withColumn("profit", -F.col("item")), c, r)),
+                               summ(al.greedy_select(i, c, r)))
     return _round(out)
 
 

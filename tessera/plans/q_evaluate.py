@@ -112,7 +112,8 @@ MET_SQL = PRED_SQL + """met AS (SELECT model, avg(abs(actual - pred)) AS MAE, sq
 
 @register("j08_align_predictions", PRED_SQL + f"x AS (SELECT 1) SELECT ds, {R('actual', 4)} AS actual, model, {R('pred', 4)} AS pred FROM preds")
 def j08(spark, d):
-    return _round(predictions(spark, d), 4)
+    p = predictions(spark, d)
+    return _round(ev.align(p.select("ds", "actual").distinct(), p.drop("actual"), "ds"), 4)
 
 
 @register("e08_forecast_metrics", MET_SQL + f"SELECT model, {R('MAE', 4)} AS MAE, {R('RMSE', 4)} AS RMSE, {R('MAPE', 4)} AS MAPE, {R('R2', 6)} AS R2, n FROM met")

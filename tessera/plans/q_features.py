@@ -38,6 +38,16 @@ def p10(spark, d):
     return _round(e.select("row_id", "pdays", "pdays_bucket", "contact_last", "campaign_intensity"))
 
 
+@register("p09_binary_target", W.rstrip(",\n") + " SELECT row_id, CAST(y = 'yes' AS INT) AS target FROM campaign")
+def p09(spark, d):
+    return fx.campaign(spark, d).select("row_id", fe.binary_target("y", "yes").alias("target"))
+
+
+@register("p02_drop_leakage", W.rstrip(",\n") + " SELECT * EXCLUDE (duration) FROM campaign")
+def p02(spark, d):
+    return fe.drop_leakage(fx.campaign(spark, d))
+
+
 U = hash_uniform_sql(42, "row_id")
 SPLIT_SQL = f"""rk AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY {U}, row_id) - 1 AS rnk,
   count(*) OVER (PARTITION BY y) AS ncls FROM campaign),

@@ -40,13 +40,12 @@ def c04(spark, d):
     return x.withColumn("season", ts.season_by_month("ds"))
 
 
-@register("g03_cutoffs", DF + """, mm AS (SELECT min("time") AS mn, max("time") AS mx FROM dfe),
+@register("g03_cutoffs", DF + """, mm AS (SELECT min("time") AS mn, max("time") AS mx FROM train),
 k AS (SELECT unnest(range(CAST(floor(date_diff('day', mn + 730, mx - 90) / 180) AS BIGINT) + 1)) AS k, mx FROM mm
       WHERE floor(date_diff('day', mn + 730, mx - 90) / 180) >= 0)
 SELECT CAST(mx - 90 - CAST(k * 180 AS INT) AS DATE) AS cutoff FROM k""")
 def g03c(spark, d):
-    x = daily.daily_features(spark, d).withColumnRenamed("time", "ds")
-    return fc.cutoffs(x, "ds", 730, 180, 90)
+    return fc.cutoffs(_train(spark, d), "ds", 730, 180, 90)
 
 
 def _coef(spark, d):
@@ -62,7 +61,7 @@ register("g02_forecast_seasonal_test")(lambda s, d: forecasting.seasonal_test(fo
 def g03cv(spark, d):
     x = forecasting.series(spark, d)
     grid = [{"ridge": r, "yearly_order": o} for r in (1e-6, 1e-2) for o in (5, 10)]
-    return fc.rolling_origin_cv(x, grid, "ds", "y", forecasting.REGRESSORS)
+    return fc.rolling_origin_cv(x.filter(F.col("split") == "train"), grid, "ds", "y", forecasting.REGRESSORS)
 
 
 register("g03_rolling_origin_cv")(g03cv)
@@ -110,6 +109,9 @@ register("g07_forecast_bootstrap", G07_SQL)(g07r)
 register("g08_forecast_horizon")(lambda s, d: forecasting.forecast_horizon(s, d, 30))
 register("g09_run_all")(lambda s, d: forecasting.run_all(s, d))
 register("g10_overlay")(lambda s, d: forecasting.overlay(s, d))
+register("g10_overlay_actual", DF + f"""SELECT "time" AS ds, {R('total_load_actual', 4)} AS value, 'actual' AS kind
+FROM (SELECT * FROM train ORDER BY "time" DESC LIMIT 60)""")(
+    lambda s, d: forecasting.overlay(s, d).filter(F.col("kind") == "actual").withColumn("value", np_round("value", 4)))
 register("g04_refit_best")(lambda s, d: forecasting.refit_best(s, d))
 register("g05_arx_test")(lambda s, d: forecasting.arx_test(forecasting.series(s, d)))
 

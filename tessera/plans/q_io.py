@@ -55,13 +55,20 @@ def s04(spark, d):
             .withColumn("problem", F.col("problem").cast("int")))
 
 
-@register("s06_instance_parquet", WA.rstrip(",\n") + "\nSELECT * FROM items")
+@register("s06_instance_parquet", WA.rstrip(",\n") + """
+SELECT 'item' AS part, problem, item, -1 AS resource, category AS name, profit AS value FROM items
+UNION ALL SELECT 'resource', problem, -1, resource, name, capacity FROM resources
+UNION ALL SELECT 'consumption', problem, item, resource, NULL, amount FROM consumption""")
 def s06(spark, d):
     items, cons, res = _alloc(spark, d)
     path = scratch(spark, "instance-parquet")
     io.save_instance(items, res, cons, path)
-    it, _, _ = io.load_instance(spark, path, problems=[1])
-    return it.select("problem", "item", "category", "profit")
+    it, rs, cs = io.load_instance(spark, path, problems=[1])
+    none = F.lit(-1)
+    return (it.select(F.lit("item").alias("part"), "problem", "item", none.alias("resource"), F.col("category").alias("name"), F.col("profit").alias("value"))
+            .unionByName(rs.select(F.lit("resource").alias("part"), "problem", none.cast("long").alias("item"), "resource", "name", F.col("capacity").alias("value")))
+            .unionByName(cs.select(F.lit("consumption").alias("part"), "problem", "item", "resource", F.lit(None).cast("string").alias("name"),
+                                   F.col("amount").alias("value"))))
 
 
 @register("s07_instance_json", WA + """req AS (SELECT c.problem, c.item, map_from_entries(list(struct_pack(k := r.name, v := c.amount) ORDER BY r.name)) AS rr
@@ -102,6 +109,14 @@ def s09(spark, d):
     return spark.read.parquet(path).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("s10_result_table", q_evaluate.MET_SQL + f"SELECT model, {R('MAE', 4)} AS MAE, {R('RMSE', 4)} AS RMSE, {R('R2', 4)} AS R2, n FROM met")
+def s10(spark, d):
+    m = ev.forecast_metrics(q_evaluate.predictions(spark, d))
+    path = scratch(spark, "result-table")
+    io.write_table(m.select("model", *[np_round(c, 4).alias(c) for c in ("MAE", "RMSE", "R2")], "n"), path, "csv")
+    return io.scan_csv(spark, path, "model STRING, MAE DOUBLE, RMSE DOUBLE, R2 DOUBLE, n BIGINT")
+
+
 @register("s12_log_metrics", q_evaluate.MET_SQL + f"""SELECT * FROM (UNPIVOT (SELECT model, {R('MAE', 4)} AS MAE, {R('RMSE', 4)} AS RMSE,
   {R('MAPE', 4)} AS MAPE, CAST(n AS DOUBLE) AS n, {R('R2', 4)} AS R2 FROM met) ON MAE, RMSE, MAPE, n, R2 INTO NAME "key" VALUE value)""")
 def s12(spark, d):

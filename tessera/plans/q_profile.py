@@ -184,14 +184,14 @@ def a18(spark, d):
 
 
 @register("c08_reindex", W + "dom(position, month) AS (VALUES " + ", ".join(
-    f"({i}, '{m}')" for i, m in enumerate(MONTHS)) + f"""),
-r AS (SELECT month, avg(CAST(y = 'yes' AS INT)) AS rate, count(*) AS n FROM campaign WHERE month NOT IN ('feb', 'mar') GROUP BY month)
+    f"({i}, '{m}')" for i, m in enumerate([*MONTHS, "undated"])) + f"""),
+r AS (SELECT month, avg(CAST(y = 'yes' AS INT)) AS rate, count(*) AS n FROM campaign GROUP BY month)
 SELECT dom.month, CAST(position AS INT) AS position, {np_round_sql('rate', 6)} AS rate, n
 FROM dom LEFT JOIN r ON dom.month = r.month""")
 def c08(spark, d):
-    c = _cam(spark, d).filter(~F.col("month").isin("feb", "mar"))
-    c = c.withColumn("yi", (F.col("y") == "yes").cast("int"))
-    return _round(pr.reindex(pr.rate_by(c, "month", "yi"), "month", MONTHS))
+    """The domain names a value that no row has, which becomes the gap."""
+    c = _cam(spark, d).withColumn("yi", (F.col("y") == "yes").cast("int"))
+    return _round(pr.reindex(pr.rate_by(c, "month", "yi"), "month", [*MONTHS, "undated"]))
 
 
 _KDE_SQL = W + f"""base AS (SELECT CAST(campaign AS DOUBLE) AS x FROM campaign WHERE campaign IS NOT NULL),
@@ -215,6 +215,24 @@ def o02(spark, d):
     return pr.head(_cam(spark, d).select("row_id", "total", "segment"), 5, ["row_id"])
 
 
+@register("o02_tail", W + "SELECT row_id, total, segment FROM campaign ORDER BY row_id DESC LIMIT 5")
+def o02_tail(spark, d):
+    return pr.tail(_cam(spark, d).select("row_id", "total", "segment"), 5, ["row_id"])
+
+
+@register("p15_columns_by_kind", W.rstrip(",\n") + "\n" + " UNION ALL ".join(
+    f"SELECT '{n}' AS column_name, '{'string' if t == 'string' else 'numeric'}' AS kind, count({n}) AS n FROM campaign"
+    for _, n, t in _SCHEMA_ROWS))
+def p15(spark, d):
+    """Non-null count of every column, by the kind that P15 sorts it into."""
+    c = _cam(spark, d)
+    kinds = {n: "numeric" for n in pr.numeric_cols(c)} | {n: "string" for n in pr.string_cols(c)}
+    counts = c.agg(*[F.count(n).alias(n) for n in kinds])
+    long = counts.unpivot([], list(kinds), "column_name", "n")
+    kind = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])[F.col("column_name")]
+    return long.select("column_name", kind.alias("kind"), "n")
+
+
 @register("o03_top_k", W + "SELECT row_id, total, CAST(row_number() OVER (ORDER BY total DESC, row_id) AS INT) AS rank "
           "FROM campaign ORDER BY total DESC, row_id LIMIT 10")
 def o03(spark, d):

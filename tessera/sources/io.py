@@ -59,24 +59,24 @@ def write_instances_text(items: DataFrame, resources: DataFrame, consumption: Da
     opt = optimum if optimum is not None else n.select("problem", F.lit(0).cast("bigint").alias("optimum"))
     hdr = n.join(m, "problem").join(opt, "problem")
     toks = [
-        hdr.select("problem", F.lit(0).alias("sec"), F.lit(0).cast("long").alias("idx"), F.lit("1").alias("tok")),
-        hdr.select("problem", F.lit(1).alias("sec"), F.lit(0).cast("long").alias("idx"),
+        hdr.select("problem", F.lit(0).alias("sec"), F.lit(0).alias("row"), F.lit(0).cast("long").alias("idx"), F.lit("1").alias("tok")),
+        hdr.select("problem", F.lit(1).alias("sec"), F.lit(0).alias("row"), F.lit(0).cast("long").alias("idx"),
                    F.concat_ws(" ", F.col("n_items").cast("string"), F.col("m").cast("string"),
                                F.col("optimum").cast("string")).alias("tok")),
-        loci.select("problem", F.lit(2).alias("sec"), F.col("pos").alias("idx"), F.col("profit").cast("string").alias("tok")),
+        loci.select("problem", F.lit(2).alias("sec"), F.lit(0).alias("row"), F.col("pos").alias("idx"), F.col("profit").cast("string").alias("tok")),
     ]
     dense = loci.join(resources.select("problem", "resource"), "problem") \
         .join(consumption.select("problem", "item", "resource", "amount"), ["problem", "item", "resource"], "left")
-    toks.append(dense.select("problem", (F.lit(3) + F.col("resource")).alias("sec"), F.col("pos").alias("idx"),
+    toks.append(dense.select("problem", F.lit(3).alias("sec"), F.col("resource").alias("row"), F.col("pos").alias("idx"),
                              F.coalesce("amount", F.lit(0)).cast("string").alias("tok")))
-    toks.append(resources.select("problem", F.lit(1000).alias("sec"), F.col("resource").cast("long").alias("idx"),
+    toks.append(resources.select("problem", F.lit(4).alias("sec"), F.lit(0).alias("row"), F.col("resource").cast("long").alias("idx"),
                                  F.col("capacity").cast("string").alias("tok")))
     t = toks[0]
     for x in toks[1:]:
         t = t.unionByName(x)
-    lines = t.groupBy("problem", "sec", F.floor(F.col("idx") / per_line).alias("line")).agg(
+    lines = t.groupBy("problem", "sec", "row", F.floor(F.col("idx") / per_line).alias("line")).agg(
         F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("idx", "tok"))), lambda s: s["tok"])).alias("value"))
-    (lines.repartition("problem").sortWithinPartitions("problem", "sec", "line")
+    (lines.repartition("problem").sortWithinPartitions("problem", "sec", "row", "line")
      .select("problem", "value").write.mode("overwrite").partitionBy("problem").text(path))
 
 
@@ -84,7 +84,9 @@ def scan_instances(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     """Parse instance text files (whitespace tokens, sections located from
     the headers) into long tables.  Each file is one task (the format is
     sequential); a batch of files is parsed in parallel.  Returns
-    (problems, items, resources, consumption); ``item`` is the 0-based position."""
+    (problems, items, resources, consumption); ``item`` is the 0-based position.
+    ``problem`` is the folder's partition value, or ``<file name>#<position in
+    the file>``, so that files of a batch never share an id."""
     raw = spark.read.text(path, wholetext=True)  # one row per file
     has_part = "problem" in raw.columns
     raw = raw.withColumn("file", F.input_file_name())
@@ -101,7 +103,7 @@ def scan_instances(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     probs = tok.select("file", *(["problem"] if has_part else []), "t",
                        F.posexplode(start["starts"]).alias("k", "s"))
     if not has_part:
-        probs = probs.withColumn("problem", (F.col("k") + 1).cast("int"))
+        probs = probs.withColumn("problem", F.concat(F.element_at(F.split("file", "/"), -1), F.lit("#"), (F.col("k") + 1).cast("string")))
     probs = probs.select("file", "problem", "t", "s",
                          F.col("t")[F.col("s")].cast("int").alias("n"), F.col("t")[F.col("s") + 1].cast("int").alias("m"),
                          F.col("t")[F.col("s") + 2].alias("optimum"))
@@ -138,7 +140,7 @@ def instance_products(items: DataFrame, resources: DataFrame, consumption: DataF
     """One nested record per product: sku/category/profit and a map
     resource name -> amount (m entries).  Written as JSON Lines, so no single
     document has to hold a whole problem."""
-    c = consumption.join(F.broadcast(resources.select("problem", "resource", "name")), ["problem", "resource"])
+    c = consumption.join(resources.select("problem", "resource", "name"), ["problem", "resource"])
     req = c.groupBy("problem", "item").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "amount")))).alias("resource_requirements"))
     return items.join(req, ["problem", "item"], "left").select(

@@ -142,12 +142,43 @@ def test_scan_instances_multi_problem_file(spark, tmp_path):
     p = tmp_path / "inst.txt"
     p.write_text(text)
     probs, items, res, cons = io.scan_instances(spark, str(p))
-    assert sorted((r["problem"], r["n_items"], r["n_resources"]) for r in probs.collect()) == [(1, 3, 2), (2, 2, 1)]
-    assert sorted((r["problem"], r["item"], r["profit"]) for r in items.collect()) == \
+    assert sorted((r["problem"], r["n_items"], r["n_resources"]) for r in probs.collect()) == [("inst.txt#1", 3, 2), ("inst.txt#2", 2, 1)]
+    assert sorted((int(r["problem"][-1]), r["item"], r["profit"]) for r in items.collect()) == \
         [(1, 0, 5000), (1, 1, 6000), (1, 2, 7000), (2, 0, 4000), (2, 1, 5000)]
-    assert sorted((r["problem"], r["resource"], r["item"], r["amount"]) for r in cons.collect()) == \
+    assert sorted((int(r["problem"][-1]), r["resource"], r["item"], r["amount"]) for r in cons.collect()) == \
         [(1, 0, 0, 1), (1, 0, 1, 2), (1, 0, 2, 3), (1, 1, 0, 4), (1, 1, 1, 5), (1, 1, 2, 6), (2, 0, 0, 1), (2, 0, 1, 2)]
-    assert sorted((r["problem"], r["resource"], r["capacity"]) for r in res.collect()) == [(1, 0, 8), (1, 1, 9), (2, 0, 3)]
+    assert sorted((int(r["problem"][-1]), r["resource"], r["capacity"]) for r in res.collect()) == [(1, 0, 8), (1, 1, 9), (2, 0, 3)]
+
+
+def test_scan_instances_of_two_files_stay_apart(spark, tmp_path):
+    from tessera.sources import io
+    for name, profit in (("a.txt", 5), ("b.txt", 9)):
+        (tmp_path / name).write_text(f"1\n2 1 0\n{profit} {profit}\n1 2\n3\n")
+    probs, items, _, _ = io.scan_instances(spark, str(tmp_path))
+    assert sorted(r["problem"] for r in probs.collect()) == ["a.txt#1", "b.txt#1"]
+    assert sorted((r["problem"], r["profit"]) for r in items.collect()) == [("a.txt#1", 5000)] * 2 + [("b.txt#1", 9000)] * 2
+
+
+def test_instances_with_a_thousand_resources_round_trip(spark, tmp_path):
+    from tessera.sources import io
+    items = spark.createDataFrame([(1, 0, "c", 3000), (1, 1, "c", 4000)], "problem int, item long, category string, profit long")
+    res = spark.createDataFrame([(1, k, f"r{k}", 10 + k) for k in range(1000)], "problem int, resource int, name string, capacity long")
+    cons = spark.createDataFrame([(1, k, i, 3 + k + i) for k in range(1000) for i in range(2)], "problem int, resource int, item long, amount long")
+    io.write_instances_text(items, res, cons, str(tmp_path / "x"))
+    _, _, back_res, back = io.scan_instances(spark, str(tmp_path / "x"))
+    assert sorted((r["resource"], r["capacity"]) for r in back_res.collect()) == [(k, 10 + k) for k in range(1000)]
+    assert all(r["amount"] == 3 + r["resource"] + r["item"] for r in back.collect()) and back.count() == 2000
+
+
+def test_a_model_that_fails_while_running_leaves_a_row(spark):
+    from tessera.plans.forecasting import score_models
+    actual = spark.sql("SELECT date_add(date'2024-01-01', CAST(id AS INT)) AS ds, id * 1.0D + 5 AS actual FROM range(40)")
+
+    def bad():
+        return actual.select("ds", F.raise_error(F.concat(F.lit("no fit at "), F.col("ds").cast("string"))).cast("double").alias("yhat"))
+    got = {r["model"]: r for r in score_models(actual, {"bad": bad, "good": lambda: actual.select("ds", (F.col("actual") + 1).alias("yhat"))}).collect()}
+    assert got["good"]["status"] == "ok" and abs(got["good"]["MAE"] - 1) < 1e-9
+    assert "no fit" in got["bad"]["status"] and got["bad"]["MAE"] is None
 
 
 def test_smote_count_and_segments(spark):
