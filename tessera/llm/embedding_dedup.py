@@ -83,8 +83,9 @@ def route(x: np.ndarray, tree: int, node: int, cut: np.ndarray, pick: np.ndarray
 
 def _forest(vectors: DataFrame, trees: int, leaf_rows: int, sample: int, spill_share: float) -> DataFrame:
     """tree, node, rid, mult, vec: every vector in its leaves of all trees."""
-    rows = staged(vectors.select(F.explode(F.array(*[F.lit(t) for t in range(trees)])).alias("tree"),
-                                 F.size("vec").cast("long").alias("node"), "rid", "mult", "vec"), "forest-0")
+    # vectors of another length have trees of their own
+    rows = staged(vectors.select(F.explode(F.array(*[F.lit(t) + trees * F.size("vec") for t in range(trees)])).alias("tree"),
+                                 F.lit(1).cast("long").alias("node"), "rid", "mult", "vec"), "forest-0")
     leaves, columns = None, ["tree", "node", "rid", "mult", "vec"]
 
     def reach(dims: int) -> float:
@@ -110,7 +111,7 @@ def _forest(vectors: DataFrame, trees: int, leaf_rows: int, sample: int, spill_s
                     [part.column("tree"), pa.array(node * 64 + slot + 1), part.column("rid"), part.column("mult"), part.column("vec")],
                     names=columns)
 
-    for _ in range(9):
+    for _ in range(7):  # 32 ** 7 leaves of a tree
         counts = rows.groupBy("tree", "node").agg(F.count("*").alias("n"))
         sized = rows.join(counts, ["tree", "node"])
         drawn = F.pmod(F.xxhash64("rid", "tree", "node"), F.lit(1_000_000)) < F.lit(1_000_000.0) * sample / F.col("n")
@@ -146,10 +147,13 @@ def _compare(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
     x = _unit(pdf["vec"])
     rid, mult, block = (pdf[c].to_numpy() for c in ("rid", "mult", "block"))
     leaf, low, high = pdf["leaf"].iloc[0], pdf["low"].iloc[0], pdf["high"].iloc[0]
-    width = max(map(len, pdf["leaves"]))
-    shared = np.full((len(pdf), width), -1, dtype=np.int64)
-    for i, v in enumerate(pdf["leaves"]):
-        shared[i, :len(v)] = v
+    # one bit per leaf that comes before this one: a pair that shares such a leaf was counted there
+    earlier = [np.asarray(v)[np.asarray(v) < leaf] for v in pdf["leaves"]]
+    known = np.unique(np.concatenate(earlier)) if len(earlier) else np.zeros(0, np.int64)
+    member = np.zeros((len(pdf), len(known) + 1), dtype=bool)
+    for i, v in enumerate(earlier):
+        member[i, np.searchsorted(known, v)] = True
+    member = np.packbits(member, axis=1)
     a, b = np.flatnonzero(block == low), np.flatnonzero(block == high)
     found = []
     for lo in range(0, len(a), 512):
@@ -159,11 +163,10 @@ def _compare(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
         keep = (i < j) if low == high else np.ones(len(i), dtype=bool)
         keep &= rid[i] != rid[j]
         i, j = i[keep], j[keep]
-        for k in range(0, len(i), 20_000):  # the pair belongs to the first leaf that both rows are in
-            p, q = i[k:k + 20_000], j[k:k + 20_000]
-            common = (shared[p][:, :, None] == shared[q][:, None, :]).any(2) & (shared[p] >= 0)
-            first = shared[p, common.argmax(1)]
-            found.append(np.column_stack([p, q])[first == leaf])
+        step = max(1, 8_000_000 // member.shape[1])
+        for k in range(0, len(i), step):
+            p, q = i[k:k + step], j[k:k + step]
+            found.append(np.column_stack([p, q])[~(member[p] & member[q]).any(1)])
     pairs = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
     n = len(pdf)
     links = np.bincount(pairs[:, 0], weights=mult[pairs[:, 1]], minlength=n) + np.bincount(pairs[:, 1], weights=mult[pairs[:, 0]], minlength=n)
@@ -186,7 +189,7 @@ def near_vectors(embeddings: DataFrame, id_col: str = "vec_id", vec_col: str = "
 
     # the leaf's number orders leaves by tree first, and it is the same for every row of the leaf
     placed = staged(_forest(distinct, trees, leaf_rows, sample, spill_share)
-                    .withColumn("leaf", F.col("tree") * F.lit(1 << 56) + F.col("node")), "leaves")
+                    .withColumn("leaf", F.col("tree") * F.lit(1 << 44) + F.col("node")), "leaves")
     member = placed.groupBy("rid").agg(F.array_sort(F.collect_set("leaf")).alias("leaves"))  # trees x overlap entries
     sizes = placed.groupBy("leaf").agg(F.count("*").alias("n"))
     rows = (placed.select("leaf", "rid", "mult", "vec").join(sizes, "leaf").where("n > 1").join(member, "rid")
