@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.hashing import hash_uniform
+from tessera.operators.ordering import prefix_sums
 
 
 def _c(c) -> Column:
@@ -87,66 +88,94 @@ def sentinel_counts(df: DataFrame, sentinels: Mapping[str, object]) -> DataFrame
     return x.withColumn("sentinel", m[F.col("column_name")])
 
 
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Interpolated quantiles ``q0, q1, ...`` of every column as rows (by.., column_name).
+
+    Values are counted first; running counts come from two-level prefix sums over value ranges whose
+    number follows the distinct values, and each order statistic is picked by a map-side combined
+    aggregate.  No task holds the values of a whole column."""
+    keys = [*by, "column_name"]
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("__v")) for c in cols])
+    long = df.select(*by, F.explode(pairs).alias("__e")).select(*by, "__e.*").filter(F.col("__v").isNotNull())
+    counts = long.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n"))
+    st = counts.groupBy(*keys).agg(F.min("__v").alias("__mn"), F.max("__v").alias("__mx"), F.sum("__n").alias("__total"),
+                                   F.count(F.lit(1)).alias("__kinds"))
+    x = _join_groups(counts, st, keys)
+    span = F.col("__mx") - F.col("__mn")
+    ranges = F.greatest(F.lit(1.0), F.col("__kinds") / 4096)
+    bucket = F.when(span > 0, F.floor((F.col("__v") - F.col("__mn")) / span * ranges)).otherwise(F.lit(0)).cast("long")
+    x = prefix_sums(x, ["__v"], ["__n"], F.coalesce(bucket, F.lit(0)), by=keys)
+
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((F.col("__n_cum") - F.col("__n") <= rank) & (rank < F.col("__n_cum")), F.col("__v")))
+    place = [(F.col("__total") - 1) * F.lit(float(p)) for p in probs]
+    picked = x.groupBy(*keys).agg(F.first("__total").alias("__total"), *[
+        f(r).alias(f"__{k}{i}") for i, r in enumerate(place) for k, f in (("lo", lambda r: value_at(F.floor(r))), ("hi", lambda r: value_at(F.ceil(r))))])
+    return picked.select(*keys, *[
+        (F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * (r - F.floor(r))).alias(f"q{i}") for i, r in enumerate(place)])
+
+
+def _join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on group keys where a null key is a group of its own."""
+    named = right.select(*[F.col(k).alias(f"__k_{k}") if k in keys else F.col(k) for k in right.columns])
+    same = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    return left.join(named, cond, how).drop(*[f"__k_{k}" for k in keys])
+
+
+def _quantile_rows(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str], approx: bool) -> DataFrame:
+    if not approx:
+        return exact_quantiles(df, cols, probs, by)
+    arr = F.array(*[F.lit(p) for p in probs])
+    wide = df.groupBy(*by).agg(*[F.percentile_approx(F.col(c).cast("double"), arr, 10000).alias(f"__q_{c}") for c in cols])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"__q_{c}").alias("q")) for c in cols])
+    return wide.select(*by, F.explode(rows).alias("__e")).select(
+        *by, "__e.column_name", *[F.col("__e.q")[i].alias(f"q{i}") for i in range(len(probs))])
+
+
 def summary(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), approx: bool = False) -> DataFrame:
     """Count, missing, mean, sample std, min, Q1, median, Q3, max,
-    range, CV % and biased skewness per column, in one aggregate.
-
-    Exact ``percentile`` keeps a value->count map (fine for discrete data);
-    ``approx=True`` switches to ``percentile_approx`` for continuous columns
-    at large scale."""
+    range, CV % and biased skewness per column: one aggregate, joined with the
+    quantiles (``approx=True``: from ``percentile_approx``)."""
     by = list(by)
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-        q = F.percentile_approx(x, probs, 10000) if approx else F.percentile(x, probs)
         aggs.append(F.struct(
-            F.count(x).alias("count"),
-            F.sum(x.isNull().cast("long")).alias("missing"),
-            F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"),
-            q.alias("q"),
-            F.max(x).alias("max"),
-            F.skewness(x).alias("skewness"),
-        ).alias(c))
-    wide = df.groupBy(*by).agg(*aggs)
-    long = wide.unpivot(by, list(cols), "column_name", "s") if len(cols) else wide
-    s = F.col("s")
-    return long.select(
-        *by, "column_name",
-        s["count"].alias("count"), s["missing"].alias("missing"), s["mean"].alias("mean"),
-        s["std"].alias("std"), s["min"].alias("min"), s["q"][0].alias("q1"), s["q"][1].alias("median"),
-        s["q"][2].alias("q3"), s["max"].alias("max"), (s["max"] - s["min"]).alias("range"),
-        (s["std"] / s["mean"] * 100).alias("cv_pct"), s["skewness"].alias("skewness"),
-    )
-
-
-def _quantiles(x: Column, probs: Sequence[float], approx: bool) -> Column:
-    arr = F.array(*[F.lit(p) for p in probs])
-    return F.percentile_approx(x, arr, 10000) if approx else F.percentile(x, arr)
+            F.count(x).alias("count"), F.sum(x.isNull().cast("long")).alias("missing"), F.avg(x).alias("mean"),
+            F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"), F.skewness(x).alias("skewness")).alias(f"__s_{c}"))
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"__s_{c}").alias("s")) for c in cols])
+    long = df.groupBy(*by).agg(*aggs).select(*by, F.explode(rows).alias("__e")).select(*by, "__e.column_name", "__e.s.*")
+    q = _quantile_rows(df, cols, (0.25, 0.5, 0.75), by, approx)
+    return _join_groups(long, q, [*by, "column_name"], "left").select(
+        *by, "column_name", "count", "missing", "mean", "std", "min", F.col("q0").alias("q1"), F.col("q1").alias("median"),
+        F.col("q2").alias("q3"), "max", (F.col("max") - F.col("min")).alias("range"),
+        (F.col("std") / F.col("mean") * 100).alias("cv_pct"), "skewness")
 
 
 def iqr_outliers(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
-    """Values strictly outside Q1 - 1.5 IQR / Q3 + 1.5 IQR, per column.
-    Two passes: quantiles (one aggregate), then one conditional-count aggregate.
-    ``approx=True`` bounds the quantile buffers for continuous columns."""
-    q = df.agg(*[_quantiles(F.col(c).cast("double"), (0.25, 0.75), approx).alias(c) for c in cols])
-    x = df.crossJoin(F.broadcast(q.select(*[F.col(c).alias(f"__q_{c}") for c in cols])))  # one row
+    """Values strictly outside Q1 - 1.5 IQR / Q3 + 1.5 IQR, per column:
+    the quantiles, then one conditional-count aggregate."""
+    rows = _quantile_rows(df, cols, (0.25, 0.75), [], approx)
+    q = rows.agg(*[F.max(F.when(F.col("column_name") == c, F.col(k))).alias(f"__{k}_{c}") for c in cols for k in ("q0", "q1")])
+    x = df.crossJoin(F.broadcast(q))  # one row
     aggs = []
     for c in cols:
-        q1, q3 = F.col(f"__q_{c}")[0], F.col(f"__q_{c}")[1]
-        iqr = q3 - q1
+        q1, q3 = F.col(f"__q0_{c}"), F.col(f"__q1_{c}")
         v = F.col(c)
-        aggs.append(F.sum(((v < q1 - 1.5 * iqr) | (v > q3 + 1.5 * iqr)).cast("long")).alias(c))
+        aggs.append(F.sum(((v < q1 - 1.5 * (q3 - q1)) | (v > q3 + 1.5 * (q3 - q1))).cast("long")).alias(c))
     return _unpivot(x.agg(*aggs), cols, "n_outliers")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every ordered pair, one aggregate."""
-    pairs = [(a, b) for a in cols for b in cols]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs])
-    long = wide.unpivot([], [f"`{a}|{b}`" for a, b in pairs], "pair", "corr")
+    half = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]  # the matrix is symmetric
+    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in half])
+    pairs = [(a, b, (a, b) if (a, b) in half else (b, a)) for a in cols for b in cols]
+    wide = wide.select(*[F.col(f"`{x}|{y}`").alias(f"{a}|{b}") for a, b, (x, y) in pairs])
+    long = wide.unpivot([], [f"`{a}|{b}`" for a, b, _ in pairs], "pair", "corr")
     return long.select(F.split_part("pair", F.lit("|"), F.lit(1)).alias("col_a"),
                        F.split_part("pair", F.lit("|"), F.lit(2)).alias("col_b"), "corr")
 
@@ -180,11 +209,11 @@ def histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ()) -> Dat
 def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), approx: bool = False) -> DataFrame:
     """Quartiles, whiskers (extreme values inside 1.5 IQR) and outlier count."""
     by = list(by)
-    x = F.col(col).cast("double")
-    q = df.groupBy(*by).agg(_quantiles(x, (0.25, 0.5, 0.75), approx).alias("__q"))
-    d = df.select(*by, x.alias("__x"))
-    d = d.join(q, on=by, how="inner") if by else d.crossJoin(F.broadcast(q))
-    q1, med, q3 = F.col("__q")[0], F.col("__q")[1], F.col("__q")[2]
+    q = _quantile_rows(df, [col], (0.25, 0.5, 0.75), by, approx).drop("column_name")
+    q = q.select(*by, *[F.col(c).alias(f"__{c}") for c in ("q0", "q1", "q2")])
+    d = df.select(*by, F.col(col).cast("double").alias("__x"))
+    d = _join_groups(d, q, by) if by else d.crossJoin(F.broadcast(q))  # one row
+    q1, med, q3 = F.col("__q0"), F.col("__q1"), F.col("__q2")
     lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
     v = F.col("__x")
     return d.groupBy(*by).agg(

@@ -226,3 +226,17 @@ def test_skew_safe_ordinal_and_prefix_sums_equal_plain_windows(spark):
     bad = j.filter((F.col("p") != F.col("q")) | ~F.col("ps").eqNullSafe(F.col("prev_o_orderstatus"))
                    | (F.abs(F.col("cs") - F.col("o_totalprice_cum")) > 1e-6 * F.abs(F.col("cs"))))
     assert bad.count() == 0
+
+
+def test_exact_quantiles_of_skewed_groups(spark):
+    import numpy as np
+    from tessera.operators import profile as pr
+    rng = np.random.default_rng(0)
+    groups = {"a": rng.pareto(1.0, 6000) * 1000, None: np.r_[np.zeros(500), rng.normal(size=7)], "c": np.array([3.0])}
+    rows = [(k, float(v)) for k, vs in groups.items() for v in vs] + [("a", None), ("d", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r["g"]: (r["q0"], r["q1"]) for r in pr.exact_quantiles(df, ["x"], (0.25, 0.9), ["g"]).collect()}
+    assert set(got) == set(groups)
+    for k, vs in groups.items():
+        assert np.allclose(got[k], np.quantile(vs, [0.25, 0.9]))
+    assert {r["g"] for r in pr.summary(df, ["x"], ["g"]).collect()} == {"a", None, "c", "d"}
