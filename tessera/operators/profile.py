@@ -104,7 +104,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     span = F.col("__mx") - F.col("__mn")
     ranges = F.greatest(F.lit(1.0), F.col("__kinds") / 4096)
     bucket = F.when(span > 0, F.floor((F.col("__v") - F.col("__mn")) / span * ranges)).otherwise(F.lit(0)).cast("long")
-    x = prefix_sums(x, ["__v"], ["__n"], F.coalesce(bucket, F.lit(0)), by=keys)
+    # a struct of the keys is never null itself, so null groups survive the joins on it
+    x = prefix_sums(x.withColumn("__key", F.struct(*keys)), ["__v"], ["__n"], F.coalesce(bucket, F.lit(0)), by=["__key"])
 
     def value_at(rank: Column) -> Column:
         return F.max(F.when((F.col("__n_cum") - F.col("__n") <= rank) & (rank < F.col("__n_cum")), F.col("__v")))
