@@ -83,21 +83,27 @@ def s07(spark, d):
     return spark.read.schema(schema).json(path)
 
 
-@register("s08_solution_document", WAR + SEL_EVAL_SQL + f"""SELECT ev.problem, ev.name, ev.capacity, ev.used,
-  {R('CASE WHEN capacity > 0 THEN used / capacity * 100 ELSE 0.0 END', 6)} AS utilization_percent
-FROM ev""")
+@register("s08_solution_document", WAR + SEL_EVAL_SQL + f"""SELECT 'product' AS part, i.problem, i.item, i.category AS name, CAST(i.profit AS DOUBLE) AS value
+FROM sel s JOIN items i ON s.problem = i.problem AND s.item = i.item
+UNION ALL SELECT 'usage', c.problem, c.item, r.name, CAST(c.amount AS DOUBLE) FROM sel s
+  JOIN consumption c ON s.problem = c.problem AND s.item = c.item JOIN resources r ON c.problem = r.problem AND c.resource = r.resource
+UNION ALL SELECT 'capacity', problem, -1, name, CAST(capacity AS DOUBLE) FROM ev
+UNION ALL SELECT 'used', problem, -1, name, CAST(used AS DOUBLE) FROM ev
+UNION ALL SELECT 'utilization', problem, -1, name, {R('CASE WHEN capacity > 0 THEN used / capacity * 100 ELSE 0.0 END', 6)} FROM ev""")
 def s08(spark, d):
+    """Written as solution documents and read back by the scan, usage map exploded."""
     items, cons, res = _alloc(spark, d)
-    sel = al.greedy_select(items, cons, res)
-    prods, rdoc = io.solution_document(sel, items, cons, res, "greedy")
     path = scratch(spark, "solution")
-    # one nested document per problem: products and resources as arrays (S5 reads it back)
-    doc = (rdoc.groupBy("problem").agg(F.collect_list(F.struct("name", "capacity", "used", "utilization_percent")).alias("resources"))
-           .withColumnRenamed("problem", "problem_number"))
-    io.write_json(doc, path)
-    _p, r = io.scan_solutions(spark, path)
-    return r.select(F.col("problem").cast("int").alias("problem"), "name", F.col("capacity").cast("bigint").alias("capacity"),
-                    F.col("used").cast("bigint").alias("used"), np_round("utilization_percent", 6).alias("utilization_percent"))
+    io.write_json(io.solution_document(al.greedy_select(items, cons, res), items, cons, res, "greedy"), path)
+    products, usage, found = io.scan_solutions(spark, path)
+    parts = [products.select(F.lit("product").alias("part"), "problem", "item", F.col("category").alias("name"), F.col("profit_usd").alias("value")),
+             usage.select(F.lit("usage").alias("part"), "problem", "item", "name", F.col("amount").alias("value"))]
+    for part, column in (("capacity", F.col("capacity")), ("used", F.col("used")), ("utilization", np_round("utilization_percent", 6))):
+        parts.append(found.select(F.lit(part).alias("part"), "problem", F.lit(-1).cast("long").alias("item"), "name", column.alias("value")))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
 
 
 @register("s09_write_split", "WITH df AS (" + __import__("tessera.plans.daily", fromlist=["x"]).DAILY_FEATURES_SQL

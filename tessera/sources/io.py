@@ -151,30 +151,42 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+SOLUTION_SCHEMA = """problem_number INT, optimization_method STRING,
+selected_products ARRAY<STRUCT<item: BIGINT, sku: STRING, category: STRING, profit_usd: DOUBLE, resource_usage: MAP<STRING, DOUBLE>>>,
+resources ARRAY<STRUCT<name: STRING, unit: STRING, capacity: DOUBLE, used: DOUBLE, utilization_percent: DOUBLE>>"""
+
+
 def solution_document(selection: DataFrame, items: DataFrame, consumption: DataFrame, resources: DataFrame,
-                      method: str) -> tuple[DataFrame, DataFrame]:
-    """Solution records: selected products with per-resource usage, and
-    per-resource capacity / used / utilization."""
+                      method: str, per_line: int = 1000) -> DataFrame:
+    """Solution documents with the selected products and their usage per resource, and capacity,
+    used and utilization of every resource.  A problem is several JSON lines of the same layout: its
+    resources in one, its products in lines of at most ``per_line`` item numbers, so no record grows with
+    the selection."""
     from tessera.operators.allocation import evaluate_selection, selected_items
-    prods = selected_items(selection, items, consumption, resources).withColumn("optimization_method", F.lit(method))
-    res = evaluate_selection(selection, items, consumption, resources).select(
-        "problem", "resource", "name", "capacity", "used", F.col("utilization_pct").alias("utilization_percent"),
-        "total_profit", "n_selected", F.lit(method).alias("optimization_method"))
-    return prods, res
-
-
-def scan_solutions(spark: SparkSession, path: str, multiline: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Read nested solution JSON into a selected-items table (map exploded
-    into long usage rows) and a resources table.  Accepts one document per
-    file (``multiline=True``, arrays of products/resources) or JSON Lines."""
-    raw = spark.read.option("multiLine", multiline).json(path)
-    if "resources" in raw.columns:
-        prods = raw.select("problem_number", F.explode("selected_products").alias("p")).select(
-            F.col("problem_number").alias("problem"), "p.*") if "selected_products" in raw.columns else None
-        res = raw.select("problem_number", F.explode("resources").alias("r")).select(
-            F.col("problem_number").alias("problem"), "r.*")
-        return prods, res
-    return raw, raw
+    prods = selected_items(selection, items, consumption, resources)
+    sku = F.col("sku") if "sku" in prods.columns else F.lit(None).cast("string")
+    product = F.struct("item", sku.alias("sku"), "category", F.col("profit").cast("double").alias("profit_usd"),
+                       F.col("resource_usage").cast("map<string,double>").alias("resource_usage"))
+    lines = prods.groupBy("problem", F.floor(F.col("item") / per_line).alias("__line")).agg(
+        F.collect_list(product).alias("selected_products")).drop("__line")
+    res = evaluate_selection(selection, items, consumption, resources)
+    unit = F.col("unit") if "unit" in res.columns else F.lit(None).cast("string")
+    resource = F.struct("name", unit.alias("unit"), F.col("capacity").cast("double").alias("capacity"), F.col("used").cast("double").alias("used"),
+                        F.col("utilization_pct").alias("utilization_percent"))
+    heads = res.groupBy("problem").agg(F.collect_list(resource).alias("resources"))
+    return (heads.unionByName(lines, allowMissingColumns=True)
+            .select(F.col("problem").alias("problem_number"), F.lit(method).alias("optimization_method"), "selected_products", "resources"))
+
+
+def scan_solutions(spark: SparkSession, path: str, multiline: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Read solution documents (JSON lines, or one document per file with ``multiline``) into
+    products(problem, item, sku, category, profit_usd), usage(problem, item, sku, name, amount), one row
+    per entry of the usage map, and resources(problem, name, unit, capacity, used, utilization_percent)."""
+    raw = spark.read.schema(SOLUTION_SCHEMA).option("multiLine", multiline).json(path)
+    one = raw.select(F.col("problem_number").alias("problem"), F.explode("selected_products").alias("p")).select("problem", "p.*")
+    usage = one.select("problem", "item", "sku", F.explode("resource_usage").alias("name", "amount"))
+    res = raw.select(F.col("problem_number").alias("problem"), F.explode("resources").alias("r")).select("problem", "r.*")
+    return one.drop("resource_usage"), usage, res
 
 
 def log_metrics(metrics: DataFrame, run_id: str, path: str, ids: Sequence[str] = ("model",)) -> DataFrame:

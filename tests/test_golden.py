@@ -79,3 +79,18 @@ def test_hash_uniform_matches_duckdb(spark):
     d = dict(duckdb.sql(f"SELECT range AS id, {hash_uniform_sql(7, 'range')} AS u FROM range(2000)").fetchall())
     assert s == d
     assert all(0.0 <= v < 1.0 for v in s.values())
+
+
+def test_scan_solutions_reads_one_document_per_file(spark, tmp_path):
+    import json
+
+    from tessera.sources import io
+    doc = {"problem_number": 1, "optimization_method": "x", "best_profit_usd": 1470000.0, "hyperparameters": {"generations": 200},
+           "selected_products": [{"sku": "Gadget-A02", "category": "Gadget", "profit_usd": 803000.0, "resource_usage": {"a": 41.0, "b": 883.0}},
+                                 {"sku": "Component-A03", "category": "Component", "profit_usd": 667000.0, "resource_usage": {"a": 523.0, "b": 229.0}}],
+           "resources": [{"name": "a", "capacity": 600.0, "used": 564.0, "unit": "h", "utilization_percent": 94.0}]}
+    (tmp_path / "s.json").write_text(json.dumps(doc, indent=2))
+    products, usage, resources = io.scan_solutions(spark, str(tmp_path / "s.json"), multiline=True)
+    assert products.agg(F.sum("profit_usd")).first()[0] == doc["best_profit_usd"]
+    assert {(r["name"], r["s"]) for r in usage.groupBy("name").agg(F.sum("amount").alias("s")).collect()} == {("a", 564.0), ("b", 1112.0)}
+    assert [r.asDict() for r in resources.collect()] == [{"problem": 1, **doc["resources"][0]}]
