@@ -4,15 +4,17 @@ A document is the sequence of its five-word shingles (lower-cased words).  Every
 with its occurrence number, so repeats count; each of ``sketches`` random orders picks the ``minima``
 smallest labelled shingles and keeps them in text order, which makes a sketch agree with a probability
 that follows the edit similarity.  Documents with the same words collapse first.  Two documents are
-candidates if at least two sketches agree and their lengths allow the threshold; a candidate links if
-the edit similarity of the shingle sequences, 1 - distance / longer length, computed by an alignment
+candidates if a sketch agrees, their lengths allow the threshold, and ``BITS`` one-bit MinHash values put
+the overlap of their shingles at ``LEAST_OVERLAP`` or more (an edit similarity of 0.8 means an overlap of
+two thirds or more, 2.6 standard errors above); a candidate links if the edit similarity of the shingle sequences, 1 - distance / longer length, computed by an alignment
 inside the band that the threshold leaves, is ``threshold`` or more.
 
-Pairs are not listed per bucket.  Every member of a bucket meets the bucket's smallest member; the links
-give components; only members that did not join their bucket's smallest member meet the other members of
+Pairs are not listed per bucket.  Every member of a bucket meets the bucket's smallest member and, while
+they are apart, ``TURNS`` more drawn by a hash; the links give components; only members that did not join their bucket's smallest member meet the other members of
 that bucket, and only those outside their own component.  So no candidate pair is lost, while a bucket
 of copies costs one comparison per member.  The smallest member is found by a map-side combined
-aggregate and joined back, so a hot bucket is split by the skew-join rule.
+aggregate and joined back, so a hot bucket is split by the skew-join rule.  Shingles move once, into a
+table bucketed by document, from which both rounds of alignments read without another shuffle.
 
 Defined cases: a null text is empty; texts without words are equal only if their bytes are; texts of one
 to four words are a single shingle; rows with the same words (repeated rows too) share a class; the
@@ -23,6 +25,7 @@ returned unchanged).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import text as tx
-from tessera.llm.common import connected_components, staged
+from tessera.llm.common import connected_components, new_folder, staged
 
 WORDS = 5
 SKETCHES, MINIMA = 24, 4
@@ -40,6 +43,10 @@ _RNG = np.random.default_rng(7)
 _SEED = _RNG.integers(0, 2 ** 63, SKETCHES, dtype=np.uint64)[:, None]
 _ODD = _RNG.integers(0, 2 ** 63, SKETCHES, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
+BITS, LEAST_OVERLAP = 512, 0.58
+TURNS = 1
+_BIT_SEED = _RNG.integers(0, 2 ** 63, BITS, dtype=np.uint64)[:, None]
+_BIT_ODD = _RNG.integers(0, 2 ** 63, BITS, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
 
 
 def _fold(hashes: np.ndarray) -> np.ndarray:
@@ -88,6 +95,12 @@ def sketch(own: np.ndarray) -> np.ndarray:
     return _fold(np.column_stack([np.arange(SKETCHES, dtype=np.uint64), picked]))
 
 
+def overlap_bits(own: np.ndarray) -> np.ndarray:
+    """One bit of each of ``BITS`` MinHash values, as 64-bit words."""
+    least = np.concatenate([((own[None, :] ^ _BIT_SEED[k:k + 32]) * _BIT_ODD[k:k + 32]).min(axis=1) for k in range(0, BITS, 32)])
+    return np.packbits((tx.mix(least) & np.uint64(1)).astype(bool)).view(np.uint64)
+
+
 def _whole_distance(a: list[int], b: list[int]) -> int:
     """Edit distance by bit vectors over the whole of ``a`` (Myers 1999, Hyyrö 2003)."""
     where: dict[int, int] = {}
@@ -177,7 +190,7 @@ def _node(words: np.ndarray, first: np.ndarray, raw: pa.Array) -> np.ndarray:
 
 
 def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, node (name of the words), n (shingles), sketch, shingles (32 bits each) of every text."""
+    """doc_id, node (name of the words), n (shingles), sketch, bits, shingles (32 bits each) of every text."""
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
@@ -187,9 +200,11 @@ def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 kmers, begin = shingles(words, first)
                 own = labelled(kmers, begin)
                 marks = np.zeros((batch.num_rows, SKETCHES), dtype=np.uint64)
-                for d in range(batch.num_rows):
-                    marks[d] = sketch(own[begin[d]:begin[d + 1]])
+                bits = np.zeros((batch.num_rows, BITS // 64), dtype=np.uint64)
                 n = np.diff(begin)
+                for d in np.flatnonzero(n):
+                    marks[d] = sketch(own[begin[d]:begin[d + 1]])
+                    bits[d] = overlap_bits(own[begin[d]:begin[d + 1]])
                 name = _node(words, first, batch.column(1))
                 packed = pa.Array.from_buffers(pa.large_binary(), batch.num_rows, [
                     None, pa.py_buffer((begin * 4).astype(np.int64)), pa.py_buffer((kmers >> np.uint64(32)).astype("<u4"))])
@@ -197,12 +212,34 @@ def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                     [batch.column(0), pa.array(name.view(np.int64)), pa.array(n.astype(np.int64)),
                      pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * SKETCHES),
                                               pa.array(marks.view(np.int64).ravel())),
-                     packed.cast(pa.binary())], names=["doc_id", "node", "n", "sketch", "shingles"])
-    return narrow.mapInArrow(run, "doc_id long, node long, n long, sketch array<long>, shingles binary")
+                     *[pa.array(bits[:, k].view(np.int64)) for k in range(BITS // 64)],
+                     packed.cast(pa.binary())], names=["doc_id", "node", "n", "sketch", *WORDS_OF_BITS, "shingles"])
+    words = ", ".join(f"{c} long" for c in WORDS_OF_BITS)
+    return narrow.mapInArrow(run, f"doc_id long, node long, n long, sketch array<long>, {words}, shingles binary")
+
+
+WORDS_OF_BITS = [f"bits{k}" for k in range(BITS // 64)]
 
 
-def _agree(a: str, b: str) -> F.Column:
-    return F.zip_with(a, b, lambda x, y: x == y)
+def _side(mark: str) -> list:
+    """What a candidate test needs of one side, under names that end in ``mark``."""
+    return [F.col(c).alias(f"{c}_{mark}") for c in ("n", *WORDS_OF_BITS)]
+
+
+def _alike(threshold: float) -> F.Column:
+    """Whether lengths and overlap of the sides ``a`` and ``b`` allow a link."""
+    differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in WORDS_OF_BITS), F.lit(0))
+    return ((F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b") - 1e-9)
+            & (differ <= F.lit(int(BITS * (1 - LEAST_OVERLAP) / 2))))
+
+
+def bucketed(rows: DataFrame, key: str) -> tuple[DataFrame, str]:
+    """``rows`` as a table bucketed by ``key`` in the shared folder, and the table's name."""
+    spark = rows.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"tessera_{uuid.uuid4().hex}"
+    rows.repartition(n, key).write.bucketBy(n, key).option("path", new_folder(spark, "bucketed")).saveAsTable(name)
+    return spark.table(name), name
 
 
 def _verified(pairs: DataFrame, shingled: DataFrame, threshold: float) -> DataFrame:
@@ -222,40 +259,44 @@ def _verified(pairs: DataFrame, shingled: DataFrame, threshold: float) -> DataFr
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, node and class_node of every row: rows of one class are near copies of each other."""
+    spark = docs.sparkSession
     rows = staged(signed(docs, id_col, text_col), "signed")
-    nodes = staged(rows.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
-    shingled = rows.where("n > 0").select("node", "shingles").dropDuplicates(["node"])
+    some = rows.where("n > 0")
+    nodes = staged(some.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "sketch", *WORDS_OF_BITS)]), "nodes")
     keyed = nodes.select("node", F.explode("sketch").alias("key"))
     lead = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("lead")).where("size > 1").drop("size")
     buckets = staged(keyed.join(lead, "key"), "buckets")
-
-    def candidates(pairs: DataFrame) -> DataFrame:
-        """Pairs whose lengths allow the threshold and of whose sketches at least two agree."""
-        near = F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b") - 1e-9
-        shared = F.size(F.filter(_agree("s_a", "s_b"), lambda v: v))
-        return staged(pairs.join(nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a")), "a")
-                      .join(nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b")), "b")
-                      .where(near & (shared >= 2)).select("a", "b"), "candidates")
-
-    stars = candidates(buckets.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct())
-    links = _verified(stars, shingled, threshold)
+    shingled, name = bucketed(some.select("node", "shingles"), "node")
+    once = shingled.dropDuplicates(["node"])
+
+    def alike(pairs: DataFrame, name: str) -> DataFrame:
+        return staged(pairs.join(nodes.select(F.col("node").alias("a"), *_side("a")), "a")
+                      .join(nodes.select(F.col("node").alias("b"), *_side("b")), "b").where(_alike(threshold)).select("a", "b"), name)
+
+    stars = alike(buckets.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct(), "stars")
+    links = _verified(stars, once, threshold)
+    for turn in range(TURNS):  # members that are still apart meet another member, drawn by a hash
+        parts = staged(connected_components(links).withColumnRenamed("id", "node"), "parts")
+        placed = staged(buckets.select("key", "node").join(parts, "node", "left")
+                        .select("key", "node", F.coalesce("component", "node").alias("part")), "placed")
+        drawn = placed.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", "key", F.lit(turn)).alias("draw"), "node", "part")).alias("d"))
+        apart = placed.join(drawn.select("key", F.col("d.node").alias("other"), F.col("d.part").alias("other_part")), "key")
+        apart = apart.where("part <> other_part").select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b"))
+        links = staged(links.unionByName(_verified(alike(apart.distinct(), "drawn"), once, threshold)), "links")
     parts = staged(connected_components(links).withColumnRenamed("id", "node"), "parts")
 
     # members that did not join their bucket's smallest member meet the rest of the bucket
     named = (buckets.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
              .join(parts.select(F.col("node").alias("lead"), F.col("component").alias("lead_part")), "lead", "left")
              .withColumn("apart", F.col("part") != F.coalesce("lead_part", "lead")))
-    named = staged(named.join(nodes, "node"), "named")
-    one = named.where("apart").select("key", F.col("node").alias("a"), F.col("part").alias("p_a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
-    two = named.select("key", F.col("node").alias("b"), F.col("part").alias("p_b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"),
-                       F.col("apart").alias("apart_b"), "lead")
-    same = _agree("s_a", "s_b")
-    hit = ((F.col("p_a") != F.col("p_b")) & (F.col("b") != F.col("lead")) & (~F.col("apart_b") | (F.col("a") < F.col("b")))
-           & (F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b") - 1e-9)
-           & (F.size(F.filter(same, lambda v: v)) >= 2)
-           & (F.element_at("s_a", F.array_position(same, True).cast("int")) == F.col("key")))  # once, in the first common bucket
-    rest = staged(one.join(two, "key").where(hit).select("a", "b"), "rest")
-    more = _verified(rest, shingled, threshold)
+    named = staged(named.join(nodes.drop("sketch"), "node"), "named")
+    one = named.where("apart").select("key", F.col("node").alias("a"), F.col("part").alias("part_a"), *_side("a"))
+    two = named.where("node <> lead").select("key", F.col("node").alias("b"), F.col("part").alias("part_b"), F.col("apart").alias("apart_b"),
+                                             *_side("b"))
+    hit = (F.col("part_a") != F.col("part_b")) & (~F.col("apart_b") | (F.col("a") < F.col("b"))) & _alike(threshold)
+    rest = staged(one.join(two, "key").where(hit).select("a", "b").distinct(), "rest")
+    more = _verified(rest, once, threshold)
+    spark.sql(f"DROP TABLE {name}")
     parts = connected_components(links.unionByName(more)).withColumnRenamed("id", "node")
     return (rows.select("doc_id", "node").join(parts, "node", "left")
             .select("doc_id", "node", F.coalesce("component", "node").alias("class_node")))
