@@ -155,7 +155,6 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
                                                 F.when(F.col("nth") > 1, F.col("page_id")).alias("refers_to"),
                                                 F.when(F.col("nth") == 1, F.col("member")).alias("member"))
     rows = rows.where("is_first IS NULL OR NOT is_first").drop("is_first").unionByName(again)
-    rows = staged(rows, "typed-records")
 
     def write(batches):
         from pyspark import TaskContext
