@@ -77,7 +77,7 @@ def word_cache(path: str):
     """(tokenizer, cache of its pieces) for ``path``, kept as long as the worker process lives."""
     if path not in _CACHES:
         whole, encode = word_encoder(path)
-        _CACHES[path] = whole, tx.PieceCache(encode, limit=600_000)
+        _CACHES[path] = whole, tx.PieceCache(encode, limit=150_000)
     return _CACHES[path]
 
 
@@ -128,7 +128,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
     def cut(batches):
         words = word_cache(tokenizer)
         for whole in batches:
-            for batch in tx.steps(whole, "text", 4 << 20):
+            for batch in tx.steps(whole, "text"):
                 ids, begin = token_ids(batch.column(1), words, end_id)
                 tokens = np.diff(begin)
                 n = -(-tokens // seq_len)

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 _MULT = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_MULT, -1, 1 << 64)
 
