@@ -6,10 +6,10 @@ of that id).  The network sees the two words on either side of a masked position
 sums into a tanh layer, and a two-level softmax (class, id within the class) gives the conditional
 probability.  Its output starts from the corpus counts.
 
-Training runs in numpy inside the tasks over all documents: in a round, every task starts from the same
-weights, masks one position in ``MASK_EVERY`` of its own documents, a different one each round, and
-returns its weights with the number of examples; Spark averages them.  A document's score is the sum over
-all its words of the log-probability given both sides.
+Training runs in numpy inside the tasks over all words of all documents: a sub-pass masks one position in
+``MASK_EVERY`` of a document, and the rounds share out the sub-passes, so that every word is predicted once.
+In a round, every task starts from the same weights and returns its own with the number of examples; Spark
+averages them.  A document's score is the sum over all its words of the log-probability given both sides.
 
 Defined cases: null, empty and wordless texts have no words, score 0.0 and no mean; texts are read whole;
 repeated rows each get their score; a null doc_id is carried along; an empty table gives an empty result;
@@ -18,6 +18,7 @@ other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -79,8 +80,7 @@ class Network:
         h = self.hidden(around)
         cls, word = np.divmod(ids, SIDE)
         out = _log_softmax_at(h @ self.to_class + self.class_bias, cls)
-        order = np.argsort(cls, kind="stable")
-        ends = np.searchsorted(cls[order], np.arange(SIDE + 1))
+        order, ends = _by_class(cls)
         for c in np.flatnonzero(np.diff(ends)):
             own = order[ends[c]:ends[c + 1]]
             out[own] += _log_softmax_at(h[own] @ self.to_word[c] + self.word_bias[c], word[own])
@@ -95,8 +95,7 @@ class Network:
         grad.to_class[:] += h.T @ d
         grad.class_bias[:] += d.sum(0)
         back = d @ self.to_class.T
-        order = np.argsort(cls, kind="stable")
-        ends = np.searchsorted(cls[order], np.arange(SIDE + 1))
+        order, ends = _by_class(cls)
         for c in np.flatnonzero(np.diff(ends)):
             own = order[ends[c]:ends[c + 1]]
             more, d = _softmax_slope(h[own] @ self.to_word[c] + self.word_bias[c], word[own], n)
@@ -107,13 +106,18 @@ class Network:
         back *= 1 - h * h
         grad.bias[:] += back.sum(0)
         for p in range(2 * REACH):
-            order = np.argsort(around[p], kind="stable")
+            order = np.argsort(around[p].astype(np.uint16), kind="stable")  # a radix sort
             seen = around[p][order]
-            first = np.flatnonzero(np.append(True, seen[1:] != seen[:-1]))
-            grad.tables[p][seen[first]] += np.add.reduceat(back[order], first, axis=0)
+            last = np.flatnonzero(np.append(seen[1:] != seen[:-1], True))
+            grad.tables[p][seen[last]] += np.diff(np.cumsum(back[order], axis=0, dtype=np.float64)[last], axis=0, prepend=0)
         return loss
 
 
+def _by_class(cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows ordered by class, and where each class begins."""
+    return np.argsort(cls.astype(np.uint8), kind="stable"), np.append(0, np.cumsum(np.bincount(cls, minlength=SIDE)))
+
+
 def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     top = logits.max(1)
     picked = logits[np.arange(len(at)), at] - top
@@ -143,6 +147,17 @@ def around(padded: np.ndarray, place: np.ndarray) -> np.ndarray:
     return np.stack([padded[place + k] for k in range(-REACH, REACH + 1) if k])
 
 
+def masked(begin: np.ndarray, turn: int, rounds: int) -> Iterator[np.ndarray]:
+    """The words that round ``turn`` of ``rounds`` predicts, one sub-pass after another.
+
+    All rounds together take every word once; further rounds than ``MASK_EVERY`` begin anew.  What a round
+    takes depends on a word's place in its document only, not on how Spark deals out the rows."""
+    residue = (np.arange(begin[-1]) - np.repeat(begin[:-1], np.diff(begin))) * 5 % MASK_EVERY
+    rounds = min(rounds, MASK_EVERY)
+    for r in range(turn % rounds, MASK_EVERY, rounds):
+        yield np.flatnonzero(residue == r)
+
+
 def train_on(net: Network, padded: np.ndarray, place: np.ndarray, squares: np.ndarray, rate: float = 0.08, size: int = 2048) -> None:
     """Adagrad steps over the masked places."""
     for lo in range(0, len(place), size):
@@ -242,10 +257,11 @@ def train(rows: DataFrame, counts: np.ndarray, rounds: int = ROUNDS) -> Network:
             own, squares, examples = Network(start.copy()), np.full(Network.size(), 1e-4, dtype=np.float32), 0
             for batch in batches:
                 for part in _bounded(batch, "ids"):
-                    padded, place = windows(*_ids(part.column(0)))
-                    place = place[(np.arange(len(place)) * 5 + turn * 3) % MASK_EVERY == 0]
-                    train_on(own, padded, place, squares)
-                    examples += len(place)
+                    ids, begin = _ids(part.column(0))
+                    padded, place = windows(ids, begin)
+                    for at in masked(begin, turn, rounds):
+                        train_on(own, padded, place[at], squares)
+                        examples += len(at)
             if examples:
                 padded = np.zeros(cells * CELLS)
                 padded[:Network.size()] = own.flat

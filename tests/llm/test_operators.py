@@ -464,6 +464,22 @@ def test_training_beats_the_unigram_start(spark):
     assert total[1] > total[0]
 
 
+def test_training_predicts_every_position(spark):
+    d = spark.createDataFrame([(i, "one two three four five six seven eight") for i in range(4000)], "doc_id long, text string")
+    vocab = lm_scoring.vocabulary(staged(lm_scoring.word_counts(d), "counts"))
+    rows = staged(lm_scoring.encoded(d, vocab, "doc_id", "text"), "encoded")
+    padded, place = lm_scoring.windows(*lm_scoring._ids(pa.array([rows.first()["ids"]], pa.binary())))
+    first, last = (lm_scoring.train(rows, vocab.counts, n).log_probs(lm_scoring.around(padded, place), padded[place]) for n in (0, 2))
+    assert (last > first).all()
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 3, 8, 11])
+def test_rounds_share_out_all_words(rounds):
+    begin = np.array([0, 1, 1, 20, 23])
+    taken = np.concatenate([at for turn in range(min(rounds, lm_scoring.MASK_EVERY)) for at in lm_scoring.masked(begin, turn, rounds)])
+    assert sorted(taken) == list(range(23)) and all(list(lm_scoring.masked(begin, t, rounds)) for t in range(rounds))
+
+
 def test_gradient_of_the_network():
     rng = np.random.default_rng(3)
     net = lm_scoring.Network.start(rng.integers(1, 50, lm_scoring.EDGE).astype(float))
