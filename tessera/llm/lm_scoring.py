@@ -1,8 +1,9 @@
 """Language-model scores of documents: masked pseudo-likelihood of a bidirectional window network.
 
 Words of the whole corpus are counted; the ``FREQUENT`` most frequent have ids of their own and every
-other word falls into one of ``RARE`` hashed ids, within which it has the probability 1 / (distinct words
-of that id).  The network sees the two words on either side of a masked position: a table per position
+other word falls into a hashed id, of which there are as many as the square root of the distinct words (at
+least ``RARE``).  Within its id a word has its share of the id's count in the corpus: the distinct words of
+every chunk of documents are joined with the counts of the whole corpus by hash range.  The network sees the two words on either side of a masked position: a table per position
 sums into a tanh layer, and a two-level softmax (class, id within the class) gives the conditional
 probability.  Its output starts from the corpus counts.
 
@@ -18,6 +19,7 @@ other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,10 +34,11 @@ from pyspark.sql import types as T
 from tessera.llm import text as tx
 from tessera.llm.common import staged
 
-FREQUENT, RARE, SIDE = 1400, 200, 40  # SIDE classes of SIDE ids
-EDGE = FREQUENT + RARE  # the id beyond a text's ends
+FREQUENT, RARE, SIDE = 1400, 200, 40  # SIDE classes of SIDE ids, more for more distinct words
+EDGE = FREQUENT + RARE  # the id beyond a text's ends: the number of ids
 HIDDEN, REACH, MASK_EVERY, ROUNDS = 16, 2, 8, 2
 CELLS = 2048  # weights per row while they are averaged
+CHUNK_BYTES, RANGE_WORDS = 8 << 20, 2_000_000  # text per chunk, words of the corpus per hash range
 
 
 @dataclass
@@ -43,9 +46,11 @@ class Network:
     """Position tables, hidden bias, class and word output layers, in one flat vector."""
 
     flat: np.ndarray
+    side: int = SIDE
 
     def __post_init__(self):
-        shapes = [(2 * REACH, EDGE + 1, HIDDEN), (HIDDEN,), (HIDDEN, SIDE), (SIDE,), (SIDE, HIDDEN, SIDE), (SIDE, SIDE)]
+        n = self.side
+        shapes = [(2 * REACH, n * n + 1, HIDDEN), (HIDDEN,), (HIDDEN, n), (n,), (n, HIDDEN, n), (n, n)]
         at, parts = 0, []
         for s in shapes:
             n = int(np.prod(s))
@@ -54,14 +59,15 @@ class Network:
         self.tables, self.bias, self.to_class, self.class_bias, self.to_word, self.word_bias = parts
 
     @staticmethod
-    def size() -> int:
-        return 2 * REACH * (EDGE + 1) * HIDDEN + HIDDEN + HIDDEN * SIDE + SIDE + SIDE * HIDDEN * SIDE + SIDE * SIDE
+    def size(n: int = SIDE) -> int:
+        return 2 * REACH * (n * n + 1) * HIDDEN + HIDDEN + HIDDEN * n + n + n * HIDDEN * n + n * n
 
     @staticmethod
     def start(counts: np.ndarray, seed: int = 11) -> Network:
         """Small random weights whose output is the unigram distribution of ``counts``."""
-        net = Network(np.random.default_rng(seed).normal(0, 0.1, Network.size()).astype(np.float32))
-        share = (counts + 0.5).reshape(SIDE, SIDE)
+        side = math.isqrt(len(counts))
+        net = Network(np.random.default_rng(seed).normal(0, 0.1, Network.size(side)).astype(np.float32), side)
+        share = (counts + 0.5).reshape(side, side)
         net.bias[:] = 0
         net.to_word[:] *= 0.1
         net.class_bias[:] = np.log(share.sum(1) / share.sum())
@@ -78,9 +84,9 @@ class Network:
     def log_probs(self, around: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """log p(id | both sides) of every position."""
         h = self.hidden(around)
-        cls, word = np.divmod(ids, SIDE)
+        cls, word = np.divmod(ids, self.side)
         out = _log_softmax_at(h @ self.to_class + self.class_bias, cls)
-        order, ends = _by_class(cls)
+        order, ends = _by_class(cls, self.side)
         for c in np.flatnonzero(np.diff(ends)):
             own = order[ends[c]:ends[c + 1]]
             out[own] += _log_softmax_at(h[own] @ self.to_word[c] + self.word_bias[c], word[own])
@@ -90,12 +96,12 @@ class Network:
         """Add the gradient of the mean negative log-probability to ``grad``; returns that mean."""
         n = len(ids)
         h = self.hidden(around)
-        cls, word = np.divmod(ids, SIDE)
+        cls, word = np.divmod(ids, self.side)
         loss, d = _softmax_slope(h @ self.to_class + self.class_bias, cls, n)
         grad.to_class[:] += h.T @ d
         grad.class_bias[:] += d.sum(0)
         back = d @ self.to_class.T
-        order, ends = _by_class(cls)
+        order, ends = _by_class(cls, self.side)
         for c in np.flatnonzero(np.diff(ends)):
             own = order[ends[c]:ends[c + 1]]
             more, d = _softmax_slope(h[own] @ self.to_word[c] + self.word_bias[c], word[own], n)
@@ -113,9 +119,9 @@ class Network:
         return loss
 
 
-def _by_class(cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _by_class(cls: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
     """The rows ordered by class, and where each class begins."""
-    return np.argsort(cls.astype(np.uint8), kind="stable"), np.append(0, np.cumsum(np.bincount(cls, minlength=SIDE)))
+    return np.argsort(cls.astype(np.uint8), kind="stable"), np.append(0, np.cumsum(np.bincount(cls, minlength=side)))
 
 
 def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -134,11 +140,11 @@ def _softmax_slope(logits: np.ndarray, at: np.ndarray, n: int) -> tuple[float, n
     return loss, p / n
 
 
-def windows(ids: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def windows(ids: np.ndarray, begin: np.ndarray, edge: int = EDGE) -> tuple[np.ndarray, np.ndarray]:
     """(all ids with edges between the texts, place of every id in it)."""
     doc = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
     place = np.arange(len(ids)) + REACH * (doc + 1)
-    padded = np.full(len(ids) + REACH * len(begin), EDGE, dtype=np.int64)
+    padded = np.full(len(ids) + REACH * len(begin), edge, dtype=np.int64)
     padded[place] = ids
     return padded, place
 
@@ -162,7 +168,7 @@ def train_on(net: Network, padded: np.ndarray, place: np.ndarray, squares: np.nd
     """Adagrad steps over the masked places."""
     for lo in range(0, len(place), size):
         own = place[lo:lo + size]
-        grad = Network(np.zeros(Network.size(), dtype=np.float32))
+        grad = Network(np.zeros(len(net.flat), dtype=np.float32), net.side)
         net.gradient(around(padded, own), padded[own], grad)
         squares += grad.flat ** 2
         net.flat -= rate * grad.flat / (np.sqrt(squares) + 1e-6)
@@ -185,10 +191,10 @@ class Vocabulary:
     words: np.ndarray  # sorted hashes of the frequent words
     ids: np.ndarray  # their ids, by frequency
     counts: np.ndarray  # of every id
-    within: np.ndarray  # log-probability of a word within its id
+    within: np.ndarray  # log-probability of a word within its id if all words of the id were alike
 
     def look_up(self, words: np.ndarray) -> np.ndarray:
-        out = FREQUENT + (words >> np.uint64(40)) % np.uint64(RARE)
+        out = FREQUENT + (words >> np.uint64(40)) % np.uint64(len(self.counts) - FREQUENT)
         if len(self.words):
             at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
             hit = self.words[at] == words
@@ -202,33 +208,105 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     rows = top.collect()
     words = np.array([r["word"] for r in rows], dtype=np.int64).view(np.uint64)
     order = np.argsort(words)
-    n = np.zeros(EDGE)
+    side = max(SIDE, math.ceil(math.sqrt(FREQUENT + max(RARE, math.sqrt(counts.count())))))
+    n = np.zeros(side * side)
     n[:len(rows)] = [r["n"] for r in rows]
-    kinds = np.ones(EDGE)
+    kinds = np.ones(side * side)
     rare = (counts.join(F.broadcast(counts.sparkSession.createDataFrame([(r["word"],) for r in rows], "word long")), "word", "left_anti")
-            .groupBy(F.pmod(F.shiftrightunsigned("word", 40), F.lit(RARE)).alias("id")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds")))
-    for r in rare.collect():  # at most RARE rows
+            .groupBy(F.pmod(F.shiftrightunsigned("word", 40), F.lit(side * side - FREQUENT)).alias("id")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds")))
+    for r in rare.collect():  # one row per hashed id
         n[FREQUENT + r["id"]], kinds[FREQUENT + r["id"]] = r["n"], r["kinds"]
     return Vocabulary(words[order], np.arange(len(rows))[order], n, -np.log(kinds))
 
 
+def _packed(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.large_binary(), len(first) - 1, [
+        None, pa.py_buffer((first * values.itemsize).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
+
+
 def encoded(docs: DataFrame, vocab: Vocabulary, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, ids (16 bits each) and the summed log-probability of the words within their ids."""
+    """doc_id, ids (16 bits each), the summed log-probability of the words within their ids if all were alike,
+    the chunk, the places of the document's rare words (32 bits each) among the chunk's distinct ones, and
+    these (64 bits each, ascending) on the chunk's first row."""
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = T.StructType([narrow.schema["doc_id"], T.StructField("ids", T.BinaryType()), T.StructField("within", T.DoubleType())])
+    schema = T.StructType([narrow.schema["doc_id"], T.StructField("ids", T.BinaryType()), T.StructField("within", T.DoubleType()),
+                           T.StructField("chunk", T.LongType()), T.StructField("rare", T.BinaryType()), T.StructField("words", T.BinaryType())])
 
     def run(batches):
-        for whole in batches:
-            for batch in tx.steps(whole, "text"):
+        from pyspark import TaskContext
+        chunk = TaskContext.get().partitionId() << 32
+        for part in (part for whole in batches for part in tx.steps(whole, "text", CHUNK_BYTES)):
+            held, others = [], []
+            for batch in tx.steps(part, "text"):
                 words, first = tx.lower_words(batch.column(1).cast(pa.large_string()))
                 ids = vocab.look_up(words)
+                rare = ids >= FREQUENT
                 within = np.diff(np.append(0, np.cumsum(vocab.within[ids]))[first])
-                packed = pa.Array.from_buffers(pa.large_binary(), batch.num_rows, [
-                    None, pa.py_buffer((first * 2).astype(np.int64)), pa.py_buffer(ids.astype("<u2"))])
-                yield pa.RecordBatch.from_arrays([batch.column(0), packed.cast(pa.binary()), pa.array(within)], names=schema.names)
+                held.append((batch.column(0), ids.astype("<u2"), first, within, np.append(0, np.cumsum(rare))[first]))
+                others.append(words[rare])
+            kinds, at = np.unique(np.concatenate(others), return_inverse=True)
+            words, lo = kinds.astype("<u8").tobytes(), 0
+            for names, ids, first, within, rare in held:
+                places = at[lo:lo + rare[-1]].astype("<u4")
+                yield pa.RecordBatch.from_arrays(
+                    [names, _packed(ids, first), pa.array(within), pa.array(np.full(len(names), chunk)), _packed(places, rare),
+                     pa.array([words] + [None] * (len(names) - 1), pa.binary())], names=schema.names)
+                words, lo = None, lo + rare[-1]
+            chunk += 1
     return narrow.mapInArrow(run, schema)
 
 
+def _joined(column: pa.ChunkedArray, dtype: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=dtype)
+
+
+def word_shares(rows: DataFrame, counts: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """chunk, part, shares: for the chunk's distinct rare words of a hash range, in order, the log of the word's
+    share of its id's count in the corpus over 1 / (distinct words of the id).
+
+    A word comes once per chunk, however often the chunk has it, and a range holds about ``RANGE_WORDS``
+    words of the corpus, so neither a frequent word nor a large corpus makes a large group."""
+    bits = max(9, math.ceil(math.log2(max(1, vocab.counts.sum()) / RANGE_WORDS)))
+    shift = 64 - bits
+
+    def dealt(batches):
+        cuts = np.arange(1 << bits, dtype=np.uint64) << np.uint64(shift)
+        for batch in batches:
+            for chunk, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = np.frombuffer(words, dtype="<u8")
+                ends = np.append(np.searchsorted(words, cuts), len(words))
+                parts = np.flatnonzero(np.diff(ends))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(parts), chunk)), pa.array(parts, pa.int32()),
+                                                  _packed(words, np.append(ends[parts], len(words)))], names=["chunk", "part", "words"])
+
+    def looked_up(asked: pa.Table, table: pa.Table) -> pa.Table:
+        words = table["word"].to_numpy().view(np.uint64)
+        order = np.argsort(words)
+        words, ids = words[order], vocab.look_up(words[order])
+        shares = np.log(table["n"].to_numpy()[order]) - np.log(vocab.counts[ids]) - vocab.within[ids]
+        own = _joined(asked["words"], "<u8")
+        first = np.append(0, np.cumsum(pc.binary_length(asked["words"]).to_numpy())) // 8
+        return pa.table([asked["chunk"], asked["part"], _packed(shares[np.searchsorted(words, own)], first)], names=["chunk", "part", "shares"])
+
+    asked = rows.where("words IS NOT NULL").select("chunk", "words").mapInArrow(dealt, "chunk long, part int, words binary")
+    table = counts.select(F.shiftrightunsigned("word", shift).cast("int").alias("part"), "word", "n")
+    return asked.groupBy("part").cogroup(table.groupBy("part")).applyInArrow(looked_up, "chunk long, part int, shares binary")
+
+
+def with_shares(scored: DataFrame, shares: DataFrame) -> DataFrame:
+    """The scores of ``score(..., also=("chunk", "rare"))`` with every word's own share of its id."""
+    schema = T.StructType([f for f in scored.schema if f.name not in ("chunk", "rare")])
+
+    def add(docs: pa.Table, parts: pa.Table) -> pa.Table:
+        of_words = _joined(parts.sort_by("part")["shares"], "<f8")
+        first = np.append(0, np.cumsum(pc.binary_length(docs["rare"]).to_numpy())) // 4
+        more = np.diff(np.append(0, np.cumsum(of_words[_joined(docs["rare"], "<u4")]))[first])
+        n, total = docs["n_tokens"].to_numpy(), docs["log_likelihood"].to_numpy() + more
+        mean = np.divide(total, n, out=np.full(len(n), np.nan), where=n > 0)
+        return pa.table([docs["doc_id"], docs["n_tokens"], pa.array(total), pa.array(mean, from_pandas=True)], names=schema.names)
+    return scored.groupBy("chunk").cogroup(shares.groupBy("chunk")).applyInArrow(add, schema)
+
+
 def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     column = column.cast(pa.large_binary())
     _, offsets, data = column.buffers()
@@ -250,21 +328,22 @@ def _bounded(batch: pa.RecordBatch, column: str, size: int = 400_000):
 def train(rows: DataFrame, counts: np.ndarray, rounds: int = ROUNDS) -> Network:
     """Average, round by round, the networks that the tasks train on their own documents."""
     net = Network.start(counts)
-    cells = -(-Network.size() // CELLS)
+    side, weights = net.side, len(net.flat)
+    cells = -(-weights // CELLS)
 
     def local(start: np.ndarray, turn: int):
         def run(batches):
-            own, squares, examples = Network(start.copy()), np.full(Network.size(), 1e-4, dtype=np.float32), 0
+            own, squares, examples = Network(start.copy(), side), np.full(weights, 1e-4, dtype=np.float32), 0
             for batch in batches:
                 for part in _bounded(batch, "ids"):
                     ids, begin = _ids(part.column(0))
-                    padded, place = windows(ids, begin)
+                    padded, place = windows(ids, begin, side * side)
                     for at in masked(begin, turn, rounds):
                         train_on(own, padded, place[at], squares)
                         examples += len(at)
             if examples:
                 padded = np.zeros(cells * CELLS)
-                padded[:Network.size()] = own.flat
+                padded[:weights] = own.flat
                 values = (padded * examples).reshape(cells, CELLS)
                 from pyspark import TaskContext
                 yield pa.RecordBatch.from_arrays(
@@ -289,34 +368,37 @@ def train(rows: DataFrame, counts: np.ndarray, rounds: int = ROUNDS) -> Network:
         flat = np.zeros(cells * CELLS, dtype=np.float32)
         for r in total:
             flat[r["cell"] * CELLS:(r["cell"] + 1) * CELLS] = np.asarray(r["weights"]) / r["examples"]
-        net = Network(flat[:Network.size()].copy())
+        net = Network(flat[:weights].copy(), side)
     return net
 
 
-def score(rows: DataFrame, net: Network) -> DataFrame:
-    """doc_id, n_tokens, log_likelihood, mean_log_prob of encoded documents."""
+def score(rows: DataFrame, net: Network, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_tokens, log_likelihood, mean_log_prob of encoded documents and the columns ``also`` of them;
+    within an id all words are alike."""
     schema = T.StructType([rows.schema["doc_id"], T.StructField("n_tokens", T.LongType()), T.StructField("log_likelihood", T.DoubleType()),
-                           T.StructField("mean_log_prob", T.DoubleType())])
-    flat = net.flat
+                           T.StructField("mean_log_prob", T.DoubleType()), *[rows.schema[c] for c in also]])
+    flat, side = net.flat, net.side
 
     def run(batches):
-        own = Network(flat)
+        own = Network(flat, side)
         for batch in batches:
             for part in _bounded(batch, "ids"):
                 ids, begin = _ids(part.column(1))
-                padded, place = windows(ids, begin)
+                padded, place = windows(ids, begin, side * side)
                 logs = np.concatenate([np.zeros(1), *[own.log_probs(around(padded, place[lo:lo + 32768]), ids[lo:lo + 32768])
                                                       for lo in range(0, len(ids), 32768)]])
                 total = np.diff(np.cumsum(logs)[begin]) + part.column(2).to_numpy()
                 n = np.diff(begin)
                 mean = np.divide(total, n, out=np.full(len(n), np.nan), where=n > 0)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(total), pa.array(mean, from_pandas=True)],
-                                                 names=schema.names)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(total), pa.array(mean, from_pandas=True),
+                                                  *[part.column(c) for c in also]], names=schema.names)
     return rows.mapInArrow(run, schema)
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """Train on all documents and score each of them."""
-    vocab = vocabulary(staged(word_counts(docs, text_col), "word-counts"))
+    counts = staged(word_counts(docs, text_col), "word-counts")
+    vocab = vocabulary(counts)
     rows = staged(encoded(docs, vocab, id_col, text_col), "encoded")
-    return score(rows, train(rows, vocab.counts, rounds))
+    scored = score(rows, train(rows, vocab.counts, rounds), ("chunk", "rare"))
+    return with_shares(scored, word_shares(rows, counts, vocab))

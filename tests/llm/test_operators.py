@@ -464,6 +464,35 @@ def test_training_beats_the_unigram_start(spark):
     assert total[1] > total[0]
 
 
+def test_rare_words_have_their_share_of_the_corpus(spark):
+    often = [f"w{i}" for i in range(1400) for _ in range(9)]
+    others = [(f"r{i}", 1 + i % 7) for i in range(3000)]
+    random.Random(1).shuffle(often)
+    texts = [" ".join(often), *[" ".join([w] * n) for w, n in others], None, "", "r5 w1 r5 r6"]
+    d = spark.createDataFrame([(None if i == 9 else i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    counts = staged(lm_scoring.word_counts(d), "counts")
+    vocab = lm_scoring.vocabulary(counts)
+    rows = staged(lm_scoring.encoded(d, vocab, "doc_id", "text"), "encoded")
+    net = lm_scoring.train(rows, vocab.counts, 0)
+    got = {r["doc_id"]: r for r in lm_scoring.with_shares(
+        lm_scoring.score(rows, net, ("chunk", "rare")), lm_scoring.word_shares(rows, counts, vocab)).collect()}
+    plain = {r["doc_id"]: r for r in lm_scoring.score(rows, net).collect()}
+    n = {r["word"]: r["n"] for r in counts.collect()}
+    assert len(got) == len(texts) == d.count() and got.keys() == plain.keys()
+    for i, t in enumerate(texts):
+        words, _ = tx.lower_words(pa.array([t or ""], pa.large_string()))
+        own = [(n[int(w)], k) for w, k in zip(words.view(np.int64), vocab.look_up(words))]
+        want = sum(math.log(c / vocab.counts[k]) for c, k in own)
+        r, p = got[None if i == 9 else i], plain[None if i == 9 else i]
+        assert r["n_tokens"] == len(own) and abs(r["log_likelihood"] - p["log_likelihood"] + vocab.within[[k for _, k in own]].sum() - want) < 1e-6 * max(1, len(own))
+        assert r["mean_log_prob"] is None if not own else abs(r["mean_log_prob"] - r["log_likelihood"] / len(own)) < 1e-9
+
+
+def test_number_of_ids_follows_the_distinct_words(spark):
+    few, many = (lm_scoring.vocabulary(spark.range(n).select(F.xxhash64("id").alias("word"), F.lit(1).cast("long").alias("n"))) for n in (1000, 200_000))
+    assert len(few.counts) == lm_scoring.EDGE and len(many.counts) >= lm_scoring.FREQUENT + 447
+
+
 def test_training_predicts_every_position(spark):
     d = spark.createDataFrame([(i, "one two three four five six seven eight") for i in range(4000)], "doc_id long, text string")
     vocab = lm_scoring.vocabulary(staged(lm_scoring.word_counts(d), "counts"))
