@@ -16,6 +16,9 @@ from tessera.session import checkpoint
 from tessera.sources import fixtures as fx
 
 
+SAMPLED_ROWS = 200  # rows that sampled attributions explain, as many as the reference
+
+
 def model_data(spark: SparkSession, d: str) -> DataFrame:
     c = fe.engineer(fx.campaign(spark, d))
     c = fe.drop_leakage(c, ["duration"])
@@ -61,18 +64,17 @@ def leaderboard(spark: SparkSession, d: str, names=("logreg", "rf", "gbt", "mlp"
     return rows
 
 
-def explain_linear(spark: SparkSession, d: str, n_rows: int = 200, k: int = 5) -> DataFrame:
-    """X1 + X3 on the logistic model: attributions for a hash sample of test rows."""
+def explain_linear(spark: SparkSession, d: str, k: int = 5) -> DataFrame:
+    """X1 + X3 on the logistic model: attributions for every test row."""
     x = model_data(spark, d)
     train = x.filter(F.col("split") == "train")
     model = ml.train(train, "logreg")
     names = ml.feature_names(x)
-    sample = pr.sample_n(x.filter(F.col("split") == "test"), n_rows, 42, "row_id")
-    phi = xp.linear_shap(sample, model.coefficients.toArray().tolist(), train, names=names)
+    phi = xp.linear_shap(x.filter(F.col("split") == "test"), model.coefficients.toArray().tolist(), train, names=names)
     return xp.global_importance(phi, k)
 
 
-def explain_sampled(spark: SparkSession, d: str, name: str = "rf", n_rows: int = 50, n_perm: int = 4,
+def explain_sampled(spark: SparkSession, d: str, name: str = "rf", n_rows: int = SAMPLED_ROWS, n_perm: int = 4,
                     k: int = 5) -> DataFrame:
     """X2 + X3 for any model: sampled Shapley attributions on a hash sample of
     test rows, then the top-k mean |phi| features."""
@@ -96,9 +98,11 @@ def model_importance(spark: SparkSession, d: str, name: str = "rf", k: int = 5)
                                  "rank INT, feature STRING, importance DOUBLE")
 
 
-def explain_saved(spark: SparkSession, d: str, name: str = "logreg", k: int = 5, n_rows: int = 100) -> DataFrame:
+def explain_saved(spark: SparkSession, d: str, name: str = "logreg", k: int = 5, n_rows: int = SAMPLED_ROWS,
+                  n_perm: int = 4) -> DataFrame:
     """Save a fitted model (S11), load it back and explain it: linear
-    attributions for linear models, sampled Shapley values otherwise; when the
+    attributions of every test row for linear models, sampled Shapley values
+    of a hash sample of ``n_rows`` otherwise; when the
     attribution step fails, fall back to model-native importances.  The
     status column records ``success``, ``fallback_success`` or ``failed``."""
     from pyspark.ml import Pipeline
@@ -110,12 +114,13 @@ def explain_saved(spark: SparkSession, d: str, name: str = "logreg", k: int = 5,
     io.save_model(Pipeline(stages=[ml.MODELS[name]()]).fit(train), path)
     model = io.load_model(path).stages[-1]
     names = ml.feature_names(x)
-    sample = pr.sample_n(x.filter(F.col("split") == "test"), n_rows, 42, "row_id")
+    test = x.filter(F.col("split") == "test")
     try:
         if hasattr(model, "coefficients"):
-            phi = xp.linear_shap(sample, model.coefficients.toArray().tolist(), train, names=names)
+            phi = xp.linear_shap(test, model.coefficients.toArray().tolist(), train, names=names)
         else:
-            phi = xp.sampled_shapley(sample, model, train, n_perm=4, seed=7, n_features=len(names))
+            sample = pr.sample_n(test, n_rows, 42, "row_id")
+            phi = xp.sampled_shapley(sample, model, train, n_perm=n_perm, seed=7, n_features=len(names))
             nm = F.array(*[F.lit(n) for n in names])
             phi = phi.withColumn("feature", F.element_at(nm, F.col("feature_index") + 1))
         out = xp.global_importance(phi, k).select("rank", "feature", F.col("mean_abs_phi").alias("importance"))

@@ -15,4 +15,4 @@ register("x03_linear_importance")(lambda s, d: classify.explain_linear(s, d))
 register("x02_sampled_shapley_importance")(lambda s, d: classify.explain_sampled(s, d, "rf"))
 register("x04_model_importance")(lambda s, d: classify.model_importance(s, d, "rf"))
 register("x06_explain_saved_logreg")(lambda s, d: classify.explain_saved(s, d, "logreg"))
-register("x06_explain_saved_gbt")(lambda s, d: classify.explain_saved(s, d, "gbt", n_rows=30))
+register("x06_explain_saved_gbt")(lambda s, d: classify.explain_saved(s, d, "gbt"))

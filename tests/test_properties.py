@@ -240,3 +240,20 @@ def test_exact_quantiles_of_skewed_groups(spark):
     for k, vs in groups.items():
         assert np.allclose(got[k], np.quantile(vs, [0.25, 0.9]))
     assert {r["g"] for r in pr.summary(df, ["x"], ["g"]).collect()} == {"a", None, "c", "d"}
+
+
+@pytest.mark.parametrize("name, rows", [("x03_linear_importance", None), ("x06_explain_saved_logreg", None),
+                                        ("x02_sampled_shapley_importance", 200), ("x06_explain_saved_gbt", 200)])
+def test_importance_ranks_all_rows_or_the_references_sample(spark, monkeypatch, name, rows):
+    from tessera.operators import explain, ml
+    from tessera.plans import classify
+    from tessera.plans.registry import load_all
+    ranked, whole = [], explain.global_importance
+    tiny = spark.createDataFrame([(i, i, float(i)) for i in range(5)], "row_id int, feature_index int, phi double")
+    monkeypatch.setitem(ml.MODELS, "rf", lambda: ml.RandomForestClassifier(numTrees=2, maxDepth=2, seed=1))
+    monkeypatch.setitem(ml.MODELS, "gbt", lambda: ml.GBTClassifier(maxIter=2, maxDepth=2, seed=1))
+    monkeypatch.setattr(explain, "sampled_shapley", lambda df, *a, **k: ranked.append(df) or tiny)
+    monkeypatch.setattr(explain, "global_importance", lambda phi, k=5: ranked.append(phi) or whole(phi, k))
+    assert load_all()[name][0](spark, SF_SMALL).count() == 5
+    test = classify.model_data(spark, SF_SMALL).filter(F.col("split") == "test").count()
+    assert test > 200 and ranked[0].select("row_id").distinct().count() == (rows or test)
