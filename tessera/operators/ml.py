@@ -69,22 +69,23 @@ def feature_names(df: DataFrame, col: str = "features") -> list[str]:
 
 MODELS = {
     "logreg": lambda: LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
-                                         maxIter=200, standardization=False),
-    "rf": lambda: RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=100, seed=42),
-    "gbt": lambda: GBTClassifier(featuresCol="features", labelCol="label", maxIter=50, seed=42),
-    "mlp": lambda: MultilayerPerceptronClassifier(featuresCol="features", labelCol="label", seed=42, maxIter=200),
+                                         maxIter=2000, standardization=False),
+    "rf": lambda: RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=600, seed=42),
+    "gbt": lambda: GBTClassifier(featuresCol="features", labelCol="label", maxIter=800, seed=42),
+    "mlp": lambda: MultilayerPerceptronClassifier(featuresCol="features", labelCol="label", seed=42, maxIter=300),
 }
 
 
 def default_grid(name: str, est, n_features: int | None = None):
-    """T1-T4 grids (the reference's axes that Spark ML supports)."""
+    """T1-T4 grids (the reference's axes that Spark ML supports; a depth without limit is Spark's greatest, 30)."""
     g = ParamGridBuilder()
     if name == "logreg":
         g = g.addGrid(est.regParam, [0.1, 0.01, 0.001])
     elif name == "rf":
-        g = g.addGrid(est.maxDepth, [6, 12]).addGrid(est.minInstancesPerNode, [1, 5])
+        g = g.addGrid(est.maxDepth, [6, 12, 30]).addGrid(est.minInstancesPerNode, [1, 5])
     elif name == "gbt":
-        g = g.addGrid(est.maxDepth, [3, 5]).addGrid(est.stepSize, [0.05, 0.1]).addGrid(est.subsamplingRate, [0.8, 1.0])
+        g = (g.addGrid(est.maxDepth, [3, 6]).addGrid(est.stepSize, [0.01, 0.05, 0.1]).addGrid(est.subsamplingRate, [0.8, 1.0])
+             .addGrid(est.featureSubsetStrategy, ["0.8", "all"]))
     elif name == "mlp":
         g = g.addGrid(est.layers, [[n_features, 64, 2], [n_features, 128, 64, 2]])
     return g.build()

@@ -10,7 +10,10 @@ register("t02_rf_scores")(lambda s, d: classify.fit_and_score(s, d, "rf"))
 register("t03_gbt_scores")(lambda s, d: classify.fit_and_score(s, d, "gbt"))
 register("t04_mlp_scores")(lambda s, d: classify.fit_and_score(s, d, "mlp"))
 register("t05_grid_search_logreg")(lambda s, d: classify.fit_and_score(s, d, "logreg", grid=True))
-register("t06_leaderboard")(lambda s, d: classify.leaderboard(s, d, ("logreg", "rf")))
+register("t05_grid_search_rf")(lambda s, d: classify.fit_and_score(s, d, "rf", grid=True))
+register("t05_grid_search_gbt")(lambda s, d: classify.fit_and_score(s, d, "gbt", grid=True))
+register("t05_grid_search_mlp")(lambda s, d: classify.fit_and_score(s, d, "mlp", grid=True))
+register("t06_leaderboard")(lambda s, d: classify.leaderboard(s, d))
 register("x03_linear_importance")(lambda s, d: classify.explain_linear(s, d))
 register("x02_sampled_shapley_importance")(lambda s, d: classify.explain_sampled(s, d, "rf"))
 register("x04_model_importance")(lambda s, d: classify.model_importance(s, d, "rf"))
