@@ -97,3 +97,22 @@ def op10_sentencepiece(spark, sf_dir):
 def op1_pseudo_likelihood(spark, sf_dir):
     from tessera.llm.lm_scoring import score_documents
     return score_documents(read(spark, sf_dir, "documents"))
+
+
+#: The rules of op12: host, path prefix and verdict.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query("op12_url_rules", f"""
+WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+hosts AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM rest),
+urls AS (SELECT row_number() OVER () AS row_no, page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM hosts),
+fits AS (SELECT *, row_number() OVER (PARTITION BY row_no ORDER BY length(rule_host) + length(rule_path) DESC NULLS LAST, length(rule_host) DESC) AS nth
+         FROM urls LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(rule_verdict, 'allow') AS verdict FROM fits WHERE nth = 1""")
+def op12_url_rules(spark, sf_dir):
+    from tessera.llm.url_rules import judge_urls
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(read(spark, sf_dir, "pages"), rules)
