@@ -116,3 +116,65 @@ def op12_url_rules(spark, sf_dir):
     from tessera.llm.url_rules import judge_urls
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return judge_urls(read(spark, sf_dir, "pages"), rules)
+
+
+def _repair_sql() -> str:
+    """op13 as SQL: the automaton's costs, audits and lines by recursion from a conversation's last row."""
+    def made(cost, letter, line, to):
+        lines = f"list_prepend({line}, {to}.lines)" if line else f"{to}.lines"
+        return f"{{'cost': {to}.cost + {cost}, 'audit': '{letter}' || {to}.audit, 'lines': {lines}}}"
+    never = "{'cost': 1000000000, 'audit': '', 'lines': CAST([] AS VARCHAR[])}"
+    to = {0: 2, 1: 2, 2: 3, 3: 2}
+    keeps = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+    role = {2: "user", 3: "assistant"}
+
+    def edits(q):
+        kept = " ".join(f"WHEN initial = '{i}' THEN {made('late', 'K', 'line', f'b{t}')}" for i, t in keeps[q].items())
+        again = made("2 + late", "R", f"'{role[to[q]]}:' || text", f"b{to[q]}")
+        own = [made("3", "D", "", f"b{q}"), f"CASE WHEN gone THEN {never} {kept} ELSE {never} END", f"CASE WHEN gone THEN {never} ELSE {again} END"]
+        return f"list_sort([{', '.join(own)}])[1] AS w{q}"
+
+    def inserts(q, behind):
+        added = made("2", "I", f"'{role[to[q]]}:'", behind)
+        return f"list_sort([w{q}, {added}])[1] AS b{q}"
+    none = "CAST([] AS VARCHAR[])"
+    base = (f"{{'cost': 0, 'audit': '', 'lines': {none}}} AS b0, {{'cost': 4, 'audit': 'II', 'lines': ['user:', 'assistant:']}} AS b1, "
+            f"{{'cost': 2, 'audit': 'I', 'lines': ['assistant:']}} AS b2, {{'cost': 0, 'audit': '', 'lines': {none}}} AS b3")
+    blanks = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH RECURSIVE table_of AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+         lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END)) AS t),
+keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+kinds AS (SELECT * EXCLUDE (k), xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(k, ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+                 lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), CAST(4294967295 AS BIGINT)) % 20 AS kind FROM keyed, table_of),
+hurt AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM kinds WHERE kind <> 0),
+placed AS (SELECT *, row_number() OVER c AS i, count(*) OVER (PARTITION BY conv_id) AS n, left(role, 1) AS initial, rtrim(text, {blanks}) AS shown,
+                  lag(left(role, 1)) OVER c AS before, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+           FROM hurt WINDOW c AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy)),
+faults AS (SELECT *, shown = '' AS blank, shown <> '' AND nth > 1 AS duplicate, shown <> '' AND nth = 1 AND right(shown, 1) NOT IN ('.', '!', '?') AS truncated FROM placed),
+steps AS (SELECT conv_id, i, n, initial, text, role || ':' || text AS line, blank OR duplicate AS gone, CAST(truncated AS INTEGER) AS late FROM faults),
+costs AS (
+  SELECT conv_id, max(n) + 1 AS i, {base} FROM steps GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, i, {inserts(0, "b2")}, {inserts(1, "b2")}, b2, b3 FROM (
+    SELECT conv_id, i, w0, w1, {inserts(2, "w3")}, {inserts(3, "w2")} FROM (
+      SELECT s.conv_id, s.i, {", ".join(edits(q) for q in range(4))}
+      FROM costs JOIN steps s ON costs.conv_id IS NOT DISTINCT FROM s.conv_id AND costs.i = s.i + 1))),
+sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+                count(*) FILTER (truncated) AS truncated, count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(b0.cost, 0) AS BIGINT) AS cost, coalesce(b0.audit, '') AS audit,
+       sha256(coalesce(array_to_string(b0.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN sums ON o.conv_id IS NOT DISTINCT FROM sums.conv_id
+LEFT JOIN costs ON o.conv_id IS NOT DISTINCT FROM costs.conv_id AND costs.i = 1"""
+
+
+@query("op13_conversation_repair", _repair_sql())
+def op13_conversation_repair(spark, sf_dir):
+    from tessera.llm.conversation_repair import repair_damaged
+    return repair_damaged(read(spark, sf_dir, "conversations"))

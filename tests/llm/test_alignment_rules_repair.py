@@ -1,10 +1,14 @@
 """URL rules, token alignment and conversation repair against brute force, on awkward rows and empty tables."""
 
+import hashlib
 import random
+import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from tessera.llm import url_rules
+from tessera.llm import conversation_repair, url_rules
 
 RULE = "host string, path string, verdict string"
 
@@ -73,3 +77,128 @@ def test_urls_without_rules_or_rows(spark):
     assert got == sorted([(1, "a.net", "/", None, "block")] * 2 + [(None, "", "", None, "block")], key=repr)
     some = spark.createDataFrame([("net", "/", "block")], RULE)
     assert url_rules.judge_urls(table.limit(0), some).count() == 0
+
+
+# --- conversation repair ----------------------------------------------------------------------------
+
+EMPTY_SHA = hashlib.sha256().hexdigest()
+
+
+def plain_damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        kind = zlib.crc32(key.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if kind == 0:
+            continue
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = "".join(c for c in text if c not in ".!?")
+        if kind == 4:
+            role = "user"
+        out += [(conv, turn, role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+def plain_repair(rows):
+    """gaps, blank, duplicate, truncated, illegal, cost, audit, hash of one conversation's rows."""
+    rows = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2], hashlib.sha256(r[3].encode()).hexdigest()))
+    turns = [r[1] for r in rows if r[1] is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    seen, faults = set(), []
+    for _, _, role, text in rows:
+        shown = text.rstrip(" \t\n\x0b\x0c\r")
+        faults.append("b" if not shown else "d" if (role, text) in seen else "t" if shown[-1] not in ".!?" else "")
+        seen.add((role, text))
+    illegal = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    after, role_of = {0: 2, 1: 2, 2: 3, 3: 2}, {2: "user", 3: "assistant"}
+    keeps = [{"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2}]
+    best = {0: (0, "", []), 1: (4, "II", ["user:", "assistant:"]), 2: (2, "I", ["assistant:"]), 3: (0, "", [])}
+    for (_, _, role, text), f in zip(rows[::-1], faults[::-1]):
+        own = {}
+        for q in range(4):
+            c, a, ls = best[q]
+            some = [(c + 3, "D" + a, ls)]
+            if f not in ("b", "d"):
+                late = f == "t"
+                if role[:1] in keeps[q]:
+                    c, a, ls = best[keeps[q][role[:1]]]
+                    some.append((c + late, "K" + a, [f"{role}:{text}"] + ls))
+                c, a, ls = best[after[q]]
+                some.append((c + 2 + late, "R" + a, [f"{role_of[after[q]]}:{text}"] + ls))
+            own[q] = min(some)
+        for _ in range(3):
+            for q in range(4):
+                c, a, ls = own[after[q]]
+                own[q] = min(own[q], (c + 2, "I" + a, [role_of[after[q]] + ":"] + ls))
+        best = own
+    cost, audit, lines = best[0]
+    return gaps, faults.count("b"), faults.count("d"), faults.count("t"), illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest()
+
+
+def plain_conversations(rows, damage=True):
+    left = plain_damage(rows) if damage else [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows]
+    out = {}
+    for conv in {r[0] for r in rows}:
+        own = [r for r in left if r[0] == conv]
+        out[conv] = plain_repair(own) if own else (0, 0, 0, 0, 0, 0, "", EMPTY_SHA)
+    return out
+
+
+def random_conversations(seed):
+    r = random.Random(seed)
+    rows = []
+    for conv in range(60):
+        for turn in range(r.randint(1, 9)):
+            rows.append((conv, r.choice([turn, turn, turn + 3, None]), r.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None]),
+                         r.choice(["Hi.", "Well", "yes!", "  ", "", None, f"t{r.randint(0, 99)}?", "é. \n", "x ", "?.!"])))
+    roles = {100: ["user"], 101: ["tool"], 102: ["user", "assistant"], 103: ["assistant"], 104: ["system", "user", "assistant", "tool"]}
+    for conv, some in roles.items():  # long ones: their cost vectors alternate, settle at once or not at all
+        rows += [(conv, t, r.choice(some) if conv > 102 else some[t % len(some)], f"text {t}" + r.choice([".", "", "!"])) for t in range(130)]
+    rows += [(105, t, "user", "same.") for t in range(90)] + [(None, 1, "user", "Hello."), (None, None, "assistant", "Yes.")]
+    rows += [(106, 0, "user", "long. " * 40_000), (106, 1, "assistant", "a" * 200_000)]
+    r.shuffle(rows)
+    return rows
+
+
+CONV = "conv_id long, turn long, role string, text string, pos long, code int, chunk long, `at` int, step string"
+
+
+@pytest.mark.parametrize("seed, bits, passes", [(1, 2, 3), (2, 3, 0), (3, 12, 3), (4, 1, 1)])
+def test_repair_equals_brute_force(spark, seed, bits, passes):
+    rows = random_conversations(seed)
+    table = spark.createDataFrame([(*x, None, None, None, None, None) for x in rows], CONV).repartition(5)
+    got = {x[0]: tuple(x[1:]) for x in conversation_repair.repair_damaged(table, bits, passes).collect()}
+    assert got == plain_conversations(rows)
+
+
+def test_repair_writes_the_repaired_rows(spark):
+    rows = [(1, 0, "system", "Be kind."), (1, 1, "assistant", "Hi."), (1, 2, "tool", "x"), (2, 0, "user", "Only."), (3, 0, "user", " "), (4, 0, "tool", "No end")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = conversation_repair.repair(table).orderBy("conv_id", "at", "step").collect()
+    kept = {c: [(x.new_role, x.new_text) for x in got if x.conv_id == c and x.edit != "D"] for c in (1, 2, 3, 4)}
+    plain = {c: v for c, v in plain_conversations(rows, damage=False).items()}
+    for c, lines in kept.items():
+        assert "".join(x.edit for x in got if x.conv_id == c) == plain[c][6]
+        assert hashlib.sha256("\n".join(f"{r}:{t}" for r, t in lines).encode()).hexdigest() == plain[c][7]
+    assert kept[2] == [("user", "Only."), ("assistant", "")] and kept[3] == []
+
+
+def test_repair_of_nothing(spark):
+    none = spark.createDataFrame([], CONV)
+    assert conversation_repair.repair_damaged(none).count() == 0
+    assert conversation_repair.repair(none).count() == 0
+
+
+def test_a_fix_up_pass_stops_where_vectors_agree():
+    """A run from another vector ends as soon as the stored vector comes up, and gives the full run's trace."""
+    r = random.Random(5)
+    codes = pa.array([[r.randrange(8) for _ in range(n)] for n in (0, 1, 5, 40, 40)], pa.list_(pa.int8()))
+    chunks = conversation_repair.Chunks(codes)
+    a, b = np.tile([0, 4, 2, 0], (5, 1)), np.tile([0, 3, 1, 0], (5, 1))
+    old = conversation_repair.run_back(chunks, a)
+    again = conversation_repair.run_back(chunks, b, old, np.array([True, True, True, True, False]))
+    full = conversation_repair.run_back(chunks, b)
+    assert (again[:46] == full[:46]).all() and (again[46:] == old[46:]).all()
