@@ -178,3 +178,9 @@ LEFT JOIN costs ON o.conv_id IS NOT DISTINCT FROM costs.conv_id AND costs.i = 1"
 def op13_conversation_repair(spark, sf_dir):
     from tessera.llm.conversation_repair import repair_damaged
     return repair_damaged(read(spark, sf_dir, "conversations"))
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark, sf_dir):
+    from tessera.llm.token_alignment import align_documents
+    return align_documents(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tessera.llm import conversation_repair, url_rules
+from tessera.llm import conversation_repair, queries, token_alignment, url_rules
 
 RULE = "host string, path string, verdict string"
 
@@ -202,3 +202,118 @@ def test_a_fix_up_pass_stops_where_vectors_agree():
     again = conversation_repair.run_back(chunks, b, old, np.array([True, True, True, True, False]))
     full = conversation_repair.run_back(chunks, b)
     assert (again[:46] == full[:46]).all() and (again[46:] == old[46:]).all()
+
+
+# --- token alignment --------------------------------------------------------------------------------
+
+A_PATH, B_PATH = queries.tokenizer_path("byte_bpe_50k.json"), queries.tokenizer_path("piece_bpe_32k.model")
+
+
+def plain_tokens(texts):
+    """Per text: [(id, bytes)] of A and B, straight from the libraries."""
+    import sentencepiece
+    from tokenizers import Tokenizer, decoders
+    a = Tokenizer.from_file(A_PATH)
+    a.encode_special_tokens = True
+    alphabet = {}
+    other = 256
+    for byte in range(256):
+        if 33 <= byte <= 126 or 161 <= byte <= 172 or byte >= 174:
+            alphabet[chr(byte)] = byte
+        else:
+            alphabet[chr(other)] = byte
+            other += 1
+    b = sentencepiece.SentencePieceProcessor(model_file=B_PATH)
+
+    def piece(i):
+        p = b.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("\u2581", " ").encode()
+    out = []
+    for t in texts:
+        if not t:
+            out.append(([], []))
+            continue
+        own_a = [(i, bytes(alphabet[c] for c in a.id_to_token(i))) for i in a.encode(" " + t, add_special_tokens=False).ids]
+        own_b = [(i, piece(i)) for i in b.encode(t)]
+        want = (" " + t).encode()
+        same = b"".join(x for _, x in own_a) == want == b"".join(x for _, x in own_b)
+        out.append((own_a, own_b) if same else ([], []))
+    return out
+
+
+def plain_alignment(texts):
+    from collections import Counter
+    docs, counts = [], Counter()
+    for a, b in plain_tokens(texts):
+        spans = []
+        for side in (a, b):
+            at, own = 0, []
+            for i, raw in side:
+                own.append((at, at + len(raw), i))
+                at += len(raw)
+            spans.append(own)
+        links, j = [], 0
+        for s, e, i in spans[0]:
+            while j < len(spans[1]) and spans[1][j][1] <= s:
+                j += 1
+            k = j
+            while k < len(spans[1]) and spans[1][k][0] < e:
+                links.append((i, spans[1][k][2]))
+                k += 1
+        counts.update(links)
+        cuts = sorted({e for _, e, _ in spans[0]} & {e for _, e, _ in spans[1]})
+        text, lo = [], 0
+        for c in cuts:
+            text.append("|".join(",".join(str(i) for s, e, i in side if lo < e <= c) for side in spans))
+            lo = c
+        docs.append((len(a), len(b), len(cuts), links, ";".join(text)))
+    most = {}
+    for (_, b), n in counts.items():
+        most[b] = max(most.get(b, 0), n)
+    return [(n_a, n_b, g, len(ls), sum(counts[x] == most[x[1]] for x in ls), sum(counts[x] for x in ls),
+             hashlib.sha256(t.encode()).hexdigest() if n_a else "") for n_a, n_b, g, ls, t in docs]
+
+
+def alignment_texts(seed):
+    r = random.Random(seed)
+    words = ["the", "Therapist", "antidisestablishmentarianism", "naïve", "日本語", "😀😀", "don't", "...", "  ", "\n", "\t", "1234567", "x=y;", "é", "\u00a0", "<s>", "<|endoftext|>"]
+    some = [" ".join(r.choice(words) for _ in range(r.randint(1, 40))) for _ in range(40)]
+    return some + [None, "", " ", "a", "\u2581", "with \u2581 inside", "\x00 zero", "ё" * 50, some[0], some[0], "word " * 3000, "日本" * 800, "z" * 3000]
+
+
+@pytest.mark.parametrize("work, segment, chunk", [(1 << 16, 1 << 18, 1 << 24), (3, 40, 200), (1, 1 << 18, 3000), (50, 500, 1)])
+def test_alignment_equals_brute_force(spark, work, segment, chunk):
+    texts = alignment_texts(7)
+    rows = list(enumerate(texts)) + [(None, "the end"), (3, "twice")]
+    table = spark.createDataFrame([(i, t, 1, 2, "x", 0) for i, t in rows], "doc_id long, text string, node long, piece int, pair string, chunk long").repartition(3)
+    got = sorted(map(tuple, token_alignment.align_documents(table, A_PATH, B_PATH, work=work, segment=segment, chunk_bytes=chunk).collect()), key=repr)
+    assert got == sorted([(i, *x) for (i, _), x in zip(rows, plain_alignment([t for _, t in rows]))], key=repr)
+
+
+@pytest.mark.parametrize("work", [1, 7, 1 << 16])
+def test_overlaps_are_the_covering_tokens(spark, work):
+    texts = [t for t in alignment_texts(9) if t and "\u2581" not in t]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((x.doc_id, x.start, x.end, x.a_id, x.b_id) for x in token_alignment.overlaps(table, A_PATH, B_PATH, work=work, segment=60).collect())
+    want = []
+    for d, (a, b) in enumerate(plain_tokens(texts)):
+        ends = [np.cumsum([len(raw) for _, raw in side]).tolist() for side in (a, b)]
+        lo = 0
+        for e in sorted(set(ends[0]) | set(ends[1])):
+            want.append((d, lo, e, a[np.searchsorted(ends[0], e)][0], b[np.searchsorted(ends[1], e)][0]))
+            lo = e
+    assert got == sorted(want)
+
+
+def test_diagonals_divide_the_merge_path():
+    r = np.random.default_rng(3)
+    a, b = np.cumsum(r.integers(1, 4, 300)), np.cumsum(r.integers(1, 4, 500))
+    merged = sorted([(x, 0) for x in a.tolist()] + [(x, 1) for x in b.tolist()])
+    want = np.cumsum([0] + [side == 0 for _, side in merged])
+    assert (token_alignment.path_at(a, b, np.arange(801)) == want).all()
+
+
+def test_alignment_of_nothing(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert token_alignment.align_documents(none, A_PATH, B_PATH).count() == 0
+    assert token_alignment.overlaps(none, A_PATH, B_PATH).count() == 0
