@@ -14,9 +14,10 @@ Overlaps of an id pair are summed per chunk of about ``CHUNK_BYTES`` of text and
 chunk gets back the corpus counts of its own pairs only, so no task holds all pairs, and a pair that stands
 in every text comes once per chunk.
 
-Texts longer than ``SEGMENT`` characters are encoded in segments that begin at a space between two
-characters that are no white space, where neither tokenizer joins anything.  (For B that is checked on
-its vocabulary; a model without that property takes whole texts.)
+Neither tokenizer joins anything across a space that follows a character other than white space, so texts
+are cut there, every distinct word is encoded once while a bounded cache lasts, and texts longer than
+``SEGMENT`` characters are handled in segments.  (That holds for a byte-level A with the usual splitter and is
+checked on B's vocabulary; other models take whole texts.)
 
 Defined cases: texts that are null or empty, or whose joined tokens differ from the text's bytes under A or B
 (a written-out marker of B, say), have no tokens: zeros, and '' for the groups; strings of special tokens are
@@ -38,13 +39,15 @@ from pyspark.sql import types as T
 
 from tessera.llm import text as tx
 from tessera.llm.common import staged
-from tessera.llm.sentencepieces import Model
+from tessera.llm.sentencepieces import MARK, Model
 
 WORK = 1 << 16              # merged ends of a piece
 SEGMENT = 1 << 18           # characters of a text encoded at once
 CHUNK_BYTES = 16 << 20      # text of a chunk
 LINKS_AT_ONCE = 1 << 19
 ID_BITS = 16
+CACHED_WORDS = 200_000      # distinct words whose ids a worker keeps
+JOINED = 500                # new words encoded by one call
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -91,13 +94,16 @@ class Pair:
         with open(b_path, "rb") as f:
             model = Model.parse(f.read())
         self.b_side = Side(model.bytes_of())
-        self.separable = model.separable() and model.dummy_prefix
+        before = read.get("pre_tokenizer") or {}
+        self.separable = (model.separable() and model.dummy_prefix and before.get("type") == "ByteLevel"
+                          and bool(before.get("use_regex")) and not read.get("normalizer"))
+        self.words = _Words(self)
 
     def segments(self, text: str, size: int) -> list[str]:
         """A space and the text, cut so that every part begins with a space."""
         led = " " + text
         if len(led) <= size or not self.separable:
-            return [led]
+            return [led]  # any other pair of models takes whole texts
         cuts, at = [0], size
         while at < len(led):
             m = _SAFE.search(led, at)
@@ -107,16 +113,57 @@ class Pair:
             at = m.start() + size
         return [led[a:b] for a, b in zip(cuts, [*cuts[1:], len(led)])]
 
-    def encode(self, parts: list[str]):
-        """ids of A and of B, both with the tokens per part."""
+    def plain(self, parts: list[str]):
+        """ids of A and of B, both with the tokens per part, from the libraries; parts begin with a space."""
         a = [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
         b = self.b.encode([p[1:] for p in parts], num_threads=1)
         out = []
         for ids in (a, b):
-            n = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            out += [np.fromiter((t for x in ids for t in x), dtype=np.int64, count=int(n.sum())), n]
+            out += [np.concatenate([np.zeros(0, np.int64), *[np.array(x, dtype=np.int64) for x in ids]]),
+                    np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))]
         return out
 
+    def of_words(self, words: list[str]):
+        """As :meth:`plain` for words cut as in :meth:`encode`: ``JOINED`` of them go to a call, and the
+        bytes of the tokens tell them apart again.  Words that end with white space or hold a marker go alone."""
+        alone = np.array([w[-1].isspace() or MARK in w for w in words], dtype=bool)
+        easy = [w for w, x in zip(words, alone) if not x]
+        joined = ["".join(easy[i:i + JOINED]) for i in range(0, len(easy), JOINED)]
+        rest = self.plain([w for w, x in zip(words, alone) if x])
+        together = self.plain(joined)
+        ends = np.cumsum(np.fromiter((len(w.encode()) for w in easy), dtype=np.int64, count=len(easy)))
+        out = []
+        for k, side in ((0, self.a_side), (2, self.b_side)):
+            ids = together[k]
+            token_ends = np.cumsum(side.size[ids])
+            last = np.searchsorted(token_ends, ends)
+            if len(easy) and (last[-1] + 1 != len(ids) or (token_ends[last] != ends).any()):
+                return self.plain(words)
+            n = np.zeros(len(words), dtype=np.int64)
+            n[~alone], n[alone] = np.diff(np.append(-1, last)), rest[k + 1]
+            of = np.repeat(alone, n)
+            both = np.zeros(int(n.sum()), dtype=np.int64)
+            both[~of], both[of] = ids, rest[k]
+            out += [both, n]
+        return out
+
+    def encode(self, parts: list[str]):
+        """As :meth:`plain`, but every distinct word is encoded once while the cache lasts.
+
+        A space behind a character that is no white space begins a word of A's splitter, whatever follows,
+        and no piece of B runs across it, so the ids of the words are those of the whole."""
+        if not self.separable:
+            return self.plain(parts)
+        data, offsets = tx.utf8(pa.array(parts, pa.large_string()))
+        cut = np.zeros(len(data), dtype=bool)
+        cut[1:] = (data[1:] == 32) & ~_white_end(data)[:-1]
+        cut[offsets[:-1]] = True
+        at = np.flatnonzero(cut)
+        a, n_a, b, n_b = self.words(tx.pieces_between(data, at))
+        first = np.searchsorted(at, offsets)
+        ends_a, ends_b = np.append(0, np.cumsum(n_a))[first], np.append(0, np.cumsum(n_b))[first]
+        return a, np.diff(ends_a), b, np.diff(ends_b)
+
     def same(self, parts: list[str], a, n_a, b, n_b) -> np.ndarray:
         """Parts whose joined tokens are their bytes under A and B."""
         raw = [p.encode() for p in parts]
@@ -136,6 +183,60 @@ class Pair:
         return good
 
 
+_ASCII_WHITE = tx.byte_table(bytes([9, 10, 11, 12, 13, 32]))
+
+
+def _white_end(data: np.ndarray) -> np.ndarray:
+    """Bytes that end a white-space character."""
+    white = _ASCII_WHITE[data]
+    if (data >= 128).any():
+        one, two = np.zeros_like(data), np.zeros_like(data)
+        one[1:], two[2:] = data[:-1], data[:-2]
+        white |= (one == 0xC2) & ((data == 0x85) | (data == 0xA0))
+        white |= (two == 0xE1) & (one == 0x9A) & (data == 0x80) | (two == 0xE3) & (one == 0x80) & (data == 0x80)
+        white |= (two == 0xE2) & (one == 0x80) & ((data >= 0x80) & (data <= 0x8A) | (data == 0xA8) | (data == 0xA9) | (data == 0xAF))
+        white |= (two == 0xE2) & (one == 0x81) & (data == 0x9F)
+    return white
+
+
+class _Words:
+    """The ids of A and B of every distinct word, kept until there are more than ``CACHED_WORDS``."""
+
+    def __init__(self, pair: Pair):
+        self.pair = pair
+        self.clear()
+
+    def clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.flat = [np.zeros(0, np.uint16)] * 2
+        self.start, self.length = [np.zeros(0, np.int64)] * 2, [np.zeros(0, np.int64)] * 2
+
+    def __call__(self, words: pa.Array):
+        if len(self.index) > CACHED_WORDS:
+            self.clear()
+        coded = words.dictionary_encode()
+        known = coded.dictionary.to_pylist()
+        place = self.index.get
+        at = np.fromiter((place(w, -1) for w in known), dtype=np.int64, count=len(known))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            fresh = [known[i] for i in new.tolist()]
+            found = self.pair.of_words(fresh)
+            base = len(self.index)
+            self.index.update(zip(fresh, range(base, base + len(fresh))))
+            at[new] = np.arange(base, base + len(fresh))
+            for k, (ids, n) in enumerate((found[:2], found[2:])):
+                self.start[k] = np.append(self.start[k], len(self.flat[k]) + np.cumsum(n) - n)
+                self.length[k] = np.append(self.length[k], n)
+                self.flat[k] = np.append(self.flat[k], ids.astype(np.uint16))
+        row = at[coded.indices.to_numpy(zero_copy_only=False)]
+        out = []
+        for k in (0, 1):
+            n = self.length[k][row]
+            out += [tx.gather(self.flat[k], self.start[k][row], n).astype(np.int64), n]
+        return out
+
+
 _PAIRS: dict[tuple, Pair] = {}
 
 
@@ -185,7 +286,7 @@ def cut_path(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, wor
 
 def _packed(a: np.ndarray, b: np.ndarray) -> bytes:
     import zstandard
-    return zstandard.ZstdCompressor(level=1).compress(a.astype("<u2").tobytes() + b.astype("<u2").tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(a.astype("<u2").tobytes() + b.astype("<u2").tobytes())
 
 
 PIECE = ("node long, piece int, last boolean, chunk long, a_n int, b_n int, a_more int, b_more int, a_begin long, b_begin long, at long, ids binary")

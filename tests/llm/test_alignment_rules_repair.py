@@ -276,8 +276,9 @@ def plain_alignment(texts):
 
 def alignment_texts(seed):
     r = random.Random(seed)
-    words = ["the", "Therapist", "antidisestablishmentarianism", "naïve", "日本語", "😀😀", "don't", "...", "  ", "\n", "\t", "1234567", "x=y;", "é", "\u00a0", "<s>", "<|endoftext|>"]
+    words = ["the", "Therapist", "antidisestablishmentarianism", "naïve", "日本語", "😀😀", "don't", "...", "  ", "\n", "\t", "1234567", "x=y;", "é", "\u00a0", "\u3000", "\u2003", "\x1f", "\x0b", "\u00a0\u00a0", "\u0085x", "<s>", "<|endoftext|>"]
     some = [" ".join(r.choice(words) for _ in range(r.randint(1, 40))) for _ in range(40)]
+    some += ["".join(r.choice(words + [" "] * 8) for _ in range(60)) for _ in range(40)]
     return some + [None, "", " ", "a", "\u2581", "with \u2581 inside", "\x00 zero", "ё" * 50, some[0], some[0], "word " * 3000, "日本" * 800, "z" * 3000]
 
 
