@@ -157,6 +157,7 @@ class Pair:
         data, offsets = tx.utf8(pa.array(parts, pa.large_string()))
         cut = np.zeros(len(data), dtype=bool)
         cut[1:] = (data[1:] == 32) & ~_white_end(data)[:-1]
+        cut[offsets[1:] - 1] = False  # a space alone is no word: B would take it for an empty text
         cut[offsets[:-1]] = True
         at = np.flatnonzero(cut)
         a, n_a, b, n_b = self.words(tx.pieces_between(data, at))
