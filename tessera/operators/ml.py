@@ -1,4 +1,4 @@
-"""Model preparation, training, selection and scoring on Spark ML.
+"""Model preparation, training and scoring on Spark ML.
 
 Feature pipeline (M3, M4, M6): categorical columns go through
 StringIndexer(alphabetical, unseen kept) + OneHotEncoder(dropLast) so an unseen
@@ -14,10 +14,8 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,37 +74,15 @@ MODELS = {
 }
 
 
-def default_grid(name: str, est, n_features: int | None = None):
-    """T1-T4 grids (the reference's axes that Spark ML supports; a depth without limit is Spark's greatest, 30)."""
-    g = ParamGridBuilder()
-    if name == "logreg":
-        g = g.addGrid(est.regParam, [0.1, 0.01, 0.001])
-    elif name == "rf":
-        g = g.addGrid(est.maxDepth, [6, 12, 30]).addGrid(est.minInstancesPerNode, [1, 5])
-    elif name == "gbt":
-        g = (g.addGrid(est.maxDepth, [3, 6]).addGrid(est.stepSize, [0.01, 0.05, 0.1]).addGrid(est.subsamplingRate, [0.8, 1.0])
-             .addGrid(est.featureSubsetStrategy, ["0.8", "all"]))
-    elif name == "mlp":
-        g = g.addGrid(est.layers, [[n_features, 64, 2], [n_features, 128, 64, 2]])
-    return g.build()
-
-
-def train(df: DataFrame, name: str, grid: bool = False, folds: int = 5, seed: int = 42,
-          parallelism: int = 4):
-    """Fit one model; with ``grid`` a CrossValidator over stratified
-    hash folds (``fold`` column) scored by exact ROC-AUC (numBins=0)."""
+def train(df: DataFrame, name: str):
+    """One model on every row; the logistic penalty is that of C = 1, 1 / (C * sum of weights).
+    Grids are searched by ``tuning.search``."""
     est = MODELS[name]()
-    n_features = df.select("features").first()["features"].size if name == "mlp" else None
     if name == "mlp":
-        est = est.setLayers([n_features, 64, 2])
-    if not grid:
-        return est.fit(df)
-    ev = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction",
-                                       metricName="areaUnderROC", numBins=0)
-    data = df if "fold" in df.columns else fe.stratified_folds(df, "label", "row_id", folds, seed)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=default_grid(name, est, n_features), evaluator=ev,
-                        foldCol="fold", numFolds=folds, parallelism=parallelism, seed=seed)
-    return cv.fit(data.withColumn("fold", F.col("fold").cast("int"))).bestModel
+        est = est.setLayers([df.select("features").first()["features"].size, 64, 2])
+    if name == "logreg":
+        est = est.setRegParam(1.0 / max(1.0, df.agg(F.sum("weight")).first()[0] or 0.0))
+    return est.fit(df)
 
 
 def score(df: DataFrame, model, out: str = "score") -> DataFrame:

@@ -10,6 +10,8 @@ no query is compared with cells that cannot hold a neighbour.  Pivots are the
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,37 +24,41 @@ def sq_dist(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
 
 
-def _topk(pairs: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("i").orderBy("d2", "j")
+def _topk(pairs: DataFrame, k: int, by: Sequence[str] = ()) -> DataFrame:
+    w = Window.partitionBy(*by, "i").orderBy("d2", "j")
     return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def knn_join(df: DataFrame, id_col: str, vec: str, k: int = 5, n_pivots: int = 16, seed: int = 11) -> DataFrame:
+def knn_join(df: DataFrame, id_col: str, vec: str, k: int = 5, n_pivots: int = 16, seed: int = 11,
+             by: Sequence[str] = ()) -> DataFrame:
     """Exact kNN of every row among the rows of ``df`` (itself excluded):
-    (i, j, rank 1..k, d2 squared distance); ties broken by j."""
-    pts = df.select(F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("v"))
+    (i, j, rank 1..k, d2 squared distance); ties broken by j.  With ``by`` columns
+    neighbours come from the same group only."""
+    by = list(by)
+    pts = df.select(*by, F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("v"))
     piv = (pts.withColumn("__u", hash_uniform(seed, "id")).orderBy("__u", "id").limit(n_pivots)
            .select(F.col("v").alias("pv")).agg(F.collect_list("pv").alias("pivots")))
     x = pts.crossJoin(F.broadcast(piv))  # one row holding n_pivots vectors
     x = x.withColumn("pd", F.transform("pivots", lambda p: F.sqrt(sq_dist(F.col("v"), p)))).drop("pivots")
     x = x.withColumn("home", F.array_position("pd", F.array_min("pd")).cast("int"))
-    a = x.select(F.col("id").alias("i"), F.col("v").alias("vi"), F.col("pd").alias("pdi"), F.col("home"))
-    b = x.select(F.col("id").alias("j"), F.col("v").alias("vj"), F.col("home"))
+    a = x.select(*by, F.col("id").alias("i"), F.col("v").alias("vi"), F.col("pd").alias("pdi"), F.col("home"))
+    b = x.select(*by, F.col("id").alias("j"), F.col("v").alias("vj"), F.col("home"))
     # phase 1: neighbours inside the home cell
-    p1 = a.join(b, "home").filter(F.col("i") != F.col("j")) \
-        .select("i", "j", sq_dist(F.col("vi"), F.col("vj")).alias("d2"))
-    top1 = _topk(p1, k)
-    r = top1.groupBy("i").agg(F.max("d2").alias("r2"), F.count(F.lit(1)).alias("nk"))
+    p1 = a.join(b, [*by, "home"]).filter(F.col("i") != F.col("j")) \
+        .select(*by, "i", "j", sq_dist(F.col("vi"), F.col("vj")).alias("d2"))
+    top1 = _topk(p1, k, by)
+    r = top1.groupBy(*by, "i").agg(F.max("d2").alias("r2"), F.count(F.lit(1)).alias("nk"))
     # phase 2: other cells whose lower bound does not exceed r
-    q = a.join(r, "i", "left").withColumn(
+    q = a.join(r, [*by, "i"], "left").withColumn(
         "r", F.when(F.col("nk") >= k, F.sqrt("r2")).otherwise(F.lit(float("inf"))))
     home_d = F.element_at("pdi", F.col("home"))
-    cand = q.select("i", "vi", F.posexplode("pdi").alias("c0", "dc"), home_d.alias("dh"), "home", "r") \
+    cand = q.select(*by, "i", "vi", F.posexplode("pdi").alias("c0", "dc"), home_d.alias("dh"), "home", "r") \
         .withColumn("cell", (F.col("c0") + 1).cast("int")) \
         .filter((F.col("cell") != F.col("home")) & ((F.col("dc") - F.col("dh")) / 2 <= F.col("r")))
-    p2 = cand.select("i", "vi", F.col("cell").alias("home")).join(b, "home") \
-        .select("i", "j", sq_dist(F.col("vi"), F.col("vj")).alias("d2"))
-    return _topk(p1.unionByName(p2), k).select("i", "j", "rank", "d2")
+    p2 = cand.select(*by, "i", "vi", F.col("cell").alias("home")).join(b, [*by, "home"]) \
+        .select(*by, "i", "j", sq_dist(F.col("vi"), F.col("vj")).alias("d2"))
+    # phase 1 hands on its top k only: nothing else of it can be among the nearest
+    return _topk(top1.drop("rank").unionByName(p2), k, by).select(*by, "i", "j", "rank", "d2")
 
 
 def smote(df: DataFrame, id_col: str, vec: str, label: str, minority, k: int = 5, seed: int = 42,
@@ -82,3 +88,24 @@ def smote(df: DataFrame, id_col: str, vec: str, label: str, minority, k: int = 5
     base = base.join(mino.select(F.col("id").alias("j"), F.col("v").alias("xn")), "j")
     syn = F.zip_with("x", "xn", lambda a, b: a + F.col("gap") * (b - a))
     return base.select("s", F.lit(minority).alias(label), syn.alias(vec), "i", "j", "gap")
+
+
+def smote_draws(df: DataFrame, id_col: str, vec: str, label: str, minority, by: str, k: int = 5, seed: int = 42) -> DataFrame:
+    """M8 for several training sets at once, told apart by the column ``by``: per set and synthetic row ``s``
+    the base row i, its drawn neighbour j and the step ``gap`` from i towards j.  Positions, neighbours and
+    the number of synthetic rows (up to class parity) are those of the set, so no row of another set is used.
+    A set with fewer than two minority rows gets none; with fewer than k neighbours the draw is among these."""
+    hit = F.col(label) == F.lit(minority)
+    mino = df.filter(hit).select(by, F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("v"))
+    counts = df.groupBy(by).agg(F.sum(hit.cast("long")).alias("n_min"), F.sum((~hit).cast("long")).alias("n_maj"))
+    placed = ordinal(mino.select(by, "id"), by=[by], order=["id"], bucket=F.floor(F.col("id") / 65536), name="pos")
+    near = knn_join(mino, "id", "v", k, by=[by])
+    block = 65536  # synthetic rows are listed in blocks, so no array grows with the set
+    todo = (counts.where("n_min > 1 AND n_maj > n_min").withColumn("n", F.col("n_maj") - F.col("n_min"))
+            .select(by, "n_min", "n", F.explode(F.expr(f"sequence(0, (n - 1) div {block})")).alias("b"))
+            .select(by, "n_min", F.explode(F.expr(f"sequence(b * {block}, least(n, (b + 1) * {block}) - 1)")).alias("s")))
+    drawn = todo.select(by, "s", F.floor(hash_uniform(seed, by, "s", F.lit(1)) * F.col("n_min")).cast("long").alias("pos"),
+                        (F.floor(hash_uniform(seed, by, "s", F.lit(2)) * F.least(F.lit(k), F.col("n_min") - 1)) + 1).cast("int").alias("rank"),
+                        hash_uniform(seed, by, "s", F.lit(3)).alias("gap"))
+    return (drawn.join(placed.select(by, "pos", F.col("id").alias("i")), [by, "pos"])
+            .join(near.select(by, "i", "rank", "j"), [by, "i", "rank"]).select(by, "s", "i", "j", "gap"))

@@ -1,5 +1,5 @@
 """Campaign-response classification job: engineer -> split -> features ->
-fit -> threshold on validation -> test metrics -> explanation."""
+search -> threshold on validation -> test metrics -> explanation."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from tessera.operators import explain as xp
 from tessera.operators import features as fe
 from tessera.operators import ml
 from tessera.operators import profile as pr
+from tessera.operators import tuning
 from tessera.session import checkpoint
 from tessera.sources import fixtures as fx
 
@@ -32,26 +33,68 @@ def model_data(spark: SparkSession, d: str) -> DataFrame:
     return checkpoint(x.select("row_id", "label", "weight", "split", "features"))
 
 
-def fit_and_score(spark: SparkSession, d: str, name: str, grid: bool = False) -> DataFrame:
-    return _score(model_data(spark, d), name, grid)
+def fit_and_score(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """One model at its own defaults, fitted by Spark ML on every training row."""
+    return _score(model_data(spark, d), name)
 
 
-def _score(x: DataFrame, name: str, grid: bool = False) -> DataFrame:
+def _score(x: DataFrame, name: str) -> DataFrame:
     train = x.filter(F.col("split") == "train")
-    if grid:
-        train = fe.stratified_folds(train, "label", "row_id", 5, 42)
-    model = ml.train(train, name, grid=grid)
+    model = ml.train(train, name)
     s = ml.score(x.filter(F.col("split") != "train"), model)
     return s.select("row_id", "split", F.col("label").cast("int").alias("label"), np_round("score", 6).alias("score"))
 
 
-def leaderboard(spark: SparkSession, d: str, names=("logreg", "rf", "gbt", "mlp")) -> DataFrame:
-    """Per model: validation AUC / PR-AUC / threshold (E7), test AUC and
-    metrics at that threshold; one row per model."""
+FOLDS = 5
+
+
+def training_folds(x: DataFrame) -> DataFrame:
+    """The training rows with their fold."""
+    return checkpoint(fe.stratified_folds(x.filter(F.col("split") == "train"), "label", "row_id", FOLDS, 42))
+
+
+def search_and_score(spark: SparkSession, d: str, name: str, oversample: bool = False, grids: dict | None = None) -> DataFrame:
+    """T5: the model at the best point of its grid; scores of the validation and test rows."""
+    x = model_data(spark, d)
+    _, _, models = tuning.search(training_folds(x), [name], FOLDS, oversample, grids=grids)
+    return _searched(x, models[name])
+
+
+def _searched(x: DataFrame, model: dict) -> DataFrame:
+    s = tuning.apply(x.filter(F.col("split") != "train").select("row_id", "split", "label", "features"), model)
+    return s.select("row_id", "split", F.col("label").cast("int").alias("label"), np_round("score", 6).alias("score"))
+
+
+def grid_scores(spark: SparkSession, d: str, name: str, oversample: bool = False) -> DataFrame:
+    """T5: the mean held-out AUC of every grid point of a model and the number of its folds."""
+    scores = tuning.fold_scores(spark, tuning.gather(tuning.fitting_rows(training_folds(model_data(spark, d))), FOLDS, oversample), [name], FOLDS)
+    return scores.groupBy("model", "params").agg(np_round(F.avg("auc"), 6).alias("mean_auc"), F.count("*").alias("folds"))
+
+
+def oversampled_folds(spark: SparkSession, d: str) -> DataFrame:
+    """M8 inside T5: per training side (``held``: the fold left out, -1 for the final fit) its class sizes, the
+    synthetic rows, the sum of their base ids, and how many of their base rows and neighbours the side
+    does not hold (none)."""
+    rows = training_folds(model_data(spark, d))
+    drawn = checkpoint(tuning.oversampled(rows, FOLDS))
+    fold = rows.select("row_id", F.col("fold").alias("own"))
+    out = (drawn.join(fold.withColumnsRenamed({"row_id": "i", "own": "fold_i"}), "i").join(fold.withColumnsRenamed({"row_id": "j", "own": "fold_j"}), "j")
+           .groupBy("held").agg(F.count("*").alias("synthetic"), F.sum("i").alias("base_sum"),
+                                F.sum((F.col("fold_i") == F.col("held")).cast("long")).alias("base_held_out"),
+                                F.sum((F.col("fold_j") == F.col("held")).cast("long")).alias("neighbour_held_out")))
+    sides = tuning.training_sides(rows.select("label", "fold"), FOLDS).groupBy("held").agg(
+        F.sum((F.col("label") == 1).cast("long")).alias("minority"), F.sum((F.col("label") != 1).cast("long")).alias("majority"))
+    return sides.join(out, "held").select("held", "minority", "majority", "synthetic", "base_sum", "base_held_out", "neighbour_held_out")
+
+
+def leaderboard(spark: SparkSession, d: str, names=("logreg", "rf", "gbt", "mlp"), oversample: bool = False, grids: dict | None = None) -> DataFrame:
+    """Per model at the best point of its grid: that point, its mean AUC over the folds, validation AUC /
+    PR-AUC / threshold (E7), test AUC and metrics at that threshold; one row per model, best test AUC first."""
     rows = None
     x = model_data(spark, d)
+    _, best, models = tuning.search(training_folds(x), names, FOLDS, oversample, grids=grids)
     for n in names:
-        s = _score(x, n)
+        s = checkpoint(_searched(x, models[n]))
         val, test = s.filter(F.col("split") == "val"), s.filter(F.col("split") == "test")
         thr = ev.best_f1_threshold(val)
         t = float(thr.first()["threshold"])  # one number decides the test predicate
@@ -61,7 +104,8 @@ def leaderboard(spark: SparkSession, d: str, names=("logreg", "rf", "gbt", "mlp"
              .crossJoin(ev.classification_metrics(test, t).select("f1", "precision", "recall", "accuracy"))  # one-row side
              .withColumn("model", F.lit(n)))
         rows = r if rows is None else rows.unionByName(r)
-    return rows
+    return (rows.join(best, "model").withColumn("oversampled", F.lit(oversample))
+            .orderBy(F.desc("test_auc"), "model"))
 
 
 def explain_linear(spark: SparkSession, d: str, k: int = 5) -> DataFrame:

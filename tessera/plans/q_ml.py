@@ -2,20 +2,47 @@
 
 from __future__ import annotations
 
-from tessera.plans import classify
+from tessera.functions.hashing import hash_uniform_sql, np_round_sql
+from tessera.operators import ml
+from tessera.plans import classify, scoring
+from tessera.plans.q_features import ENG_SQL, SPLIT_SQL, U, W
 from tessera.plans.registry import register
 
 register("t01_logreg_scores")(lambda s, d: classify.fit_and_score(s, d, "logreg"))
 register("t02_rf_scores")(lambda s, d: classify.fit_and_score(s, d, "rf"))
 register("t03_gbt_scores")(lambda s, d: classify.fit_and_score(s, d, "gbt"))
 register("t04_mlp_scores")(lambda s, d: classify.fit_and_score(s, d, "mlp"))
-register("t05_grid_search_logreg")(lambda s, d: classify.fit_and_score(s, d, "logreg", grid=True))
-register("t05_grid_search_rf")(lambda s, d: classify.fit_and_score(s, d, "rf", grid=True))
-register("t05_grid_search_gbt")(lambda s, d: classify.fit_and_score(s, d, "gbt", grid=True))
-register("t05_grid_search_mlp")(lambda s, d: classify.fit_and_score(s, d, "mlp", grid=True))
+register("t05_grid_search_logreg")(lambda s, d: classify.search_and_score(s, d, "logreg"))
+register("t05_grid_search_rf")(lambda s, d: classify.search_and_score(s, d, "rf"))
+register("t05_grid_search_gbt")(lambda s, d: classify.search_and_score(s, d, "gbt"))
+register("t05_grid_search_mlp")(lambda s, d: classify.search_and_score(s, d, "mlp"))
+register("t05_grid_search_logreg_oversampled")(lambda s, d: classify.search_and_score(s, d, "logreg", oversample=True))
+register("t05_oversampled_folds", W + SPLIT_SQL + f""", tr AS (SELECT row_id, y, CAST((row_number() OVER (PARTITION BY y ORDER BY {U}, row_id) - 1) % 5 AS INT) AS fold
+  FROM sp WHERE split = 'train'),
+side AS (SELECT held, row_id, y FROM tr, (SELECT unnest([-1, 0, 1, 2, 3, 4]) AS held) WHERE fold <> held),
+cnt AS (SELECT held, count(*) FILTER (WHERE y = 'yes') AS n_min, count(*) FILTER (WHERE y <> 'yes') AS n_maj FROM side GROUP BY held),
+pos AS (SELECT held, row_id, row_number() OVER (PARTITION BY held ORDER BY row_id) - 1 AS pos FROM side WHERE y = 'yes'),
+s AS (SELECT held, n_min, unnest(range(n_maj - n_min)) AS s FROM cnt),
+dr AS (SELECT held, CAST(floor({hash_uniform_sql(42, 'held', 's', "'1'")} * n_min) AS BIGINT) AS pos FROM s),
+base AS (SELECT dr.held, count(*) AS synthetic, CAST(sum(row_id) AS BIGINT) AS base_sum FROM dr JOIN pos ON dr.held = pos.held AND dr.pos = pos.pos GROUP BY dr.held)
+SELECT cnt.held, n_min AS minority, n_maj AS majority, synthetic, base_sum, 0 AS base_held_out, 0 AS neighbour_held_out
+FROM cnt JOIN base ON cnt.held = base.held""")(classify.oversampled_folds)
 register("t06_leaderboard")(lambda s, d: classify.leaderboard(s, d))
+register("t06_leaderboard_oversampled")(lambda s, d: classify.leaderboard(s, d, oversample=True))
 register("x03_linear_importance")(lambda s, d: classify.explain_linear(s, d))
 register("x02_sampled_shapley_importance")(lambda s, d: classify.explain_sampled(s, d, "rf"))
 register("x04_model_importance")(lambda s, d: classify.model_importance(s, d, "rf"))
 register("x06_explain_saved_logreg")(lambda s, d: classify.explain_saved(s, d, "logreg"))
 register("x06_explain_saved_gbt")(lambda s, d: classify.explain_saved(s, d, "gbt"))
+
+# T7 and ST1 on raw records, with fixed coefficients: P10-P12, the training rows' scales and categories in SQL.
+_TRAIN = "(SELECT * FROM sp WHERE split = 'train')"
+_Z = " + ".join([repr(scoring.INTERCEPT)] + [f"{w!r}::DOUBLE * (CAST({c} AS DOUBLE) / s_{c})" for c, w in scoring.WEIGHTS.items()]
+                + [f"{s!r}::DOUBLE * coalesce(i_{c}.n, 0)" for c, s in scoring.STEPS.items()])
+RAW_SQL = (W + ENG_SQL + "," + SPLIT_SQL.replace("FROM campaign", "FROM eng") + ", st AS (SELECT " + ", ".join(
+    f"CASE WHEN stddev_pop(CAST({c} AS DOUBLE)) = 0 THEN 1.0 ELSE stddev_pop(CAST({c} AS DOUBLE)) END AS s_{c}" for c in ml.NUM_COLS) + f" FROM {_TRAIN})"
+    + "".join(f", i_{c} AS (SELECT v, row_number() OVER (ORDER BY v) AS n FROM (SELECT DISTINCT {c} AS v FROM {_TRAIN}))" for c in ml.CAT_COLS)
+    + f" SELECT row_id, {np_round_sql(f'1 / (1 + exp(-({_Z})))', 6)} AS score FROM sp CROSS JOIN st"
+    + "".join(f" LEFT JOIN i_{c} ON sp.{c} = i_{c}.v" for c in ml.CAT_COLS) + " WHERE split <> 'train'")
+register("t07_score_raw", RAW_SQL)(scoring.batch_scores)
+register("st01_score_raw_stream", RAW_SQL)(scoring.stream_scores)

@@ -1,6 +1,6 @@
 """Structured Streaming jobs.
 
-Both jobs read a file source with ``trigger(availableNow=True)`` (no port is
+The jobs read a file source with ``trigger(availableNow=True)`` (no port is
 opened), keep their progress in a checkpoint location under the cluster's
 shared checkpoint folder, and write to a parquet sink there, so a restarted
 driver or a lost executor resumes from the committed offsets.
@@ -52,8 +52,12 @@ def score_stream(spark: SparkSession, source: str, schema, model, out_cols=("row
     """ST1: score records as they arrive with a fitted pipeline / model
     (same transform as batch scoring T7)."""
     from pyspark.ml.functions import vector_to_array
-    s = spark.readStream.schema(schema).parquet(source)
-    scored = model.transform(s).select(*out_cols, vector_to_array("probability")[1].alias("score"))
-    out = scratch(spark, "scores")
-    _run_to_parquet(scored, out)
+    return transform_stream(spark, source, schema, lambda s: model.transform(s).select(
+        *out_cols, vector_to_array("probability")[1].alias("score")), "scores")
+
+
+def transform_stream(spark: SparkSession, source: str, schema, change, name: str) -> DataFrame:
+    """The rows that ``change`` makes of files as they arrive in ``source``, row by row."""
+    out = scratch(spark, name)
+    _run_to_parquet(change(spark.readStream.schema(schema).parquet(source)), out)
     return spark.read.parquet(f"{out}/data")
