@@ -159,28 +159,6 @@ def cutoffs(df: DataFrame, ds: str = "ds", initial: int = 730, period: int = 180
         .select(*by, F.date_sub("__last", F.col("__k") * period).alias("cutoff"))
 
 
-def rolling_origin_cv(df: DataFrame, grid: Sequence[dict], ds: str = "ds", y: str = "y",
-                      regressors: Sequence[str] = (), initial: int = 730, period: int = 180, horizon: int = 90) -> DataFrame:
-    """For every cutoff and grid point, fit on ds <= cutoff and score
-    (cutoff, cutoff + horizon]; mean RMSE per grid point.  Cutoffs are a series
-    key, so all folds of a grid point are fitted in the same Spark jobs."""
-    cut = cutoffs(df, ds, initial, period, horizon)
-    rows = []
-    for gi, g in enumerate(grid):
-        seasons = tuple((n, p, g.get(f"{n}_order", o)) for n, p, o in SEASONS)
-        tr = df.join(F.broadcast(cut), F.col(ds) <= F.col("cutoff"))  # few cutoffs
-        te = df.join(F.broadcast(cut), (F.col(ds) > F.col("cutoff")) & (F.col(ds) <= F.date_add("cutoff", horizon)))
-        m = fit_seasonal(tr, ds, y, regressors, by=["cutoff"], ridge=g.get("ridge", 1e-6), seasons=seasons)
-        p = forecast_seasonal(m, te, ds, regressors, by=["cutoff"], seasons=seasons)
-        e = p.groupBy("cutoff").agg(F.sqrt(F.avg((F.col(y) - F.col("yhat")) ** 2)).alias("rmse"))
-        rows.append(e.agg(F.avg("rmse").alias("mean_rmse"), F.count(F.lit(1)).alias("n_cutoffs"))
-                    .withColumn("grid_index", F.lit(gi)))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
-
-
 # ---------------------------------------------------------------- bootstrap
 def forecast_bootstrap(df: DataFrame, horizon: int, ds: str = "ds", y: str = "y", context: int = 512,
                        paths: int = 100, period: int = 7, seed: int = 3, by: Sequence[str] = ()) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import evaluate as ev
 from tessera.operators import forecast as fc
+from tessera.operators import gram
 from tessera.operators import profile as pr
 from tessera.operators import timeseries as ts
 from tessera.plans import daily
@@ -109,16 +110,26 @@ def arx_test(x: DataFrame) -> DataFrame:
     return p.join(test.select("ds", "y"), "ds").select("ds", "y", "yhat", "yhat_lower", "yhat_upper", "step")
 
 
+FORM = gram.Form(tuple(REGRESSORS))
+
+
+def cutoff_errors(spark: SparkSession, d: str) -> DataFrame:
+    """Every cutoff and point of the grid; test rows stay unseen."""
+    return gram.cutoff_errors(series(spark, d).filter(F.col("split") == "train"), "ds", "y", FORM)
+
+
+def rolling_origin(spark: SparkSession, d: str) -> DataFrame:
+    """Mean error of each of the 72 points over the cutoffs."""
+    return gram.mean_errors(cutoff_errors(spark, d))
+
+
 def refit_best(spark: SparkSession, d: str) -> DataFrame:
     """Pick the grid point with the lowest mean CV RMSE (first on ties),
     refit on all training rows and forecast the test rows."""
     x = series(spark, d)
-    grid = [{"ridge": r, "yearly_order": o} for r in (1e-6, 1e-2) for o in (5, 10)]
-    cv = fc.rolling_origin_cv(x.filter(F.col("split") == "train"), grid, "ds", "y", REGRESSORS)  # test rows stay unseen
-    best = cv.orderBy("mean_rmse", "grid_index").first()["grid_index"]  # one number
-    g = grid[best]
-    seasons = tuple((n, p, g.get(f"{n}_order", o)) for n, p, o in fc.SEASONS)
     train, test = x.filter(F.col("split") == "train"), x.filter(F.col("split") == "test")
-    m = fc.fit_seasonal(train, "ds", "y", REGRESSORS, ridge=g["ridge"], seasons=seasons)
-    return fc.forecast_seasonal(m, test, "ds", REGRESSORS, seasons=seasons) \
-        .select("ds", "y", "yhat", "yhat_lower", "yhat_upper").withColumn("grid_index", F.lit(best))
+    mean = gram.mean_errors(gram.cutoff_errors(train, "ds", "y", FORM))
+    best = checkpoint(mean.orderBy("mean_rmse", "grid_index").limit(1))
+    m = gram.fit(train, best, "ds", "y", FORM)
+    return (gram.forecast(m, test, "ds", FORM).select("ds", "y", "yhat", "yhat_lower", "yhat_upper")
+            .crossJoin(F.broadcast(best.select("grid_index", "params"))))  # one row

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import np_round, np_round_sql
 from tessera.operators import forecast as fc
+from tessera.operators import gram
 from tessera.operators import timeseries as ts
 from tessera.plans import daily, forecasting
 from tessera.plans.registry import register
@@ -58,13 +63,8 @@ register("g01_fit_seasonal")(_coef)
 register("g02_forecast_seasonal_test")(lambda s, d: forecasting.seasonal_test(forecasting.series(s, d)))
 
 
-def g03cv(spark, d):
-    x = forecasting.series(spark, d)
-    grid = [{"ridge": r, "yearly_order": o} for r in (1e-6, 1e-2) for o in (5, 10)]
-    return fc.rolling_origin_cv(x.filter(F.col("split") == "train"), grid, "ds", "y", forecasting.REGRESSORS)
-
-
-register("g03_rolling_origin_cv")(g03cv)
+register("g03_rolling_origin_cv")(forecasting.rolling_origin)
+register("g03_cutoff_errors")(forecasting.cutoff_errors)
 
 
 def g06(spark, d):
@@ -163,3 +163,53 @@ def g01g(spark, d):
     out = g.select(F.get_json_object("__series", "$.series").alias("series"), F.posexplode("g").alias("pos", "v"))
     out = out.select("series", (F.col("pos") / p).cast("int").alias("i"), F.pmod("pos", F.lit(p)).cast("int").alias("j"), "v")
     return out.filter(F.col("i") <= F.col("j")).select("series", "i", "j", np_round("v", 6).alias("value"))
+
+
+# ------------------------------------------------ fits that SQL can state (D)
+MEANS = f"""WITH pd AS (SELECT o_orderpriority AS series, CAST(o_orderdate AS DATE) AS ds,
+  {R('avg(o_totalprice)', 0)} AS o_totalprice FROM orders GROUP BY 1, 2 HAVING avg(o_totalprice) IS NOT NULL)"""
+TREND = gram.Form((), (), 0)
+UNIT = "(date_diff('day', mn, ds) / CAST(greatest(date_diff('day', mn, mx), 1) AS DOUBLE))"
+
+
+@register("g01_trend_fit", MEANS + f""", sp AS (SELECT series, min(ds) AS mn, max(ds) AS mx FROM pd GROUP BY series),
+x AS (SELECT series, {UNIT} AS t, o_totalprice AS y FROM pd JOIN sp USING (series))
+SELECT series, count(*) AS n, {R('regr_intercept(y, t)', 4)} AS level, {R('regr_slope(y, t)', 4)} AS slope,
+  {R('sqrt((regr_syy(y, t) - regr_sxy(y, t) ** 2 / regr_sxx(y, t)) / (count(*) - 3))', 4)} AS sigma FROM x GROUP BY series""")
+def g01t(spark, d):
+    """Level and slope per series from the Gram sums alone."""
+    from tessera.plans.q_timeseries import _priority_daily
+    m = gram.fit(_priority_daily(spark, d), None, "ds", "o_totalprice", TREND, ["series"])
+    return m.select("series", "n", np_round(F.col("gamma")[0], 4).alias("level"), np_round(F.col("gamma")[1], 4).alias("slope"), np_round("sigma", 4).alias("sigma"))
+
+
+WEEK = gram.Form((), (("weekly", 7.0, 3),), 2)
+
+
+def _product_sql() -> str:
+    day = "CAST(date_diff('day', DATE '1970-01-01', ds) AS DOUBLE)"
+    trend = ["1.0::DOUBLE", "t", *[f"greatest(t - {float(k)!r}::DOUBLE, 0)" for k in WEEK.knot_places()]]
+    waves = ["1.0::DOUBLE", *[f"{f}({2 * math.pi * k / p!r}::DOUBLE * {day})" for _, p, o in WEEK.seasons for k in range(1, o + 1) for f in ("sin", "cos")]]
+    terms = [f"({a}) * ({b})" for a in trend for b in waves]
+    sums = ", ".join(f"sum(({x}) * o_totalprice) AS b_{i}" for i, x in enumerate(terms))
+    return MEANS + f""", sp AS (SELECT series, min(ds) AS mn, max(ds) AS mx FROM pd GROUP BY series),
+x AS (SELECT pd.*, {UNIT} AS t FROM pd JOIN sp USING (series)),
+s AS (SELECT series, {sums} FROM x GROUP BY series),
+u AS (SELECT * FROM (UNPIVOT s ON {", ".join(f"b_{i}" for i in range(len(terms)))} INTO NAME k VALUE v))
+SELECT series, CAST(split_part(k, '_', 2) AS INT) AS i, {R('v / 1e6', 4)} AS value FROM u"""
+
+
+@register("g01_product_sums", _product_sql())
+def g01p(spark, d):
+    """X'y (in millions) of the trend and season products per series."""
+    from tessera.plans.q_timeseries import _priority_daily
+    x = _priority_daily(spark, d)
+    sums = gram.gram_table(x, WEEK, "ds", "o_totalprice", F.lit(0), gram.spans(x, "ds", ["series"]), ["series"])
+
+    def listed(batches):
+        for b in batches:
+            for series, raw in zip(b.column("series").to_pylist(), b.column("b").to_pylist()):
+                v = np.frombuffer(raw)
+                yield pa.RecordBatch.from_arrays([pa.array([series] * len(v)), pa.array(np.arange(len(v), dtype=np.int32)), pa.array(v)], names=["series", "i", "v"])
+    out = sums.select("series", "b").mapInArrow(listed, "series string, i int, v double")
+    return out.select(F.get_json_object("series", "$.series").alias("series"), "i", np_round(F.col("v") / 1e6, 4).alias("value"))
