@@ -58,6 +58,9 @@ class Network:
             at += n
         self.tables, self.bias, self.to_class, self.class_bias, self.to_word, self.word_bias = parts
 
+    def parts(self) -> list[np.ndarray]:
+        return [self.bias, self.to_class, self.class_bias, self.to_word, self.word_bias]
+
     @staticmethod
     def size(n: int = SIDE) -> int:
         return 2 * REACH * (n * n + 1) * HIDDEN + HIDDEN + HIDDEN * n + n + n * HIDDEN * n + n * n
@@ -85,59 +88,85 @@ class Network:
         """log p(id | both sides) of every position."""
         h = self.hidden(around)
         cls, word = np.divmod(ids, self.side)
-        out = _log_softmax_at(h @ self.to_class + self.class_bias, cls)
+        out = _log_softmax_at(h @ self.to_class + self.class_bias, cls, _bounded_by(self.to_class, self.class_bias))
         order, ends = _by_class(cls, self.side)
-        for c in np.flatnonzero(np.diff(ends)):
-            own = order[ends[c]:ends[c + 1]]
-            out[own] += _log_softmax_at(h[own] @ self.to_word[c] + self.word_bias[c], word[own])
+        h, word, safe = h[order], word[order], _bounded_by(self.to_word, self.word_bias)
+        more = np.empty(len(ids))
+        for c in np.flatnonzero(np.diff(ends)).tolist():
+            lo, hi = ends[c], ends[c + 1]
+            more[lo:hi] = _log_softmax_at(h[lo:hi] @ self.to_word[c] + self.word_bias[c], word[lo:hi], safe)
+        out[order] += more
         return out
 
-    def gradient(self, around: np.ndarray, ids: np.ndarray, grad: Network) -> float:
-        """Add the gradient of the mean negative log-probability to ``grad``; returns that mean."""
+    def gradient(self, around: np.ndarray, ids: np.ndarray) -> tuple[float, list[tuple[np.ndarray, object, np.ndarray]]]:
+        """The mean negative log-probability, and its gradient as (weights, rows of them, values): of the position
+        tables only the rows that the batch reads, of the output layer only the classes in it."""
         n = len(ids)
         h = self.hidden(around)
         cls, word = np.divmod(ids, self.side)
-        loss, d = _softmax_slope(h @ self.to_class + self.class_bias, cls, n)
-        grad.to_class[:] += h.T @ d
-        grad.class_bias[:] += d.sum(0)
+        loss, d = _softmax_slope(h @ self.to_class + self.class_bias, cls, n, _bounded_by(self.to_class, self.class_bias))
+        ones = np.ones(n, h.dtype)
+        everything = slice(None)
+        grads = [(self.to_class, everything, h.T @ d), (self.class_bias, everything, ones @ d)]
         back = d @ self.to_class.T
         order, ends = _by_class(cls, self.side)
-        for c in np.flatnonzero(np.diff(ends)):
-            own = order[ends[c]:ends[c + 1]]
-            more, d = _softmax_slope(h[own] @ self.to_word[c] + self.word_bias[c], word[own], n)
+        by_class, word = h[order], word[order]
+        seen = np.flatnonzero(np.diff(ends))
+        layers, biases = np.empty((len(seen), HIDDEN, self.side), np.float32), np.empty((len(seen), self.side), np.float32)
+        backs, safe = np.empty_like(by_class), _bounded_by(self.to_word, self.word_bias)
+        for k, c in enumerate(seen.tolist()):
+            lo, hi = ends[c], ends[c + 1]
+            more, d = _softmax_slope(by_class[lo:hi] @ self.to_word[c] + self.word_bias[c], word[lo:hi], n, safe)
             loss += more
-            grad.to_word[c] += h[own].T @ d
-            grad.word_bias[c] += d.sum(0)
-            back[own] += d @ self.to_word[c].T
+            np.matmul(by_class[lo:hi].T, d, out=layers[k])
+            np.matmul(ones[lo:hi], d, out=biases[k])
+            np.matmul(d, self.to_word[c].T, out=backs[lo:hi])
+        back[order] += backs
+        grads += [(self.to_word, seen, layers), (self.word_bias, seen, biases)]
         back *= 1 - h * h
-        grad.bias[:] += back.sum(0)
-        for p in range(2 * REACH):
-            order = np.argsort(around[p].astype(np.uint16), kind="stable")  # a radix sort
-            seen = around[p][order]
-            last = np.flatnonzero(np.append(seen[1:] != seen[:-1], True))
-            grad.tables[p][seen[last]] += np.diff(np.cumsum(back[order], axis=0, dtype=np.float64)[last], axis=0, prepend=0)
-        return loss
+        grads.append((self.bias, everything, ones @ back))
+        # one sort for all positions: the tables stand one below the other
+        rows = self.tables.shape[1]
+        key = (around + np.arange(2 * REACH)[:, None] * rows).ravel()
+        order = np.argsort(key.astype(np.uint16) if 2 * REACH * rows <= 1 << 16 else key, kind="stable")  # 16 bits: a radix sort
+        key = key[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        grads.append((self.tables.reshape(-1, HIDDEN), key[first], np.add.reduceat(back[order % n], first, axis=0)))
+        return loss, grads
 
 
 def _by_class(cls: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
     """The rows ordered by class, and where each class begins."""
-    return np.argsort(cls.astype(np.uint8), kind="stable"), np.append(0, np.cumsum(np.bincount(cls, minlength=side)))
+    small = cls.astype(np.uint16) if side <= 1 << 16 else cls  # 16 bits: a radix sort
+    return np.argsort(small, kind="stable"), np.append(0, np.cumsum(np.bincount(cls, minlength=side)))
+
+
+SAFE = 60.0  # no logit beyond this: its exponential neither overflows nor vanishes in 32 bits
+
 
+def _bounded_by(to: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether all logits of a layer stay within ``SAFE``, as hidden values stay within 1."""
+    return bool((np.abs(to).sum(axis=-2) + np.abs(bias)).max() < SAFE)
 
-def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    top = logits.max(1)
-    picked = logits[np.arange(len(at)), at] - top
-    return (picked - np.log(np.exp(logits - top[:, None]).sum(1))).astype(np.float64)
 
+def _log_softmax_at(logits: np.ndarray, at: np.ndarray, safe: bool) -> np.ndarray:
+    if not safe:
+        logits = logits - logits.max(1, keepdims=True)
+    picked = logits[np.arange(len(at)), at].astype(np.float64)
+    np.exp(logits, out=logits)
+    return picked - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
 
-def _softmax_slope(logits: np.ndarray, at: np.ndarray, n: int) -> tuple[float, np.ndarray]:
-    logits -= logits.max(1, keepdims=True)
-    p = np.exp(logits)
-    p /= p.sum(1, keepdims=True)
+
+def _softmax_slope(logits: np.ndarray, at: np.ndarray, n: int, safe: bool) -> tuple[float, np.ndarray]:
+    if not safe:
+        logits -= logits.max(1, keepdims=True)
+    p = np.exp(logits, out=logits)
+    total = p @ np.ones(p.shape[1], p.dtype)
     rows = np.arange(len(at))
-    loss = float(-np.log(np.maximum(p[rows, at], 1e-30)).sum()) / n
-    p[rows, at] -= 1
-    return loss, p / n
+    loss = float((np.log(total) - np.log(np.maximum(p[rows, at], 1e-30))).sum()) / n
+    p *= (1 / (total * n))[:, None]
+    p[rows, at] -= 1 / n
+    return loss, p
 
 
 def windows(ids: np.ndarray, begin: np.ndarray, edge: int = EDGE) -> tuple[np.ndarray, np.ndarray]:
@@ -164,14 +193,16 @@ def masked(begin: np.ndarray, turn: int, rounds: int) -> Iterator[np.ndarray]:
         yield np.flatnonzero(residue == r)
 
 
-def train_on(net: Network, padded: np.ndarray, place: np.ndarray, squares: np.ndarray, rate: float = 0.08, size: int = 2048) -> None:
-    """Adagrad steps over the masked places."""
+def train_on(net: Network, padded: np.ndarray, place: np.ndarray, squares: Network, rate: float = 0.08, size: int = 2048) -> None:
+    """Adagrad steps over the masked places; weights without a gradient stay, so only the others are touched."""
+    sums = {id(w): s for w, s in zip(net.parts(), squares.parts())}
     for lo in range(0, len(place), size):
         own = place[lo:lo + size]
-        grad = Network(np.zeros(len(net.flat), dtype=np.float32), net.side)
-        net.gradient(around(padded, own), padded[own], grad)
-        squares += grad.flat ** 2
-        net.flat -= rate * grad.flat / (np.sqrt(squares) + 1e-6)
+        for weights, rows, grad in net.gradient(around(padded, own), padded[own])[1]:
+            total = sums[id(weights)] if id(weights) in sums else squares.tables.reshape(-1, HIDDEN)
+            new = total[rows] + grad * grad
+            total[rows] = new
+            weights[rows] -= rate * grad / (np.sqrt(new) + 1e-6)
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -186,6 +217,11 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def id_type(ids: int) -> str:
+    """How ids are stored: 16 bits each while that holds them."""
+    return "<u2" if ids <= 1 << 16 else "<u4"
+
+
 @dataclass
 class Vocabulary:
     words: np.ndarray  # sorted hashes of the frequent words
@@ -193,6 +229,10 @@ class Vocabulary:
     counts: np.ndarray  # of every id
     within: np.ndarray  # log-probability of a word within its id if all words of the id were alike
 
+    @property
+    def id_type(self) -> str:
+        return id_type(len(self.counts))
+
     def look_up(self, words: np.ndarray) -> np.ndarray:
         out = FREQUENT + (words >> np.uint64(40)) % np.uint64(len(self.counts) - FREQUENT)
         if len(self.words):
@@ -225,7 +265,7 @@ def _packed(values: np.ndarray, first: np.ndarray) -> pa.Array:
 
 
 def encoded(docs: DataFrame, vocab: Vocabulary, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, ids (16 bits each), the summed log-probability of the words within their ids if all were alike,
+    """doc_id, ids (``id_type`` each), the summed log-probability of the words within their ids if all were alike,
     the chunk, the places of the document's rare words (32 bits each) among the chunk's distinct ones, and
     these (64 bits each, ascending) on the chunk's first row."""
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -242,7 +282,7 @@ def encoded(docs: DataFrame, vocab: Vocabulary, id_col: str, text_col: str) -> D
                 ids = vocab.look_up(words)
                 rare = ids >= FREQUENT
                 within = np.diff(np.append(0, np.cumsum(vocab.within[ids]))[first])
-                held.append((batch.column(0), ids.astype("<u2"), first, within, np.append(0, np.cumsum(rare))[first]))
+                held.append((batch.column(0), ids.astype(vocab.id_type), first, within, np.append(0, np.cumsum(rare))[first]))
                 others.append(words[rare])
             kinds, at = np.unique(np.concatenate(others), return_inverse=True)
             words, lo = kinds.astype("<u8").tobytes(), 0
@@ -307,12 +347,13 @@ def with_shares(scored: DataFrame, shares: DataFrame) -> DataFrame:
     return scored.groupBy("chunk").cogroup(shares.groupBy("chunk")).applyInArrow(add, schema)
 
 
-def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _ids(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
     column = column.cast(pa.large_binary())
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, dtype=np.int64)[column.offset:column.offset + len(column) + 1]
-    data = np.frombuffer(data, dtype="<u2") if data is not None and data.size else np.zeros(0, "<u2")
-    return data[offsets[0] // 2:offsets[-1] // 2].astype(np.int64), (offsets - offsets[0]) // 2
+    data = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    own = data[offsets[0]:offsets[-1]].view(kind)
+    return own.astype(np.int64), (offsets - offsets[0]) // own.itemsize
 
 
 def _bounded(batch: pa.RecordBatch, column: str, size: int = 400_000):
@@ -333,10 +374,10 @@ def train(rows: DataFrame, counts: np.ndarray, rounds: int = ROUNDS) -> Network:
 
     def local(start: np.ndarray, turn: int):
         def run(batches):
-            own, squares, examples = Network(start.copy(), side), np.full(weights, 1e-4, dtype=np.float32), 0
+            own, squares, examples = Network(start.copy(), side), Network(np.full(weights, 1e-4, dtype=np.float32), side), 0
             for batch in batches:
                 for part in _bounded(batch, "ids"):
-                    ids, begin = _ids(part.column(0))
+                    ids, begin = _ids(part.column(0), id_type(side * side))
                     padded, place = windows(ids, begin, side * side)
                     for at in masked(begin, turn, rounds):
                         train_on(own, padded, place[at], squares)
@@ -383,7 +424,7 @@ def score(rows: DataFrame, net: Network, also: tuple[str, ...] = ()) -> DataFram
         own = Network(flat, side)
         for batch in batches:
             for part in _bounded(batch, "ids"):
-                ids, begin = _ids(part.column(1))
+                ids, begin = _ids(part.column(1), id_type(side * side))
                 padded, place = windows(ids, begin, side * side)
                 logs = np.concatenate([np.zeros(1), *[own.log_probs(around(padded, place[lo:lo + 32768]), ids[lo:lo + 32768])
                                                       for lo in range(0, len(ids), 32768)]])

@@ -497,7 +497,7 @@ def test_training_predicts_every_position(spark):
     d = spark.createDataFrame([(i, "one two three four five six seven eight") for i in range(4000)], "doc_id long, text string")
     vocab = lm_scoring.vocabulary(staged(lm_scoring.word_counts(d), "counts"))
     rows = staged(lm_scoring.encoded(d, vocab, "doc_id", "text"), "encoded")
-    padded, place = lm_scoring.windows(*lm_scoring._ids(pa.array([rows.first()["ids"]], pa.binary())))
+    padded, place = lm_scoring.windows(*lm_scoring._ids(pa.array([rows.first()["ids"]], pa.binary()), vocab.id_type))
     first, last = (lm_scoring.train(rows, vocab.counts, n).log_probs(lm_scoring.around(padded, place), padded[place]) for n in (0, 2))
     assert (last > first).all()
 
@@ -516,16 +516,51 @@ def test_gradient_of_the_network():
     net.__post_init__()
     ids = rng.integers(0, lm_scoring.EDGE, 30)
     around = rng.integers(0, lm_scoring.EDGE + 1, (4, 30))
-    grad = lm_scoring.Network(np.zeros(lm_scoring.Network.size()))
-    net.gradient(around, ids, grad)
-    for at in np.argsort(-np.abs(grad.flat))[::4000][:12]:
+    loss, grads = net.gradient(around, ids)
+    assert abs(loss + net.log_probs(around, ids).mean()) < 1e-6
+    whole = np.zeros(len(net.flat))
+    for weights, rows, grad in grads:  # the places of the weights in the flat vector
+        at = (weights.__array_interface__["data"][0] - net.flat.__array_interface__["data"][0]) // net.flat.itemsize
+        view = whole[at:at + weights.size].reshape(weights.shape)
+        view[rows] += grad
+    for at in [*np.argsort(-np.abs(whole))[::2000][:20], *np.flatnonzero(whole == 0)[::9000]]:
         was = net.flat[at]
         loss = []
         for step in (1e-5, -1e-5):
             net.flat[at] = was + step
             loss.append(-net.log_probs(around, ids).mean())
         net.flat[at] = was
-        assert abs((loss[0] - loss[1]) / 2e-5 - grad.flat[at]) < 1e-5
+        assert abs((loss[0] - loss[1]) / 2e-5 - whole[at]) < 1e-5
+
+
+@pytest.mark.parametrize("safe", [True, False])
+def test_probabilities_of_more_ids_than_16_bits_and_of_great_logits(safe):
+    rng = np.random.default_rng(5)
+    side = 300
+    net = lm_scoring.Network.start(rng.integers(1, 9, side * side).astype(float))
+    if not safe:
+        net.to_class[:, 7], net.to_word[299] = 90.0, -80.0
+    ids = np.append(rng.integers(0, side * side, 200), [0, 65_535, 65_536, side * side - 1])
+    stored = pa.array([ids.astype(lm_scoring.id_type(side * side)).tobytes()], pa.binary())
+    again, begin = lm_scoring._ids(stored, lm_scoring.id_type(side * side))
+    assert (again == ids).all() and begin.tolist() == [0, 204]
+    padded, place = lm_scoring.windows(ids, begin, side * side)
+    around = lm_scoring.around(padded, place)
+    got = net.log_probs(around, ids)
+    h = net.hidden(around).astype(float)
+
+    def log_softmax(z):
+        z = z - z.max(-1, keepdims=True)
+        return z - np.log(np.exp(z).sum(-1, keepdims=True))
+    rows, (cls, word) = np.arange(len(ids)), np.divmod(ids, side)
+    of_class = log_softmax(h @ net.to_class.astype(float) + net.class_bias)
+    of_word = log_softmax(np.einsum("nh,nhw->nw", h, net.to_word[cls].astype(float)) + net.word_bias[cls])
+    assert np.allclose(got, of_class[rows, cls] + of_word[rows, word], atol=2e-3)
+    # the sparse step changes what the batch reads and nothing else
+    before, squares = net.flat.copy(), lm_scoring.Network(np.full(len(net.flat), 1e-4, np.float32), side)
+    lm_scoring.train_on(net, padded, place, squares)
+    tables = (net.tables != lm_scoring.Network(before, side).tables).any(axis=2)
+    assert all(set(np.flatnonzero(t)) <= set(around[p].tolist()) for p, t in enumerate(tables)) and tables.any()
 
 
 # --- pipeline ---------------------------------------------------------------------------------------
