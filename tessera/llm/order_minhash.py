@@ -6,15 +6,19 @@ smallest labelled shingles and keeps them in text order, which makes a sketch ag
 that follows the edit similarity.  Documents with the same words collapse first.  Two documents are
 candidates if a sketch agrees, their lengths allow the threshold, and ``BITS`` one-bit MinHash values put
 the overlap of their shingles at ``LEAST_OVERLAP`` or more (an edit similarity of 0.8 means an overlap of
-two thirds or more, 2.6 standard errors above); a candidate links if the edit similarity of the shingle sequences, 1 - distance / longer length, computed by an alignment
+two thirds or more, over 4 standard errors above, so about one such pair in 100,000 is lost here); a candidate links if the edit similarity of the shingle sequences, 1 - distance / longer length, computed by an alignment
 inside the band that the threshold leaves, is ``threshold`` or more.
 
 Pairs are not listed per bucket.  Every member of a bucket meets the bucket's smallest member and, while
-they are apart, ``TURNS`` more drawn by a hash; the links give components; only members that did not join their bucket's smallest member meet the other members of
-that bucket, and only those outside their own component.  So no candidate pair is lost, while a bucket
-of copies costs one comparison per member.  The smallest member is found by a map-side combined
-aggregate and joined back, so a hot bucket is split by the skew-join rule.  Shingles move once, into a
-table bucketed by document, from which both rounds of alignments read without another shuffle.
+they are apart, ``TURNS`` more drawn by a hash; the links give components.  Members that did not join their
+bucket's smallest member may still be like others of it outside their own component.  They meet these over
+a rare shingle: two texts that can link share at least four fifths of the longer one's labelled shingles,
+so in any one order of the shingles the first fifth plus one of each have one in common.  The order puts
+shingles that the bucket's smallest member lacks first, the rarest among the bucket's members leading, and
+is exact for both sides; members that share no more than the bucket's common text never meet, and
+no link is lost.  The smallest member is found by a map-side combined aggregate and joined back, so a hot
+bucket is split by the skew-join rule.  Shingles move once, one row per different text, into a table
+bucketed by document, from which all rounds of alignments read without another shuffle.
 
 Defined cases: a null text is empty; texts without words are equal only if their bytes are; texts of one
 to four words are a single shingle; rows with the same words (repeated rows too) share a class; the
@@ -34,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import text as tx
-from tessera.llm.common import connected_components, new_folder, staged
+from tessera.llm.common import batch_bytes, connected_components, new_folder, staged
 
 WORDS = 5
 SKETCHES, MINIMA = 24, 4
@@ -43,7 +47,7 @@ _RNG = np.random.default_rng(7)
 _SEED = _RNG.integers(0, 2 ** 63, SKETCHES, dtype=np.uint64)[:, None]
 _ODD = _RNG.integers(0, 2 ** 63, SKETCHES, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-BITS, LEAST_OVERLAP = 512, 0.58
+BITS, LEAST_OVERLAP = 512, 0.53
 TURNS = 1
 _BIT_SEED = _RNG.integers(0, 2 ** 63, BITS, dtype=np.uint64)[:, None]
 _BIT_ODD = _RNG.integers(0, 2 ** 63, BITS, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
@@ -214,6 +218,7 @@ def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                                               pa.array(marks.view(np.int64).ravel())),
                      *[pa.array(bits[:, k].view(np.int64)) for k in range(BITS // 64)],
                      packed.cast(pa.binary())], names=["doc_id", "node", "n", "sketch", *WORDS_OF_BITS, "shingles"])
+        tx.release()
     words = ", ".join(f"{c} long" for c in WORDS_OF_BITS)
     return narrow.mapInArrow(run, f"doc_id long, node long, n long, sketch array<long>, {words}, shingles binary")
 
@@ -234,41 +239,124 @@ def _alike(threshold: float) -> F.Column:
 
 
 def bucketed(rows: DataFrame, key: str) -> tuple[DataFrame, str]:
-    """``rows`` as a table bucketed by ``key`` in the shared folder, and the table's name."""
+    """``rows``, grouped by ``key``, as a table bucketed by it in the shared folder, and the table's name."""
     spark = rows.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"tessera_{uuid.uuid4().hex}"
-    rows.repartition(n, key).write.bucketBy(n, key).option("path", new_folder(spark, "bucketed")).saveAsTable(name)
+    (rows.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+     .option("path", new_folder(spark, "bucketed")).saveAsTable(name))
     return spark.table(name), name
 
 
-def _verified(pairs: DataFrame, shingled: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) that the alignment links."""
+ALIGN_BYTES = 4 << 20  # shingles of pairs in one batch
+
+
+def _with_shingles(pairs: DataFrame, shingled: DataFrame) -> DataFrame:
+    """Pairs (a, b and other columns) with the shingles x of a and y of b."""
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     own = staged(shingled.join(wanted, "node", "left_semi"), "shingles")
-    both = (pairs.join(own.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-            .join(own.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y"))
+    return (pairs.join(own.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+            .join(own.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"))
+
+
+def _packed_pairs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    x, y = batch.column("x"), batch.column("y")
+    for i in range(batch.num_rows):
+        yield np.frombuffer(x[i].as_buffer(), "<u4"), np.frombuffer(y[i].as_buffer(), "<u4")
+
+
+def _verified(pairs: DataFrame, shingled: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) that the alignment links."""
+    both = _with_shingles(pairs.select("a", "b"), shingled).select("a", "b", "x", "y")
 
     def check(batches):
         for batch in batches:
-            hit = [similar(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), threshold)
-                   for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            hit = [similar(x, y, threshold) for x, y in _packed_pairs(batch)]
             yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
-    return staged(both.mapInArrow(check, "a long, b long"), "links")
+        tx.release()
+    with batch_bytes(pairs.sparkSession, ALIGN_BYTES):
+        return staged(both.mapInArrow(check, "a long, b long"), "links")
+
+
+def _occurrences(x: np.ndarray) -> np.ndarray:
+    """Shingles (32 bits) below the number of their occurrence in the text: distinct 64-bit tokens."""
+    order = np.argsort(x, kind="stable")
+    s = x[order]
+    new = np.append(True, s[1:] != s[:-1])[:len(s)]
+    nth = np.arange(len(s)) - np.maximum.accumulate(np.where(new, np.arange(len(s)), 0))
+    return (nth << 32) | s.astype(np.int64)
+
+
+def _prefix_size(n, threshold: float):
+    """The first tokens of a text of ``n`` in which it must meet any text that it can link with: one more than
+    the edits that a link allows it."""
+    return np.floor((1 - threshold) * n + 1e-9).astype(np.int64) + 1
+
+
+def rare_meetings(members: DataFrame, shingled: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of members of one lead's buckets that share a token among their first ones; ``members``
+    has lead, node, part (component) and apart (not in the lead's)."""
+    both = _with_shingles(members.select(F.col("node").alias("a"), F.col("lead").alias("b"), "part", "apart"), shingled)
+
+    def own_tokens(batches):
+        for batch in batches:
+            tokens, common, size = [], [], []
+            for x, y in _packed_pairs(batch):
+                mine, lead = _occurrences(x), _occurrences(y)
+                own = mine[~np.isin(mine, lead, assume_unique=True)]
+                k = int(_prefix_size(len(mine), threshold))
+                short = max(0, k - len(own))
+                if short:  # the rest of its first tokens stands in the lead, in the order of a hash
+                    rest = np.setdiff1d(mine, own, assume_unique=True)
+                    rest = rest[np.argsort(tx.mix(rest.astype(np.uint64)), kind="stable")[:short]]
+                else:
+                    rest = own[:0]
+                tokens.append(own), common.append(rest), size.append(k)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("b"), batch.column("a"), batch.column("part"), batch.column("apart"), pa.array(size, pa.int64()),
+                 pa.array(tokens, pa.list_(pa.int64())), pa.array(common, pa.list_(pa.int64()))], names=["lead", "node", "part", "apart", "size", "own", "common"])
+        tx.release()
+    schema = "lead long, node long, part long, apart boolean, size long, own array<long>, common array<long>"
+    with batch_bytes(members.sparkSession, ALIGN_BYTES):
+        rows = staged(both.select("a", "b", "part", "apart", "x", "y").mapInArrow(own_tokens, schema), "own-tokens")
+    narrow = ["lead", "node", "part", "apart"]
+    each = rows.select(*narrow, "size", F.explode("own").alias("token"))
+    often = each.groupBy("lead", "token").agg(F.count("*").alias("n"))
+    # a token of one member only brings nobody together, but it fills its place among the first ones
+    placed = (each.join(often, ["lead", "token"])
+              .select(*narrow, "size", "token", "n", F.row_number().over(Window.partitionBy("lead", "node").orderBy("n", F.xxhash64("token"), "token")).alias("nth"))
+              .where("nth <= size AND n > 1").select(*narrow, "token"))
+    # tokens of the lead matter only where a member that is apart has some among its first ones
+    short = rows.where("apart AND size(common) > 0").select("lead").distinct()
+    placed = placed.unionByName(rows.join(short, "lead", "left_semi").select(*narrow, F.explode("common").alias("token")))
+    placed = staged(placed, "first-tokens")
+    met = placed.groupBy("lead", "token").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max("apart").alias("some"))
+    placed = placed.join(met.where("lo < hi AND some").select("lead", "token"), ["lead", "token"], "left_semi")
+    one = placed.where("apart").select("lead", "token", F.col("node").alias("a"), F.col("part").alias("part_a"))
+    two = placed.select("lead", "token", F.col("node").alias("b"), F.col("part").alias("part_b"), F.col("apart").alias("apart_b"))
+    hit = (F.col("part_a") != F.col("part_b")) & (~F.col("apart_b") | (F.col("a") < F.col("b")))
+    return one.join(two, ["lead", "token"]).where(hit).select("a", "b").distinct()
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, node and class_node of every row: rows of one class are near copies of each other."""
     spark = docs.sparkSession
     rows = staged(signed(docs, id_col, text_col), "signed")
-    some = rows.where("n > 0")
-    nodes = staged(some.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "sketch", *WORDS_OF_BITS)]), "nodes")
-    keyed = nodes.select("node", F.explode("sketch").alias("key"))
-    lead = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("lead")).where("size > 1").drop("size")
-    buckets = staged(keyed.join(lead, "key"), "buckets")
-    shingled, name = bucketed(some.select("node", "shingles"), "node")
-    once = shingled.dropDuplicates(["node"])
+    # one row per different text; copies go before their shingles move, so a group of them sends a row per task
+    texts, name = bucketed(rows.where("n > 0").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "sketch", *WORDS_OF_BITS, "shingles")]), "node")
+    try:
+        nodes = texts.drop("shingles")
+        keyed = nodes.select("node", F.explode("sketch").alias("key"))
+        lead = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("lead")).where("size > 1").drop("size")
+        links = _links(nodes, staged(keyed.join(lead, "key"), "buckets"), texts.select("node", "shingles"), threshold)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    parts = connected_components(links).withColumnRenamed("id", "node")
+    return (rows.select("doc_id", "node").join(parts, "node", "left")
+            .select("doc_id", "node", F.coalesce("component", "node").alias("class_node")))
+
 
+def _links(nodes: DataFrame, buckets: DataFrame, once: DataFrame, threshold: float) -> DataFrame:
+    """The verified pairs of ``buckets`` (key, node, lead), enough of them to join every class."""
     def alike(pairs: DataFrame, name: str) -> DataFrame:
         return staged(pairs.join(nodes.select(F.col("node").alias("a"), *_side("a")), "a")
                       .join(nodes.select(F.col("node").alias("b"), *_side("b")), "b").where(_alike(threshold)).select("a", "b"), name)
@@ -285,21 +373,16 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         links = staged(links.unionByName(_verified(alike(apart.distinct(), "drawn"), once, threshold)), "links")
     parts = staged(connected_components(links).withColumnRenamed("id", "node"), "parts")
 
-    # members that did not join their bucket's smallest member meet the rest of the bucket
-    named = (buckets.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+    # members that did not join their bucket's smallest member meet the rest of its buckets over a rare shingle
+    named = (buckets.select("lead", "node").where("node <> lead").distinct().join(parts, "node", "left")
+             .withColumn("part", F.coalesce("component", "node")).drop("component")
              .join(parts.select(F.col("node").alias("lead"), F.col("component").alias("lead_part")), "lead", "left")
              .withColumn("apart", F.col("part") != F.coalesce("lead_part", "lead")))
-    named = staged(named.join(nodes.drop("sketch"), "node"), "named")
-    one = named.where("apart").select("key", F.col("node").alias("a"), F.col("part").alias("part_a"), *_side("a"))
-    two = named.where("node <> lead").select("key", F.col("node").alias("b"), F.col("part").alias("part_b"), F.col("apart").alias("apart_b"),
-                                             *_side("b"))
-    hit = (F.col("part_a") != F.col("part_b")) & (~F.col("apart_b") | (F.col("a") < F.col("b"))) & _alike(threshold)
-    rest = staged(one.join(two, "key").where(hit).select("a", "b").distinct(), "rest")
-    more = _verified(rest, once, threshold)
-    spark.sql(f"DROP TABLE {name}")
-    parts = connected_components(links.unionByName(more)).withColumnRenamed("id", "node")
-    return (rows.select("doc_id", "node").join(parts, "node", "left")
-            .select("doc_id", "node", F.coalesce("component", "node").alias("class_node")))
+    named = staged(named.select("lead", "node", "part", "apart"), "named")
+    # somebody to meet outside one's own component, and not the lead's alone
+    mixed = named.groupBy("lead").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max("apart").alias("some")).where("some AND lo < hi")
+    rest = rare_meetings(named.join(mixed.select("lead"), "lead", "left_semi"), once, threshold)
+    return staged(links.unionByName(_verified(alike(rest, "rest"), once, threshold)), "links")
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -69,15 +69,19 @@ def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-_POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+_POWERS: dict[str, np.ndarray] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS["up"]) < n:
-        for key, base in (("up", _MULT), ("down", _INV)):
-            step = np.full(n, base, dtype=np.uint64)
-            step[0] = 1
-            _POWERS[key] = np.multiply.accumulate(step)
+    """The first ``n`` powers of the multiplier and of its inverse; only a step's worth of them is kept."""
+    def run(base: int, size: int) -> np.ndarray:
+        step = np.full(size, base, dtype=np.uint64)
+        step[0] = 1
+        return np.multiply.accumulate(step)
+    if n > STEP_BYTES + 1:
+        return run(_MULT, n), run(_INV, n)
+    if not _POWERS:
+        _POWERS.update(up=run(_MULT, STEP_BYTES + 1), down=run(_INV, STEP_BYTES + 1))
     return _POWERS["up"], _POWERS["down"]
 
 
@@ -90,15 +94,34 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every run's bytes, from prefix sums of a polynomial modulo 2^64."""
-    n = len(data)
-    if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
-    up, down = _powers(max(n + 1, STEP_BYTES + 1))
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = STEP_BYTES) -> np.ndarray:
+    """A 64-bit hash of every run's bytes, from prefix sums of a polynomial modulo 2^64.
+
+    Runs are taken in blocks of about ``block`` bytes (a longer run is a block of its own), so a very long
+    text needs no more memory than a step; a hash does not depend on the block."""
+    out = np.zeros(len(starts), dtype=np.uint64)
+    at = 0
+    while at < len(starts):
+        lo = int(starts[at])
+        to = max(at + 1, int(np.searchsorted(ends, lo + block, side="right")))
+        own = data[lo:int(ends[to - 1])]
+        up, down = _powers(len(own) + 1)
+        total = np.zeros(len(own) + 1, dtype=np.uint64)
+        np.cumsum((own.astype(np.uint64) + np.uint64(1)) * up[:len(own)], out=total[1:])
+        s, e = starts[at:to] - lo, ends[at:to] - lo
+        out[at:to] = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+        at = to
+    return out
+
+
+def release() -> None:
+    """Give freed memory of this worker back: what one task or stage used is not held while others run."""
+    pa.default_memory_pool().release_unused()
+    try:
+        import ctypes
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def lower_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -336,6 +336,77 @@ def test_a_large_group_of_near_copies_is_one_class(spark):
     assert all(r["class_size"] == 1 for r in got if r["doc_id"] >= 1000)
 
 
+def plain_common(a, b):
+    """Shared shingles of two lists, repeats counted."""
+    left, n = {}, 0
+    for x in a:
+        left[x] = left.get(x, 0) + 1
+    for x in b:
+        if left.get(x, 0):
+            left[x] -= 1
+            n += 1
+    return n
+
+
+def test_members_meet_over_a_rare_shingle_if_they_may_link(spark):
+    """Every pair of one lead that shares enough shingles for a link meets; a group that shares just the lead's text doesn't."""
+    r = random.Random(4)
+    lead = [r.randrange(1 << 31) for _ in range(100)] * 2
+    texts = {0: lead}
+    for i in range(1, 120):  # two thirds of the lead's text and a third of their own
+        texts[i] = [x if r.random() < 0.62 else r.randrange(1 << 31) for x in lead]
+    for i in range(120, 160):  # near copies of members of the group, the lead and each other
+        texts[i] = [x if r.random() < 0.85 else r.randrange(1 << 31) for x in texts[r.choice([0, 5, 5, 9, i - 1])]]
+    members = [(0, i, i if i < 150 or i % 2 else 0, i < 150 or i % 2 == 1) for i in range(1, 160)]
+    table = spark.createDataFrame([(i, bytearray(np.array(x, "<u4").tobytes())) for i, x in texts.items()], "node long, shingles binary")
+    found = order_minhash.rare_meetings(spark.createDataFrame(members, "lead long, node long, part long, apart boolean"), table, 0.8).collect()
+    got = {frozenset((x.a, x.b)) for x in found}
+    part = {i: p for _, i, p, _ in members}
+    apart = {i for _, i, _, x in members if x}
+    want = {frozenset((i, j)) for i in part for j in part if i < j and part[i] != part[j] and (i in apart or j in apart)
+            and plain_common(texts[i], texts[j]) >= max(len(texts[i]), len(texts[j])) - int(0.2 * max(len(texts[i]), len(texts[j])) + 1e-9)}
+    assert want and want <= got and len(got) < 500 and len(got) == len(found)
+    assert not any(max(p) < 120 for p in got)
+
+
+def test_recall_of_links_on_planted_near_copies(spark):
+    """Pairs within the threshold by a plain edit distance are in one class, others apart, very long texts too."""
+    r = random.Random(8)
+    rows, want = [], []
+    for k in range(120):
+        base = prose(1000 + k, r.choice([40, 120, 400])).split()
+        near = list(base)
+        for _ in range(max(1, len(base) // r.choice([10, 16, 30, 45, 100]))):
+            near[r.randrange(len(near))] = f"z{r.randrange(9999)}"
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(near))]
+        a, b = ([" ".join(w[i:i + 5]).lower().rstrip(".") for i in range(len(w) - 4)] for w in (base, near))
+        d = np.arange(len(b) + 1)
+        for i, x in enumerate(a):  # one row of the edit distance after another
+            now = np.minimum(d[:-1] + np.array([x != y for y in b]), d[1:] + 1)
+            d = np.append(i + 1, now)
+            d = np.minimum.accumulate(d - np.arange(len(d))) + np.arange(len(d))
+        if 1 - d[-1] / max(len(a), len(b)) >= 0.8:
+            want.append(k)
+    long = prose(77, 150_000)
+    rows += [(900, long), (901, long.replace(long.split()[70_000], "changed", 1)), (902, prose(78, 150_000))]
+    got = {x["doc_id"]: x["class_id"] for x in order_minhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hit = [k for k in want if got[2 * k + 1] == 2 * k]
+    assert 30 < len(want) < 120 and len(hit) >= 0.98 * len(want)
+    assert all(got[2 * k + 1] != 2 * k for k in range(120) if k not in want)
+    assert got[900] == got[901] == 900 and got[902] == 902
+
+
+def test_hashes_do_not_depend_on_the_block():
+    r = np.random.default_rng(1)
+    data = r.integers(0, 256, 5000).astype(np.uint8)
+    ends = np.sort(r.choice(np.arange(1, 5001), 300, replace=False))
+    starts = np.append(0, ends[:-1] + (np.arange(299) % 2))
+    want = tx.hash_runs(data, starts, np.maximum(ends, starts + 1))
+    for block in (1, 7, 64, 1000):
+        assert (tx.hash_runs(data, starts, np.maximum(ends, starts + 1), block) == want).all()
+    assert len(tx._powers(10)[0]) == tx.STEP_BYTES + 1 and len(tx._powers(tx.STEP_BYTES * 2)[0]) == tx.STEP_BYTES * 2
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 300), (7, 7)] + [(500 + i, 500) for i in range(1, 50)]
     got = {r["id"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -375,13 +446,21 @@ def test_vectors_equal_brute_force(spark):
     assert embedding_dedup.near_vectors(table.where("false")).count() == 0
 
 
-def test_recall_on_the_given_vectors(spark):
-    d = queries.read(spark, "/root/testdata/check_h", "embeddings")
+def test_recall_on_planted_pairs(spark):
+    """Pairs just above the threshold among vectors that are otherwise far apart."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(3000, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    off = rng.normal(size=base.shape)
+    off -= (off * base).sum(1, keepdims=True) * base
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    cos = rng.uniform(0.951, 0.96, (3000, 1))
+    x = np.concatenate([base, cos * base + np.sqrt(1 - cos ** 2) * off]) * rng.uniform(0.5, 2, (6000, 1))
+    d = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").repartition(4)
     got = embedding_dedup.near_vectors(d).toPandas().sort_values("vec_id")
-    x = np.vstack(d.toPandas().sort_values("vec_id")["embedding"]).astype(float)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     want = (x @ x.T >= 0.95).sum(1) - 1
-    assert (got["n_links"].to_numpy() <= want).all() and got["n_links"].sum() >= 0.99 * want.sum()
+    assert want.sum() >= 6000 and (got["n_links"].to_numpy() <= want).all() and got["n_links"].sum() >= 0.99 * want.sum()
 
 
 # --- SentencePiece ----------------------------------------------------------------------------------
