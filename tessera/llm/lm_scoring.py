@@ -109,20 +109,18 @@ class Network:
         everything = slice(None)
         grads = [(self.to_class, everything, h.T @ d), (self.class_bias, everything, ones @ d)]
         back = d @ self.to_class.T
-        order, ends = _by_class(cls, self.side)
-        by_class, word = h[order], word[order]
-        seen = np.flatnonzero(np.diff(ends))
-        layers, biases = np.empty((len(seen), HIDDEN, self.side), np.float32), np.empty((len(seen), self.side), np.float32)
-        backs, safe = np.empty_like(by_class), _bounded_by(self.to_word, self.word_bias)
-        for k, c in enumerate(seen.tolist()):
-            lo, hi = ends[c], ends[c + 1]
-            more, d = _softmax_slope(by_class[lo:hi] @ self.to_word[c] + self.word_bias[c], word[lo:hi], n, safe)
-            loss += more
-            np.matmul(by_class[lo:hi].T, d, out=layers[k])
-            np.matmul(ones[lo:hi], d, out=biases[k])
-            np.matmul(d, self.to_word[c].T, out=backs[lo:hi])
-        back[order] += backs
-        grads += [(self.to_word, seen, layers), (self.word_bias, seen, biases)]
+        # the classes' softmaxes side by side, in chunks of as many rows each
+        row, place, of_chunk, first = _chunks(cls, self.side)
+        own, layer = h[row], self.to_word[of_chunk]
+        logits = (own @ layer + self.word_bias[of_chunk][:, None]).reshape(-1, self.side)
+        drawn = np.zeros(len(logits), dtype=bool)
+        drawn[place] = True
+        more, d = _softmax_slope(logits, word[row].ravel(), n, _bounded_by(self.to_word, self.word_bias), drawn)
+        loss += more
+        d = d.reshape(len(of_chunk), -1, self.side)
+        back += (d @ layer.transpose(0, 2, 1)).reshape(-1, HIDDEN)[place]
+        grads += [(self.to_word, of_chunk[first], np.add.reduceat(own.transpose(0, 2, 1) @ d, first, axis=0)),
+                  (self.word_bias, of_chunk[first], np.add.reduceat(d.sum(1), first, axis=0))]
         back *= 1 - h * h
         grads.append((self.bias, everything, ones @ back))
         # one sort for all positions: the tables stand one below the other
@@ -135,12 +133,32 @@ class Network:
         return loss, grads
 
 
+CHUNK_ROWS = 32
+
+
 def _by_class(cls: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
     """The rows ordered by class, and where each class begins."""
     small = cls.astype(np.uint16) if side <= 1 << 16 else cls  # 16 bits: a radix sort
     return np.argsort(small, kind="stable"), np.append(0, np.cumsum(np.bincount(cls, minlength=side)))
 
 
+def _chunks(cls: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The rows dealt into chunks of ``CHUNK_ROWS`` rows of one class: (row of every place, filled up with
+    the chunk's last; the place of every row; the class of every chunk, ascending; the first chunk of each class)."""
+    order, ends = _by_class(cls, side)
+    count, ends = np.diff(ends), ends[1:]
+    chunks = -(-count // CHUNK_ROWS)
+    begin = np.cumsum(chunks) - chunks
+    of_chunk = np.repeat(np.arange(side), chunks)
+    nth = np.arange(len(of_chunk)) - begin[of_chunk]
+    at = (ends - count)[of_chunk] + nth * CHUNK_ROWS
+    row = order[np.minimum(at[:, None] + np.arange(CHUNK_ROWS), (ends[of_chunk] - 1)[:, None])]
+    place = np.empty(len(cls), dtype=np.int64)
+    ordered = cls[order]
+    place[order] = begin[ordered] * CHUNK_ROWS + np.arange(len(cls)) - (ends - count)[ordered]
+    return row, place, of_chunk, np.flatnonzero(np.append(True, of_chunk[1:] != of_chunk[:-1]))[:len(of_chunk)]
+
+
 SAFE = 60.0  # no logit beyond this: its exponential neither overflows nor vanishes in 32 bits
 
 
@@ -157,15 +175,17 @@ def _log_softmax_at(logits: np.ndarray, at: np.ndarray, safe: bool) -> np.ndarra
     return picked - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
 
 
-def _softmax_slope(logits: np.ndarray, at: np.ndarray, n: int, safe: bool) -> tuple[float, np.ndarray]:
+def _softmax_slope(logits: np.ndarray, at: np.ndarray, n: int, safe: bool, drawn: np.ndarray | None = None) -> tuple[float, np.ndarray]:
+    """Sum of -log p over ``n``, and its slope by the logits; rows that are not ``drawn`` count for nothing."""
     if not safe:
         logits -= logits.max(1, keepdims=True)
     p = np.exp(logits, out=logits)
     total = p @ np.ones(p.shape[1], p.dtype)
     rows = np.arange(len(at))
-    loss = float((np.log(total) - np.log(np.maximum(p[rows, at], 1e-30))).sum()) / n
-    p *= (1 / (total * n))[:, None]
-    p[rows, at] -= 1 / n
+    weight = np.full(len(at), 1 / n, p.dtype) if drawn is None else (drawn / n).astype(p.dtype)
+    loss = float(((np.log(total) - np.log(np.maximum(p[rows, at], 1e-30))) * weight).sum())
+    p *= (weight / total)[:, None]
+    p[rows, at] -= weight
     return loss, p
 
 
