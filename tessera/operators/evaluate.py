@@ -185,6 +185,12 @@ def residuals(df: DataFrame, y: str = "actual", yhat: str = "pred") -> DataFrame
     return finite_pairs(df, y, yhat).withColumn("residual", F.col(y) - F.col(yhat))
 
 
+def ranges(df: DataFrame, y: str = "actual", yhat: str = "pred", by: Sequence[str] = ("model",)) -> DataFrame:
+    """Least and greatest actual and predicted value, and the rows, of every model."""
+    return finite_pairs(df, y, yhat).groupBy(*by).agg(F.min(y).alias("actual_min"), F.max(y).alias("actual_max"), F.min(yhat).alias("pred_min"),
+                                                      F.max(yhat).alias("pred_max"), F.count(F.lit(1)).alias("n"))
+
+
 def metrics_long(metrics: DataFrame, ids: Sequence[str] = ("model",),
                  cols: Sequence[str] = ("MAE", "RMSE", "MAPE", "R2")) -> DataFrame:
     """Model x metric long table."""

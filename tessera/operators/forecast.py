@@ -96,7 +96,10 @@ def _solve(ridge: float):
             lam = ridge * max(np.trace(G) / p, 1e-12)
             pen = np.eye(p) * lam
             pen[0, 0] = 0.0
-            beta = np.linalg.solve(G + pen, b)
+            try:
+                beta = np.linalg.solve(G + pen, b)
+            except np.linalg.LinAlgError:  # a series without variation: the smallest solution
+                beta = np.linalg.lstsq(G + pen, b, rcond=None)[0]
             sse = max(float(r["yy"] - 2 * beta @ b + beta @ G @ beta), 0.0)
             dof = max(int(r["n"]) - p, 1)
             rows.append((r["__series"], beta.tolist(), math.sqrt(sse / dof), int(r["n"])))
@@ -251,80 +254,3 @@ def regressor_importance(model: DataFrame, regressors: Sequence[str], seasons=SE
         F.element_at(nm, F.col("pos") + 1).alias("feature"), "coefficient")
     x = x.filter(~F.col("feature").rlike("^(intercept|yearly_|weekly_|monthly_)"))
     return x.withColumn("abs_coefficient", F.abs("coefficient")).orderBy(F.col("abs_coefficient").desc(), "feature")
-
-
-# --------------------------------------------------------- autoregression
-def _diff(c: str, w) -> Column:
-    """(1 - B)(1 - B^7) applied to column c."""
-    return F.col(c) - F.lag(c, 1).over(w) - F.lag(c, 7).over(w) + F.lag(c, 8).over(w)
-
-
-def fit_arx(train: DataFrame, ds: str = "ds", y: str = "y", exog: Sequence[str] = (), by: Sequence[str] = (),
-            long_ar: int = 42) -> DataFrame:
-    """Model (1-B)(1-B^7) y with AR lags 1, 2, 7, MA lags 1, 2, 7 and
-    differenced exogenous terms.  MA terms by the two-stage Hannan-Rissanen
-    regression: a long AR fit gives residuals, whose lags then enter a second
-    least-squares fit.  Both fits are Gram-sum regressions per series.
-    Returns coefficients plus the last values needed to start a forecast."""
-    by = list(by)
-    w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(ds)
-    x = train.withColumn("__z", _diff(y, w))
-    for c in exog:
-        x = x.withColumn(f"__d_{c}", _diff(c, w))
-    # no constant: a constant in a twice-differenced model integrates into a drift
-    zl = [F.lag("__z", k).over(w) for k in range(1, long_ar + 1)]
-    s1 = fit_linear(x, F.array(*zl), "__z", by)
-    x = x.join(s1.select(*by, F.col("beta").alias("__b1")), by) if by else x.crossJoin(F.broadcast(s1.select(F.col("beta").alias("__b1"))))
-    x = x.withColumn("__e", F.col("__z") - _dot(F.array(*zl), F.col("__b1")))
-    feats = [F.lag("__z", k).over(w) for k in (1, 2, 7)] + [F.lag("__e", k).over(w) for k in (1, 2, 7)] \
-        + [F.col(f"__d_{c}") for c in exog]
-    s2 = fit_linear(x, F.array(*[f.cast("double") for f in feats]), "__z", by)
-    # state at the end of the training rows: last 8 y, last 7 z, last 7 e
-    last = x.withColumn("__back", F.row_number().over((Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(F.col(ds).desc()))) \
-        .filter(F.col("__back") <= 8)
-    st = last.groupBy(*by).agg(
-        F.max(ds).alias("last_ds"),
-        F.transform(F.array_sort(F.collect_list(F.struct(ds, F.col(y).cast("double").alias("v")))), lambda s: s["v"]).alias("ys"),
-        F.transform(F.array_sort(F.collect_list(F.struct(ds, F.coalesce("__z", F.lit(0.0)).alias("v")))), lambda s: s["v"]).alias("zs"),
-        F.transform(F.array_sort(F.collect_list(F.struct(ds, F.coalesce("__e", F.lit(0.0)).alias("v")))), lambda s: s["v"]).alias("es"))
-    return s2.join(st, by) if by else s2.crossJoin(st)  # one-row side
-
-
-def forecast_arx(model: DataFrame, history: DataFrame, future: DataFrame, ds: str = "ds", exog: Sequence[str] = (),
-                 by: Sequence[str] = ()) -> DataFrame:
-    """G5 forecast: recursive multi-step prediction over the future rows (in
-    date order) with a native ``aggregate`` fold; future residuals are 0 and
-    the band widens with sqrt(step).  ``history`` supplies the exogenous values
-    needed to difference the first future rows."""
-    by = list(by)
-    cols = [*by, ds, *exog]
-    both = history.select(*cols).withColumn("__f", F.lit(False)).unionByName(future.select(*cols).withColumn("__f", F.lit(True)))
-    w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(ds)
-    for c in exog:
-        both = both.withColumn(f"__d_{c}", _diff(c, w))
-    fut = both.filter("__f")
-    arr = fut.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(
-        F.col(ds).alias("ds"), F.array(*[F.col(f"__d_{c}").cast("double") for c in exog]).alias("dx")))).alias("__fut"))
-    m = model.select(*by, "beta", "sigma", "ys", "zs", "es")
-    j = arr.join(m, by) if by else arr.crossJoin(F.broadcast(m))
-    b = F.col("beta")
-
-    def step(acc, f):
-        zs, es, ys = acc["zs"], acc["es"], acc["ys"]
-        z_hat = (b[0] * F.element_at(zs, -1) + b[1] * F.element_at(zs, -2) + b[2] * F.element_at(zs, -7)
-                 + b[3] * F.element_at(es, -1) + b[4] * F.element_at(es, -2) + b[5] * F.element_at(es, -7)
-                 + _dot(f["dx"], F.slice(b, 7, len(exog) if exog else 1)) * (1.0 if exog else 0.0))
-        y_hat = z_hat + F.element_at(ys, -1) + F.element_at(ys, -7) - F.element_at(ys, -8)
-        return F.struct(
-            F.slice(F.concat(ys, F.array(y_hat)), 2, 8).alias("ys"),
-            F.slice(F.concat(zs, F.array(z_hat)), 2, 7).alias("zs"),
-            F.slice(F.concat(es, F.array(F.lit(0.0))), 2, 7).alias("es"),
-            F.concat(acc["out"], F.array(F.struct(f["ds"].alias("ds"), y_hat.alias("yhat")))).alias("out"))
-
-    init = F.struct(F.col("ys").alias("ys"), F.slice("zs", -7, 7).alias("zs"), F.slice("es", -7, 7).alias("es"),
-                    F.array().cast("array<struct<ds:date,yhat:double>>").alias("out"))
-    res = j.select(*by, "sigma", F.aggregate("__fut", init, step)["out"].alias("__o"))
-    out = res.select(*by, "sigma", F.posexplode("__o").alias("__k", "__r")).select(
-        *by, F.col("__r.ds").alias(ds), F.col("__r.yhat").alias("yhat"), (F.col("__k") + 1).alias("step"), "sigma")
-    band = Z95 * F.col("sigma") * F.sqrt(F.col("step").cast("double"))
-    return out.withColumn("yhat_lower", F.col("yhat") - band).withColumn("yhat_upper", F.col("yhat") + band).drop("sigma")

@@ -363,23 +363,36 @@ def inv_norm(p) -> Column:
     return F.when(p < P_LOW, lower).when(p > 1 - P_LOW, upper).otherwise(central)
 
 
-def qq_points(df: DataFrame, col: str, key: str, bucket: Column | None = None) -> DataFrame:
+def qq_points(df: DataFrame, col: str, key: str, bucket: Column | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Ordered sample values against normal quantiles at Filliben
-    positions ((i - 0.3175) / (n + 0.365); ends 1 - 0.5^(1/n) and 0.5^(1/n)).
-    The global rank is skew-safe (``ordering.ordinal``) when ``bucket`` (a
+    positions ((i - 0.3175) / (n + 0.365); ends 1 - 0.5^(1/n) and 0.5^(1/n)), per group of ``by``.
+    The rank is skew-safe (``ordering.ordinal``) when ``bucket`` (a
     monotone function of the value) is given."""
     from tessera.operators.ordering import ordinal
-    x = df.select(F.col(key), F.col(col).cast("double").alias("sample")).filter(F.col("sample").isNotNull())
+    by = list(by)
+    x = df.select(*by, F.col(key), F.col(col).cast("double").alias("sample")).filter(F.col("sample").isNotNull())
     if bucket is None:
-        x = x.withColumn("i", F.row_number().over(Window.orderBy("sample", key)).cast("bigint"))
+        w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("sample", key)
+        x = x.withColumn("i", F.row_number().over(w).cast("bigint"))
     else:
-        x = ordinal(x, by=[], order=["sample", key], bucket=bucket, name="i").withColumn("i", F.col("i") + 1)
-    n = x.agg(F.count(F.lit(1)).alias("__n"))
-    x = x.crossJoin(F.broadcast(n))  # one row
+        x = ordinal(x, by=by, order=["sample", key], bucket=bucket, name="i").withColumn("i", F.col("i") + 1)
+    n = x.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    x = x.join(n, by) if by else x.crossJoin(F.broadcast(n))  # one row
     last = F.pow(F.lit(0.5), F.lit(1.0) / F.col("__n"))
     m = (F.when(F.col("i") == F.col("__n"), last).when(F.col("i") == 1, 1 - last)
          .otherwise((F.col("i") - 0.3175) / (F.col("__n") + 0.365)))
-    return x.select("i", key, "sample", m.alias("position"), inv_norm(m).alias("theoretical"))
+    return x.select(*by, "i", key, "sample", m.alias("position"), inv_norm(m).alias("theoretical"))
+
+
+def qq_line(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The least-squares line through the points of :func:`qq_points` and their correlation, in one aggregate."""
+    return points.groupBy(*by).agg(F.regr_slope("sample", "theoretical").alias("slope"), F.regr_intercept("sample", "theoretical").alias("intercept"),
+                                   F.corr("sample", "theoretical").alias("r"), F.count(F.lit(1)).alias("n"))
+
+
+def columns_with_prefix(df: DataFrame, prefix: str) -> list[str]:
+    """Names of the columns that begin with ``prefix``."""
+    return [c for c in df.columns if c.startswith(prefix)]
 
 
 def short_label(c, n: int = 20) -> Column:

@@ -57,6 +57,14 @@ def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataF
     return df.dropna(how="any", subset=list(subset) if subset else None)
 
 
+def removed_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
+    """Rows, rows that :func:`drop_incomplete` removes, and nulls per column, in one aggregate."""
+    cols = list(subset) if subset else df.columns
+    gap = F.exists(F.array(*[F.col(c).isNull() for c in cols]), lambda v: v)
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(gap.cast("long")), F.lit(0)).alias("removed"),
+                  *[F.coalesce(F.sum(F.col(c).isNull().cast("long")), F.lit(0)).alias(f"null_{c}") for c in cols])
+
+
 def as_series(df: DataFrame, key: str, target: str, ds: str = "ds", y: str = "y") -> DataFrame:
     """Rename key/target to ds/y."""
     return df.withColumnsRenamed({key: ds, target: y})

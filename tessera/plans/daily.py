@@ -45,12 +45,16 @@ def merged_calendar(spark: SparkSession, d: str) -> DataFrame:
     return ts.calendar_features(x, "time", season="date")
 
 
-def daily_features(spark: SparkSession, d: str) -> DataFrame:
+def feature_rows(spark: SparkSession, d: str) -> DataFrame:
+    """All days with their features, also those whose lags or windows are not full yet."""
     x = merged_calendar(spark, d)
     x = fe.cap_outliers(x, TARGET, "iqr")
     x = ts.add_lags(x, TARGET, LAGS, "time")
-    x = ts.add_rolling(x, TARGET, ROLL, "time")
-    x = ts.drop_incomplete(x)
+    return ts.add_rolling(x, TARGET, ROLL, "time")
+
+
+def daily_features(spark: SparkSession, d: str) -> DataFrame:
+    x = ts.drop_incomplete(feature_rows(spark, d))
     x = ts.split_time(x, "time", 0.2)
     dbl = [f.name for f in x.schema.fields if f.dataType.simpleString() == "double"]
     return x.withColumns({c: np_round(c, 4) for c in dbl})

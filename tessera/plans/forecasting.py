@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.operators import arima
 from tessera.operators import evaluate as ev
 from tessera.operators import forecast as fc
 from tessera.operators import gram
@@ -101,13 +102,14 @@ def overlay(spark: SparkSession, d: str, last: int = 60) -> DataFrame:
     return tail.unionByName(f)
 
 
+EXOG = ["temp", "humidity", "is_weekend"]
+
+
 def arx_test(x: DataFrame) -> DataFrame:
-    """G5 on the test period (recursive, exogenous weather known)."""
+    """G5 on the test period (recursive, exogenous weather known); ``form`` says whether the seasonal model held."""
     train, test = x.filter(F.col("split") == "train"), x.filter(F.col("split") == "test")
-    ex = ["temp", "humidity", "is_weekend"]
-    m = fc.fit_arx(train, "ds", "y", ex)
-    p = fc.forecast_arx(m, train, test, "ds", ex)
-    return p.join(test.select("ds", "y"), "ds").select("ds", "y", "yhat", "yhat_lower", "yhat_upper", "step")
+    p = arima.forecast(arima.fit(train, "ds", "y", EXOG), test, "ds", EXOG)
+    return p.join(test.select("ds", "y"), "ds").select("ds", "y", "yhat", "yhat_lower", "yhat_upper", "step", "form")
 
 
 FORM = gram.Form(tuple(REGRESSORS))

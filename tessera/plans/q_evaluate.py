@@ -8,6 +8,7 @@ from tessera.functions.hashing import np_round, np_round_sql
 from tessera.operators import evaluate as ev
 from tessera.operators import timeseries as ts
 from tessera.plans import daily
+from tessera.plans.q_timeseries import qq_sql
 from tessera.plans.registry import register
 from tessera.sources import fixtures as fx
 
@@ -164,3 +165,30 @@ def e10h(spark, d):
     from tessera.operators import profile as pr
     r = ev.residuals(predictions(spark, d))
     return _round(pr.histogram(r, "residual", 20, by=["model"]), 4)
+
+
+@register("e10_ranges", PRED_SQL + f"""x AS (SELECT 1) SELECT model, {R('min(actual)', 4)} AS actual_min, {R('max(actual)', 4)} AS actual_max,
+  {R('min(pred)', 4)} AS pred_min, {R('max(pred)', 4)} AS pred_max, count(*) AS n FROM preds GROUP BY model""")
+def e10r(spark, d):
+    return _round(ev.ranges(predictions(spark, d)), 4)
+
+
+@register("e10_residual_qq", PRED_SQL + f"""s AS (SELECT model, ds, actual - pred AS sample, row_number() OVER (PARTITION BY model ORDER BY actual - pred, ds) AS i,
+  count(*) OVER (PARTITION BY model) AS n FROM preds),
+{qq_sql('s')} SELECT model, CAST(i AS BIGINT) AS i, {R('sample', 4)} AS residual, theoretical FROM points""")
+def e10q(spark, d):
+    """Residuals of every model against normal quantiles."""
+    from tessera.operators import profile as pr
+    q = pr.qq_points(ev.residuals(predictions(spark, d)), "residual", "ds", by=["model"])
+    return q.select("model", "i", np_round("sample", 4).alias("residual"), np_round("theoretical", 6).alias("theoretical"))
+
+
+@register("e10_residual_qq_line", PRED_SQL + f"""s AS (SELECT model, ds, actual - pred AS sample, row_number() OVER (PARTITION BY model ORDER BY actual - pred, ds) AS i,
+  count(*) OVER (PARTITION BY model) AS n FROM preds),
+{qq_sql('s')} SELECT model, {R('regr_slope(sample, theoretical)', 2)} AS slope, {R('regr_intercept(sample, theoretical)', 2)} AS intercept,
+  {R('corr(sample, theoretical)', 5)} AS r, count(*) AS n FROM points GROUP BY model""")
+def e10l(spark, d):
+    from tessera.operators import profile as pr
+    q = pr.qq_points(ev.residuals(predictions(spark, d)), "residual", "ds", by=["model"]).withColumn("theoretical", np_round("theoretical", 6))
+    x = pr.qq_line(q, ["model"])
+    return x.select("model", np_round("slope", 2).alias("slope"), np_round("intercept", 2).alias("intercept"), np_round("r", 5).alias("r"), "n")

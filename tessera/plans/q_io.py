@@ -148,3 +148,30 @@ def p19(spark, d):
                         rs.withColumn("problem", F.col("problem").cast("int")),
                         probs.withColumn("problem", F.col("problem").cast("int")))
     return s.withColumn("avg_profit", np_round("avg_profit", 6)).withColumn("total_capacity", F.col("total_capacity").cast("bigint"))
+
+
+@register("s09_write_split_rows", "WITH df AS (" + __import__("tessera.plans.daily", fromlist=["x"]).DAILY_FEATURES_SQL
+          + ') SELECT * FROM df')
+def s09_rows(spark, d):
+    """Every row and column of the written split, read back."""
+    from tessera.plans import daily
+    path = scratch(spark, "split")
+    x = daily.daily_features(spark, d)
+    io.write_split(x, path)
+    return spark.read.parquet(path).select(*x.columns)
+
+
+@register("s05_summaries_with_defaults", WA + """t AS (SELECT problem, count(*) AS n, sum(profit) AS p FROM items GROUP BY problem)
+SELECT CAST(problem AS INT) AS problem, 'N/A' AS company, 'greedy' AS method, CAST(CASE WHEN problem % 2 = 0 THEN p ELSE 0 END AS DOUBLE) AS profit,
+  CAST(CASE WHEN problem % 2 = 0 THEN 0 ELSE n END AS INT) AS selected, CASE WHEN problem % 2 = 0 THEN 'Optimal' ELSE 'Unknown' END AS status FROM t""")
+def s05_defaults(spark, d):
+    """Heads of documents of which every second one lacks other keys: missing ones read as their defaults."""
+    items, _, _ = _alloc(spark, d)
+    path = scratch(spark, "summaries")
+    even = F.col("problem") % 2 == 0
+    heads = items.groupBy("problem").agg(F.count("*").alias("n"), F.sum("profit").alias("p")).select(
+        F.col("problem").alias("problem_number"), F.lit("greedy").alias("optimization_method"),
+        F.when(even, F.col("p").cast("double")).alias("best_profit_usd"), F.when(~even, F.col("n")).alias("number_of_selected_products"),
+        F.when(even, "Optimal").alias("solver_status"))
+    io.write_json(heads, path)
+    return io.scan_summaries(spark, path)

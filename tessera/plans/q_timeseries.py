@@ -102,7 +102,8 @@ def w09(spark, d):
     return x.select("time", Y, *[np_round(c, 4).alias(c) for c in ("trend", "seasonal", "resid")])
 
 
-def _qq_sql():
+def qq_sql(source: str) -> str:
+    """Filliben positions and normal quantiles of s(by, row_id, sample, i, n), the SELECT's head given by the caller."""
     def horner(coefs, x):
         acc = repr(coefs[0])
         for c in coefs[1:]:
@@ -111,17 +112,26 @@ def _qq_sql():
     lower = f"({horner(pr._C, 'ql')}) / (({horner(pr._D, 'ql')}) * ql + 1)"
     central = f"({horner(pr._A, 'r')}) * q / (({horner(pr._B, 'r')}) * r + 1)"
     upper = f"-(({horner(pr._C, 'qu')}) / (({horner(pr._D, 'qu')}) * qu + 1))"
-    return f"""WITH {fx.CAMPAIGN_SQL},
-s AS (SELECT row_id, CAST(total AS DOUBLE) AS sample, row_number() OVER (ORDER BY total, row_id) AS i, count(*) OVER () AS n FROM campaign),
-m AS (SELECT *, CASE WHEN i = n THEN pow(0.5, 1.0 / n) WHEN i = 1 THEN 1 - pow(0.5, 1.0 / n) ELSE (i - 0.3175) / (n + 0.365) END AS position FROM s),
+    return f"""m AS (SELECT *, CASE WHEN i = n THEN pow(0.5, 1.0 / n) WHEN i = 1 THEN 1 - pow(0.5, 1.0 / n) ELSE (i - 0.3175) / (n + 0.365) END AS position FROM {source}),
 v AS (SELECT *, sqrt(-2 * ln(position)) AS ql, position - 0.5 AS q, (position - 0.5) * (position - 0.5) AS r,
-  sqrt(-2 * ln(1 - position)) AS qu FROM m)
-SELECT CAST(i AS BIGINT) AS i, row_id, sample, {R('position', 8)} AS position,
-  {R(f'CASE WHEN position < {pr.P_LOW} THEN {lower} WHEN position > 1 - {pr.P_LOW} THEN {upper} ELSE {central} END', 6)} AS theoretical
-FROM v"""
+  sqrt(-2 * ln(1 - position)) AS qu FROM m),
+points AS (SELECT *, {R(f'CASE WHEN position < {pr.P_LOW} THEN {lower} WHEN position > 1 - {pr.P_LOW} THEN {upper} ELSE {central} END', 6)} AS theoretical FROM v)
+"""
+
+
+QQ_SQL = f"""WITH {fx.CAMPAIGN_SQL},
+s AS (SELECT row_id, CAST(total AS DOUBLE) AS sample, row_number() OVER (ORDER BY total, row_id) AS i, count(*) OVER () AS n FROM campaign),
+{qq_sql('s')}"""
 
 
-@register("a20_qq_points", _qq_sql())
+@register("a20_qq_line", QQ_SQL + f"""SELECT {R('regr_slope(sample, theoretical)', 3)} AS slope, {R('regr_intercept(sample, theoretical)', 3)} AS intercept,
+  {R('corr(sample, theoretical)', 6)} AS r, count(*) AS n FROM points""")
+def a20_line(spark, d):
+    x = pr.qq_line(a20(spark, d))
+    return x.select(np_round("slope", 3).alias("slope"), np_round("intercept", 3).alias("intercept"), np_round("r", 6).alias("r"), "n")
+
+
+@register("a20_qq_points", QQ_SQL + f"SELECT CAST(i AS BIGINT) AS i, row_id, sample, {R('position', 8)} AS position, theoretical FROM points")
 def a20(spark, d):
     q = pr.qq_points(fx.campaign(spark, d), "total", "row_id", bucket=F.floor(F.col("sample") / 10000))
     return q.select("i", "row_id", "sample", np_round("position", 8).alias("position"),
@@ -159,3 +169,13 @@ def g01s(spark, d):
 
 
 register("g01_fit_seasonal_by_series")(g01s)
+
+
+@register("p13_removed_rows", daily.DAILY_FEATURES_SQL.split("complete AS (")[0].rstrip().rstrip(",") + f"""
+SELECT count(*) AS rows, count(*) FILTER (WHERE {Y}_lag_30 IS NULL OR {Y}_rolling_mean_30 IS NULL OR {Y}_rolling_std_30 IS NULL) AS removed,
+  count(*) FILTER (WHERE {Y}_lag_30 IS NULL) AS null_lag_30, count(*) FILTER (WHERE {Y}_rolling_std_30 IS NULL) AS null_rolling_std_30 FROM feat""")
+def p13(spark, d):
+    """Rows that the lags and rolling windows of the daily job cost."""
+    x = daily.feature_rows(spark, d)
+    out = ts.removed_rows(x)
+    return out.select("rows", "removed", F.col(f"null_{Y}_lag_30").alias("null_lag_30"), F.col(f"null_{Y}_rolling_std_30").alias("null_rolling_std_30"))

@@ -189,6 +189,21 @@ def scan_solutions(spark: SparkSession, path: str, multiline: bool = False) -> t
     return one.drop("resource_usage"), usage, res
 
 
+def field_or(column: str, path: str, default, kind: str = "string"):
+    """A field of a JSON text by path, or ``default`` if the key is missing or null."""
+    return F.coalesce(F.get_json_object(column, path).try_cast(kind), F.lit(default).cast(kind))
+
+
+def scan_summaries(spark: SparkSession, path: str) -> DataFrame:
+    """The heads of solution documents of any method, one JSON text a line, with the defaults that a
+    comparison uses for keys that a method leaves out."""
+    raw = spark.read.text(path)
+    return raw.select(field_or("value", "$.problem_number", -1, "int").alias("problem"), field_or("value", "$.company_name", "N/A").alias("company"),
+                      field_or("value", "$.optimization_method", "Unknown").alias("method"), field_or("value", "$.best_profit_usd", 0.0, "double").alias("profit"),
+                      field_or("value", "$.number_of_selected_products", 0, "int").alias("selected"),
+                      field_or("value", "$.solver_status", "Unknown").alias("status"))
+
+
 def log_metrics(metrics: DataFrame, run_id: str, path: str, ids: Sequence[str] = ("model",)) -> DataFrame:
     """Unpivot a metrics table to (run_id, ids..., key, value) and append."""
     value_cols = [c for c, t in metrics.dtypes if c not in ids and t in ("double", "float", "int", "bigint")]
