@@ -9,8 +9,9 @@ the overlap of their shingles at ``LEAST_OVERLAP`` or more (an edit similarity o
 two thirds or more, over 4 standard errors above, so about one such pair in 100,000 is lost here); a candidate links if the edit similarity of the shingle sequences, 1 - distance / longer length, computed by an alignment
 inside the band that the threshold leaves, is ``threshold`` or more.
 
-Pairs are not listed per bucket.  Every member of a bucket meets the bucket's smallest member and, while
-they are apart, ``TURNS`` more drawn by a hash; the links give components.  Members that did not join their
+Pairs are not listed per bucket.  Every text meets the least of its buckets' smallest members, then those of
+its other buckets that this left in another component, and while
+they are apart, ``TURNS`` more members drawn by a hash; the links give components.  Members that did not join their
 bucket's smallest member may still be like others of it outside their own component.  They meet these over
 a rare shingle: two texts that can link share at least four fifths of the longer one's labelled shingles,
 so in any one order of the shingles the first fifth plus one of each have one in common.  The order puts
@@ -361,8 +362,14 @@ def _links(nodes: DataFrame, buckets: DataFrame, once: DataFrame, threshold: flo
         return staged(pairs.join(nodes.select(F.col("node").alias("a"), *_side("a")), "a")
                       .join(nodes.select(F.col("node").alias("b"), *_side("b")), "b").where(_alike(threshold)).select("a", "b"), name)
 
-    stars = alike(buckets.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct(), "stars")
-    links = _verified(stars, once, threshold)
+    # a member meets the least of its buckets' leads first, and the others only where that left them apart
+    pairs = staged(buckets.where("node <> lead").select("node", "lead").distinct(), "led")
+    links = _verified(alike(pairs.groupBy("node").agg(F.min("lead").alias("b")).withColumnRenamed("node", "a"), "stars"), once, threshold)
+    parts = staged(connected_components(links), "parts")
+    apart = (pairs.join(parts.select(F.col("id").alias("node"), F.col("component").alias("part_a")), "node", "left")
+             .join(parts.select(F.col("id").alias("lead"), F.col("component").alias("part_b")), "lead", "left")
+             .where(F.coalesce("part_a", "node") != F.coalesce("part_b", "lead")).select(F.col("node").alias("a"), F.col("lead").alias("b")))
+    links = staged(links.unionByName(_verified(alike(apart, "leads"), once, threshold)), "links")
     for turn in range(TURNS):  # members that are still apart meet another member, drawn by a hash
         parts = staged(connected_components(links).withColumnRenamed("id", "node"), "parts")
         placed = staged(buckets.select("key", "node").join(parts, "node", "left")
