@@ -194,35 +194,37 @@ def forecast_bootstrap(df: DataFrame, horizon: int, ds: str = "ds", y: str = "y"
 
 
 # ----------------------------------------------------------- window regressor
-def fit_window_regressor(train: DataFrame, ds: str = "ds", y: str = "y", length: int = 30, by: Sequence[str] = ()):
-    """Next value from the previous ``length`` min-max-scaled values
-    (W5 + M5) with a Spark ML linear regression on the flattened window."""
+def fit_window_regressor(train: DataFrame, ds: str = "ds", y: str = "y", length: int = 30, by: Sequence[str] = (),
+                         features: Sequence[str] = ()):
+    """Next value from the previous ``length`` min-max-scaled values of the
+    target and of ``features`` (W5 + M5) with a Spark ML linear regression on the flattened window."""
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.regression import LinearRegression
 
     from tessera.operators import features as fe
     from tessera.operators import timeseries as ts
-    stats = fe.scale_minmax_fit(train, [y], by)
-    sc = fe.scale_minmax_apply(train, stats, [y], by)
-    seq = ts.sequence_windows(sc, [y], length, y, ds, by)
+    cols = [y, *[c for c in features if c != y]]
+    stats = fe.scale_minmax_fit(train, cols, by)
+    seq = ts.sequence_windows(fe.scale_minmax_apply(train, stats, cols, by), cols, length, y, ds, by)
     data = seq.select(array_to_vector(F.flatten("window")).alias("features"), F.col("label"))
     model = LinearRegression(featuresCol="features", labelCol="label", regParam=1e-4, elasticNetParam=0.0).fit(data)
     return model, stats
 
 
 def predict_window_regressor(model, stats: DataFrame, test: DataFrame, ds: str = "ds", y: str = "y",
-                             length: int = 30, by: Sequence[str] = (), band: float = 0.05) -> DataFrame:
+                             length: int = 30, by: Sequence[str] = (), band: float = 0.05, features: Sequence[str] = ()) -> DataFrame:
     """G6 predict on the test rows: windows come from the test rows themselves,
     so the first ``length`` rows get no prediction; band +/- 5 %."""
     from pyspark.ml.functions import array_to_vector
 
     from tessera.operators import features as fe
     from tessera.operators import timeseries as ts
-    sc = fe.scale_minmax_apply(test, stats, [y], by)
-    seq = ts.sequence_windows(sc, [y], length, y, ds, by)
+    cols = [y, *[c for c in features if c != y]]
+    seq = ts.sequence_windows(fe.scale_minmax_apply(test, stats, cols, by), cols, length, y, ds, by)
     pred = model.transform(seq.withColumn("features", array_to_vector(F.flatten("window"))))
     pred = pred.select(*by, ds, F.col("prediction").alias(y))
-    inv = fe.scale_minmax_apply(pred, stats, [y], by, inverse=True).withColumnRenamed(y, "yhat")
+    own = stats.select(*by, f"{y}__min", f"{y}__max")
+    inv = fe.scale_minmax_apply(pred, own, [y], by, inverse=True).withColumnRenamed(y, "yhat")
     return inv.withColumn("yhat_lower", F.col("yhat") * (1 - band)).withColumn("yhat_upper", F.col("yhat") * (1 + band))
 
 

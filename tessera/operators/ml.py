@@ -31,8 +31,8 @@ def one_hot_stages(cats: Sequence[str]) -> list:
     # one multi-column indexer: a single pass over the data for all columns
     stages = [StringIndexer(inputCols=list(cats), outputCols=[f"{c}__idx" for c in cats], handleInvalid="keep",
                             stringOrderType="alphabetAsc")]
-    stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in cats], outputCols=[f"{c}__oh" for c in cats],
-                                dropLast=True, handleInvalid="keep"))
+    # the indexer's slot for unseen categories is the last, which is the one that is dropped
+    stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in cats], outputCols=[f"{c}__oh" for c in cats], dropLast=True))
     return stages
 
 

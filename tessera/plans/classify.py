@@ -3,6 +3,7 @@ search -> threshold on validation -> test metrics -> explanation."""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,6 +109,27 @@ def leaderboard(spark: SparkSession, d: str, names=("logreg", "rf", "gbt", "mlp"
             .orderBy(F.desc("test_auc"), "model"))
 
 
+def slot_sums(spark: SparkSession, d: str) -> DataFrame:
+    """M6, M7: per split and slot of the feature vector its name, the rows where it is not zero, and its sum."""
+    x = model_data(spark, d)
+    names = F.array(*[F.lit(n) for n in ml.feature_names(x)])
+    each = x.select("split", F.posexplode(vector_to_array("features")).alias("slot", "v"))
+    return each.groupBy("split", "slot").agg(F.sum((F.col("v") != 0).cast("long")).alias("filled"), np_round(F.sum("v"), 4).alias("total")) \
+        .withColumn("name", F.element_at(names, F.col("slot") + 1))
+
+
+def fixed_weight(slot: int) -> float:
+    """The coefficient that the registered attributions give a slot (not a fitted one)."""
+    return round((-1) ** slot * 0.05 * (slot % 7 + 1), 2)
+
+
+def fixed_attributions(spark: SparkSession, d: str) -> DataFrame:
+    """X1 with fixed coefficients: row_id, feature, phi of every test row against the training rows."""
+    x = model_data(spark, d)
+    names = ml.feature_names(x)
+    return xp.linear_shap(x.filter(F.col("split") == "test"), [fixed_weight(k) for k in range(len(names))], x.filter(F.col("split") == "train"), names=names)
+
+
 def explain_linear(spark: SparkSession, d: str, k: int = 5) -> DataFrame:
     """X1 + X3 on the logistic model: attributions for every test row."""
     x = model_data(spark, d)

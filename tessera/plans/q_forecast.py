@@ -67,14 +67,7 @@ register("g03_rolling_origin_cv")(forecasting.rolling_origin)
 register("g03_cutoff_errors")(forecasting.cutoff_errors)
 
 
-def g06(spark, d):
-    x = forecasting.series(spark, d)
-    tr, te = x.filter(F.col("split") == "train"), x.filter(F.col("split") == "test")
-    m, st = fc.fit_window_regressor(tr.select("ds", "y"), "ds", "y", 30)
-    return fc.predict_window_regressor(m, st, te.select("ds", "y"), "ds", "y", 30)
-
-
-register("g06_window_regressor")(g06)
+register("g06_window_regressor")(lambda s, d: forecasting.window_test(forecasting.series(s, d)))
 
 
 def g07(spark, d):
@@ -213,3 +206,42 @@ def g01p(spark, d):
                 yield pa.RecordBatch.from_arrays([pa.array([series] * len(v)), pa.array(np.arange(len(v), dtype=np.int32)), pa.array(v)], names=["series", "i", "v"])
     out = sums.select("series", "b").mapInArrow(listed, "series string, i int, v double")
     return out.select(F.get_json_object("series", "$.series").alias("series"), "i", np_round(F.col("v") / 1e6, 4).alias("value"))
+
+
+# ------------------------------------------ G2, G8 and G10 with fixed coefficients
+def _fixed_sql(rows: str) -> str:
+    """yhat of ``rows`` (ds and the regressors) under the fixed coefficients and the training rows' scales."""
+    terms = _design_sql_terms() + [f"({r} - mu_{r}) / sd_{r}" for r in forecasting.REGRESSORS]
+    yhat = " + ".join(f"{forecasting.fixed_beta(k)!r}::DOUBLE * ({t})" for k, t in enumerate(terms))
+    scales = ", ".join(f"avg({r}) AS mu_{r}, CASE WHEN stddev_samp({r}) IS NULL OR stddev_samp({r}) = 0 THEN 1.0 ELSE stddev_samp({r}) END AS sd_{r}"
+                       for r in forecasting.REGRESSORS)
+    return f"""sc AS (SELECT {scales} FROM train),
+fc AS (SELECT f.*, {yhat} AS yhat FROM {rows} f, sc)
+"""
+
+
+_FUTURE = """t30 AS (SELECT * FROM train ORDER BY "time" DESC LIMIT 30),
+spine AS (SELECT CAST(unnest(generate_series(max("time") + 1, max("time") + 30, INTERVAL 1 DAY)) AS DATE) AS ds FROM train),
+future AS (SELECT ds, CAST(isodow(ds) - 1 >= 5 AS INT) AS is_weekend, """ + ", ".join(
+    f"(SELECT avg({c}) FROM t30) AS {c}" for c in forecasting.WEATHER) + " FROM spine),\n"
+_BAND = f"{fc.Z95!r}::DOUBLE * 1000"
+
+
+@register("g02_fixed_forecast", DF + ", test AS (SELECT *, \"time\" AS ds, total_load_actual AS y FROM dfe WHERE split = 'test'),\n" + _fixed_sql("test")
+          + f"SELECT ds, y, {R('yhat', 4)} AS yhat, {R(f'yhat - {_BAND}', 4)} AS yhat_lower, {R(f'yhat + {_BAND}', 4)} AS yhat_upper FROM fc")
+def g02f(spark, d):
+    out = forecasting.seasonal_test(forecasting.series(spark, d), forecasting.fixed_model)
+    return out.withColumns({c: np_round(c, 4) for c in ("yhat", "yhat_lower", "yhat_upper")})
+
+
+@register("g08_fixed_horizon", DF + "," + _FUTURE + _fixed_sql("future") + f"""SELECT ds AS "Date", {R('yhat', 4)} AS "Predicted_Load_MW",
+  {R(f'yhat - {_BAND}', 4)} AS "Lower_Bound_MW", {R(f'yhat + {_BAND}', 4)} AS "Upper_Bound_MW" FROM fc""")
+def g08f(spark, d):
+    out = forecasting.forecast_horizon(spark, d, 30, forecasting.fixed_model)
+    return out.withColumns({c: np_round(c, 4) for c in ("Predicted_Load_MW", "Lower_Bound_MW", "Upper_Bound_MW")})
+
+
+@register("g10_fixed_overlay", DF + "," + _FUTURE + _fixed_sql("future") + f"""SELECT "time" AS ds, {R('total_load_actual', 4)} AS value, 'actual' AS kind
+FROM (SELECT * FROM train ORDER BY "time" DESC LIMIT 60) UNION ALL SELECT ds, {R('yhat', 4)}, 'forecast' FROM fc""")
+def g10f(spark, d):
+    return forecasting.overlay(spark, d, model=forecasting.fixed_model).withColumn("value", np_round("value", 4))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tessera.functions.hashing import hash_uniform_sql, np_round_sql
+from tessera.functions.hashing import hash_uniform_sql, np_round, np_round_sql
+from tessera.operators import explain as xp
 from tessera.operators import ml
 from tessera.plans import classify, scoring
 from tessera.plans.q_features import ENG_SQL, SPLIT_SQL, U, W
@@ -46,3 +47,23 @@ RAW_SQL = (W + ENG_SQL + "," + SPLIT_SQL.replace("FROM campaign", "FROM eng") +
     + "".join(f" LEFT JOIN i_{c} ON sp.{c} = i_{c}.v" for c in ml.CAT_COLS) + " WHERE split <> 'train'")
 register("t07_score_raw", RAW_SQL)(scoring.batch_scores)
 register("st01_score_raw_stream", RAW_SQL)(scoring.stream_scores)
+
+# M6, M7, X1 and X3 with the slots of the feature vector in SQL: the categories of the training rows in order, then the scaled numbers.
+_CAT_NO = {c: i for i, c in enumerate(ml.CAT_COLS)}
+SLOTS_SQL = (W + ENG_SQL + "," + SPLIT_SQL.replace("FROM campaign", "FROM eng") + ", st AS (SELECT " + ", ".join(
+    f"CASE WHEN stddev_pop(CAST({c} AS DOUBLE)) = 0 THEN 1.0 ELSE stddev_pop(CAST({c} AS DOUBLE)) END AS s_{c}" for c in ml.NUM_COLS) + f" FROM {_TRAIN}),\ndom AS ("
+    + " UNION ALL ".join(f"SELECT DISTINCT {i} AS cat, {c} AS v FROM {_TRAIN}" for c, i in _CAT_NO.items()) + "),\n"
+    + "known AS (SELECT *, row_number() OVER (ORDER BY cat, v) - 1 AS slot FROM dom),\n"
+    + "slots AS (SELECT row_id, split, CAST(slot AS INT) AS slot, (CASE cat " + " ".join(f"WHEN {i} THEN '{c}__oh_'" for c, i in _CAT_NO.items())
+    + " END) || v AS name, CASE WHEN (CASE cat " + " ".join(f"WHEN {i} THEN sp.{c}" for c, i in _CAT_NO.items()) + " END) = v THEN 1.0::DOUBLE ELSE 0.0 END AS x FROM sp, known\n"
+    + "".join(f"UNION ALL SELECT row_id, split, CAST((SELECT count(*) FROM known) + {k} AS INT), '{c}', CAST({c} AS DOUBLE) / s_{c} FROM sp, st\n" for k, c in enumerate(ml.NUM_COLS)) + ")\n")
+_MEANS = (", mean AS (SELECT slot, avg(x) AS m FROM slots WHERE split = 'train' GROUP BY slot), "
+          "phi AS (SELECT row_id, name AS feature, (x - m) * (CASE WHEN s.slot % 2 = 0 THEN 1 ELSE -1 END * 0.05::DOUBLE * (s.slot % 7 + 1)) AS phi "
+          "FROM slots s JOIN mean ON s.slot = mean.slot WHERE split = 'test')\n")
+register("m06_slot_sums", SLOTS_SQL + f"SELECT split, slot, name, count(*) FILTER (WHERE x <> 0) AS filled, {np_round_sql('sum(x)', 4)} AS total FROM slots GROUP BY split, slot, name")(
+    classify.slot_sums)
+register("x01_fixed_attributions", SLOTS_SQL + _MEANS + f"SELECT row_id, feature, {np_round_sql('phi', 6)} AS phi FROM phi")(
+    lambda s, d: classify.fixed_attributions(s, d).withColumn("phi", np_round("phi", 6)))
+register("x03_fixed_importance", SLOTS_SQL + _MEANS + f"""SELECT feature, {np_round_sql('avg(abs(phi))', 6)} AS mean_abs_phi,
+  CAST(row_number() OVER (ORDER BY avg(abs(phi)) DESC, feature) AS INT) AS rank FROM phi GROUP BY feature ORDER BY rank LIMIT 5""")(
+    lambda s, d: xp.global_importance(classify.fixed_attributions(s, d), 5).withColumn("mean_abs_phi", np_round("mean_abs_phi", 6)))

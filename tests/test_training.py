@@ -162,6 +162,8 @@ def test_a_fitted_raw_pipeline_scores_batch_and_stream_alike(spark):
     odd = new.limit(3).withColumns({"row_id": -F.col("row_id"), "segment": F.lit("never seen"), "previous": F.lit(-1).cast(new.schema["previous"].dataType)})
     new.unionByName(odd.withColumn("campaign", F.lit(None).cast("long"))).write.parquet(landing)
     io.save_model(model, folder)
+    unseen = model.transform(odd).select("segment__oh").first()[0]
+    assert unseen.numNonzeros() == 0 and unseen.size == new.select("segment").distinct().count()
     batch = {r.row_id: r.score for r in scoring.score_batch(spark, landing, folder).collect()}
     stream = {r.row_id: r.score for r in scoring.score_arriving(spark, landing, new.schema, folder).collect()}
     assert batch.keys() == stream.keys() and all(batch[k] == stream[k] or batch[k] != batch[k] for k in batch) and len(batch) == new.count() + 3
