@@ -136,7 +136,9 @@ def forest(x: np.ndarray, y: np.ndarray, trees: int, depth: int | None, leaf: in
     edges = edges_of(x, max_bins)
     code = codes_of(x, edges)
     n, d = code.shape
-    m, bins = max(1, int(np.sqrt(d))), int(code.max(initial=0)) + 1
+    m = max(1, int(np.sqrt(d)))
+    size = np.array([len(e) + 1 for e in edges])
+    strides = np.array([s for s in range(1, d + 1) if np.gcd(s, d) == 1])
     grown = []
     for lo in range(0, trees, SIDE_BY_SIDE):
         many = min(SIDE_BY_SIDE, trees - lo)
@@ -151,32 +153,46 @@ def forest(x: np.ndarray, y: np.ndarray, trees: int, depth: int | None, leaf: in
             w_all, p_all = np.bincount(node, weight, k), np.bincount(node, hit, k)
             count = np.bincount(node, minlength=k)
             share = p_all / w_all
-            good = (p_all > 0) & (p_all < w_all) & (count >= 2 * leaf)
+            inner = (p_all > 0) & (p_all < w_all) & (count >= 2 * leaf)
             if depth is not None and level >= depth:
-                good[:] = False
-            columns = np.argpartition(rng.random((k, d)), m - 1, axis=1)[:, :m]
-            at = (node[:, None] * m + np.arange(m)) * bins + code[row[:, None], columns[node]]
-            flat = at.ravel()
-            w, p, c = (np.cumsum(np.bincount(flat, np.repeat(v, m) if v is not None else None, k * m * bins).reshape(k, m, bins), axis=2)
-                       for v in (weight, hit, None))
-            wr, pr, cr = w_all[:, None, None] - w, p_all[:, None, None] - p, count[:, None, None] - c
-            with np.errstate(divide="ignore", invalid="ignore"):
-                purity = (p * p + (w - p) ** 2) / w + (pr * pr + (wr - pr) ** 2) / wr
-            purity[(c < leaf) | (cr < leaf)] = -np.inf
-            purity = purity.reshape(k, m * bins)
-            best = purity.argmax(axis=1)
-            good &= purity[np.arange(k), best] > (p_all ** 2 + (w_all - p_all) ** 2) / w_all + 1e-12
-            column = columns[np.arange(k), best // bins]
+                inner[:] = False
+            column, at_cut, good = np.zeros(k, np.int64), np.zeros(k, np.int64), np.zeros(k, dtype=bool)
+            if inner.any():
+                # only nodes that may split are counted; m columns of each, a step apart round the table
+                place = np.cumsum(inner) - 1
+                live = inner[node]
+                own, r, q = place[node[live]], row[live], int(inner.sum())
+                columns = (rng.integers(0, d, (q, 1)) + strides[rng.integers(0, len(strides), (q, 1))] * np.arange(m)) % d
+                cells = size[columns].ravel()  # bins of every (node, drawn column), one after another
+                begin = np.cumsum(cells) - cells
+                at = (begin.reshape(q, m)[own] + code[r[:, None], columns[own]]).ravel()
+                total = int(cells.sum())
+                of_node = np.repeat(np.arange(q), cells.reshape(q, m).sum(1))
+                left_sums = []
+                for v in (weight[live], hit[live], None):
+                    run = np.cumsum(np.bincount(at, None if v is None else np.repeat(v, m), total))
+                    left_sums.append(run - np.repeat(np.append(0, run)[begin], cells))
+                w, p, c = left_sums
+                wr, pr, cr = w_all[inner][of_node] - w, p_all[inner][of_node] - p, count[inner][of_node] - c
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    purity = (p * p + (w - p) ** 2) / w + (pr * pr + (wr - pr) ** 2) / wr
+                purity[(c < leaf) | (cr < leaf)] = -np.inf
+                starts = begin.reshape(q, m)[:, 0]
+                best = np.maximum.reduceat(purity, starts)
+                top = np.flatnonzero(purity == best[of_node])
+                first = top[np.searchsorted(top, starts)]
+                drawn_at = np.searchsorted(begin, first, side="right") - 1
+                column[inner], at_cut[inner] = columns.ravel()[drawn_at], first - begin[drawn_at]
+                good[inner] = best > ((p_all ** 2 + (w_all - p_all) ** 2) / w_all)[inner] + 1e-12
             born = np.cumsum(good) - good
             feature.append(np.where(good, column, -1).astype(np.int16))
-            cut.append((best % bins).astype(np.uint8))
+            cut.append(at_cut.astype(np.uint8))
             left.append(np.where(good, made + 2 * born, 0).astype(np.int32))
             value.append(share.astype(np.float32))
             made += 2 * int(good.sum())
             goes = good[node]
             row, node, weight, hit = row[goes], node[goes], weight[goes], hit[goes]
-            right = code[row, column[node]] > (best % bins)[node]
-            node = 2 * born[node] + right
+            node = 2 * born[node] + (code[row, column[node]] > at_cut[node])
             level += 1
         grown.append((many, *[np.concatenate(z) for z in (feature, cut, left, value)]))
     return {"kind": "forest", "edges": edges, "trees": trees, "grown": grown}
