@@ -74,6 +74,15 @@ def fold(id_col: Column, n: int) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % n
 
 
+def drawn_share(share, *keys) -> Column:
+    """Rows whose hash of ``keys`` falls into the first ``share`` (a number or column) of its range; as fine as 62 bits, so
+    that a small share of very many rows is not nothing."""
+    at = F.pmod(F.xxhash64(*keys), F.lit(1 << 62))
+    if isinstance(share, Column):
+        return at < share * F.lit(float(1 << 62))
+    return at < F.lit(int(share * (1 << 62)))
+
+
 def label_shares(labels: DataFrame, value: str) -> DataFrame:
     """One row per doc_id with the number of 0 and 1 marks in column ``value``; a repeated doc_id
     therefore never multiplies the documents it is joined to."""

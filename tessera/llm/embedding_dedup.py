@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import connected_components, staged
+from tessera.llm.common import connected_components, drawn_share, staged
 
 LEVELS = 5
 SLOTS = 2 ** LEVELS - 1
@@ -114,7 +114,7 @@ def _forest(vectors: DataFrame, trees: int, leaf_rows: int, sample: int, spill_s
     for _ in range(7):  # 32 ** 7 leaves of a tree
         counts = rows.groupBy("tree", "node").agg(F.count("*").alias("n"))
         sized = rows.join(counts, ["tree", "node"])
-        drawn = F.pmod(F.xxhash64("rid", "tree", "node"), F.lit(1_000_000)) < F.lit(1_000_000.0) * sample / F.col("n")
+        drawn = drawn_share(F.lit(float(sample)) / F.col("n"), "rid", "tree", "node")
         cuts = staged(sized.where((F.col("n") > leaf_rows) & drawn).select("tree", "node", "n", "vec")
                       .groupBy("tree", "node").applyInPandas(fit, "tree int, node long, cut array<double>, pick array<int>")
                       .where(~F.isnan(F.col("cut")[0])), "forest-cuts")

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import text as tx
-from tessera.llm.common import fold, label_shares, staged
+from tessera.llm.common import drawn_share, fold, label_shares, staged
 
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
@@ -170,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(
         fold(F.col("doc_id"), FOLDS) != HELD_OUT)
     share = min(1.0, max_unlabelled / max(rows.count(), 1))
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("unlabelled")), F.lit(1_000_000)) < int(share * 1_000_000)
+    drawn = drawn_share(share, "doc_id", F.lit("unlabelled"))
     # the broadcast side has at most ``max_positives`` rows; a confirmed row that is also drawn counts as both
     both = (rows.join(F.broadcast(confirmed), F.col("doc_id") == F.col("label_id"), "left")
             .select("text", F.array_compact(F.array(F.when(F.col("marked"), F.lit(True)), F.when(drawn, F.lit(False)))).alias("as")))

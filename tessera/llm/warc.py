@@ -37,6 +37,7 @@ from tessera.llm.common import new_folder, staged
 
 BLOCK_LINES = 500
 DATE = "2024-01-01T00:00:00Z"
+BATCH_BYTES, FETCH_BYTES, FETCH_ROWS = 8 << 20, 32 << 20, 2000  # payload of a batch; compressed bytes, and at few bytes rows, of a task that reads back
 
 
 def payload_digest(payload: bytes) -> str:
@@ -303,11 +304,14 @@ def lookup(wanted: DataFrame, index: str, archives: str) -> DataFrame:
                                               pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())],
                                              names=["page_id", "file", "offset", "length"])
 
+    names = ["page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload", "file", "offset"]
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.string(), pa.int64()]
+
     def fetch(batches):
         store, name, f = Store(archives), None, None
+        rows, held = [], 0
         for b in batches:
             r = b.to_pydict()
-            rows = {k: [] for k in ("page_id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload", "file", "offset")}
             for i, file, at, length in zip(r["page_id"], r["file"], r["offset"], r["length"]):
                 if file != name:
                     if f is not None:
@@ -319,16 +323,22 @@ def lookup(wanted: DataFrame, index: str, archives: str) -> DataFrame:
                 digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
                 if fields["X-Page-ID"] != ("" if i is None else str(i)) or kind == "response" and (payload_digest(payload), len(payload)) != (digest, full):
                     raise ValueError(f"{file} at {at} is not the record of page {i}")
-                for k, v in zip(rows, (i, fields["WARC-Target-URI"], kind, int(fields["X-Refers-To-Page"]) if kind == "revisit" else None,
-                                       digest, full, payload, file, at)):
-                    rows[k].append(v)
-            kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.string(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), kinds)], names=list(rows))
+                rows.append((i, fields["WARC-Target-URI"], kind, int(fields["X-Refers-To-Page"]) if kind == "revisit" else None,
+                             digest, full, payload, file, at))
+                held += len(payload) + 200
+                if held >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), kinds)], names=names)
+                    rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), kinds)], names=names)
         if f is not None:
             f.close()
 
     found = staged(wanted.select("url_key", "page_id").repartitionByRange(*key).sortWithinPartitions(*key).mapInArrow(find, found_schema), "found")
-    spread = found.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # the rows are narrow, the records they name are not: tasks are dealt by the bytes to read
+    size = found.agg(F.sum("length").alias("bytes"), F.count("*").alias("n")).first()
+    tasks = max(1, -(-(size["bytes"] or 0) // FETCH_BYTES), min(int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size["n"] // FETCH_ROWS)))
+    spread = found.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return spread.mapInArrow(fetch, "page_id long, url string, record_type string, refers_to long, payload_digest string, "
                                     "payload_bytes long, payload binary, file string, offset long")
 

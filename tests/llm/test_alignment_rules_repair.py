@@ -318,3 +318,29 @@ def test_alignment_of_nothing(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert token_alignment.align_documents(none, A_PATH, B_PATH).count() == 0
     assert token_alignment.overlaps(none, A_PATH, B_PATH).count() == 0
+
+
+# --- shares of very many rows -----------------------------------------------------------------------
+
+def test_a_small_share_is_not_nothing(spark):
+    """What a draw keeps follows the share also where the share of a row is far below a millionth."""
+    from pyspark.sql import functions as F
+
+    from tessera.llm.common import drawn_share
+    rows = spark.range(200_000)
+    for share in (0.0, 0.3, 1.0):
+        for given in (share, F.lit(share)):
+            n = rows.where(drawn_share(given, "id")).count()
+            assert abs(n - share * 200_000) < 2000 and (share not in (0.0, 1.0) or n == share * 200_000)
+    limit = int(1e-9 * (1 << 62))
+    assert 0 < limit and rows.where(drawn_share(1e-9, "id")).count() == rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 62)) < limit).count()
+
+
+def test_reading_back_takes_batches_by_bytes(spark, monkeypatch):
+    from tessera.llm import warc
+    monkeypatch.setattr(warc, "BATCH_BYTES", 3000)
+    monkeypatch.setattr(warc, "FETCH_BYTES", 4000)
+    monkeypatch.setattr(warc, "FETCH_ROWS", 7)
+    rows = [(i, f"http://h{i % 5}.net/{i}", "x" * (i % 13) * 400) for i in range(60)] + [(99, None, None)]
+    got = {r.page_id: (r.payload_bytes, r.record_type) for r in warc.archive_and_read(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {i: n for i, (n, _) in got.items()} == {i: len(h or "") for i, _, h in rows}
