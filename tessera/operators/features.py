@@ -38,6 +38,7 @@ def cut(c, bins: Sequence[float], labels: Sequence[str]) -> Column:
     return expr
 
 
+# Fixed values of the reference: bounds and names of the buckets of days since the last contact.
 PDAYS_BINS = [-1, 0, 3, 10, 999, 1e9]
 PDAYS_LABELS = ["0", "1-3", "4-10", "11-999", "999+"]
 
@@ -99,22 +100,6 @@ def cap_outliers(df: DataFrame, col: str, method: str = "iqr", by: Sequence[str]
     return x.withColumn(col, capped.cast("double")).drop("__q", "__mu", "__sd")
 
 
-def outlier_flags(df: DataFrame, col: str, method: str = "iqr", by: Sequence[str] = ()) -> DataFrame:
-    """Counts of outliers per group (the number the reference prints)."""
-    by = list(by)
-    stats = df.groupBy(*by).agg(
-        F.percentile(col, F.array(F.lit(0.25), F.lit(0.75))).alias("__q"),
-        F.avg(col).alias("__mu"), F.stddev_samp(col).alias("__sd"))
-    x = _attach(df, stats, by)
-    v = F.col(col)
-    if method == "iqr":
-        iqr = F.col("__q")[1] - F.col("__q")[0]
-        out = (v < F.col("__q")[0] - 1.5 * iqr) | (v > F.col("__q")[1] + 1.5 * iqr)
-    else:
-        out = F.abs((v - F.col("__mu")) / F.col("__sd")) > 3
-    return x.groupBy(*by).agg(F.sum(F.coalesce(out, F.lit(False)).cast("int")).cast("bigint").alias("n_outliers"))
-
-
 # ------------------------------------------------------------------ scalers
 def scale_std_fit(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """M4 fit: population std per column; a zero std becomes 1 (left unscaled)."""

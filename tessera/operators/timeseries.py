@@ -257,9 +257,3 @@ def decompose(df: DataFrame, y: str, period: int = 365, order: str = "ds", by: S
     x = x.join(seas, by + ["__ph"])
     return x.withColumn("resid", F.col(y) - F.col("trend") - F.col("seasonal")) \
         .drop("__i", "__ma", "__front", "__back", "__kf", "__nf", "__kb", "__nb", "__det", "__ph")
-
-
-def ordinal_plain(df: DataFrame, order: str, by: Sequence[str] = (), out: str = "position") -> DataFrame:
-    """0-based position in order (row_number - 1) for calendar-bounded
-    tables; use ``ordering.ordinal`` for unbounded groups."""
-    return df.withColumn(out, (F.row_number().over(_w(by, order)) - 1).cast("bigint"))
