@@ -14,8 +14,8 @@ the chunks whose successor ended in another vector, up to a constant, and stops
 the vector differs from the stored one by a constant only.  After ``FIX_PASSES`` passes the conversations
 that still change (their vectors may alternate for ever) run every chunk from the four unit vectors, which
 gives its result for any vector; these are joined from chunk to chunk on narrow rows, and one last run stores
-the true vectors.  The stitched costs then drive the forward trace: every chunk says where it ends from each of the four
-states, the states are joined from chunk to chunk, and each chunk writes its edits from its true state.
+the true vectors.  The stitched costs then drive the forward trace: every chunk says where it ends from each of the
+four states, the states are joined from chunk to chunk, and each chunk writes its edits from its true state.
 
 Rows that must be deleted leave the state alone and cost the same everywhere, so the chunks skip them.
 
@@ -91,8 +91,8 @@ def coded(lines: DataFrame) -> DataFrame:
 
 
 def chunked(rows: DataFrame, bits: int) -> DataFrame:
-    """Chunks of at most 2^bits rows of a conversation: chunk (grows in order), the positions of the rows
-    that may stay and their codes, and whether it is the conversation's last chunk."""
+    """Chunks of at most 2^bits rows of a conversation: chunk (grows in order), and the positions of the rows
+    that may stay with their codes."""
     chunk = F.shiftright("pos", bits)
     live = F.filter("rows", lambda r: r["code"] >= 0)
     cut = (rows.groupBy("conv_id", chunk.alias("chunk")).agg(F.sort_array(F.collect_list(F.struct("pos", "code"))).alias("rows"))

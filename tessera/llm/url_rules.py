@@ -81,7 +81,7 @@ def _sweep(batches):
             yield pa.RecordBatch.from_arrays([b.column(3).take(pa.array(rows, pa.int64())), pa.array(hits, b.schema.field(4).type)], names=["url", "rule"])
 
 
-def open_at(ranges: DataFrame, rules: DataFrame, lengths: list[int]) -> DataFrame:
+def open_at(ranges: DataFrame, lengths: list[int]) -> DataFrame:
     """(part, rule) for the rules that are open at the first key of a range but stand in an earlier one."""
     first = ranges.groupBy("part").agg(F.min("key").alias("first"))
     starts = (first.select("part", "first", F.explode(F.array(*[F.lit(n) for n in lengths])).alias("n"))
@@ -114,7 +114,7 @@ def judge_urls(urls: DataFrame, rules: DataFrame, id_col: str = "page_id", url_c
                              F.lit(None).cast(keyed.schema["url"].dataType).alias("url"), F.struct("host", "path", "verdict").alias("rule"))
         ranges = staged(keyed.unionByName(marks).repartitionByRange("key", "kind", "spread")
                         .withColumn("part", F.spark_partition_id()), "url-ranges")
-        carried = open_at(ranges, ranges, seen.lengths).select(
+        carried = open_at(ranges, seen.lengths).select(
             "part", "key", F.lit(0).alias("kind"), F.lit(None).cast(keyed.schema["url"].dataType).alias("url"), "rule")
         swept = (ranges.select("part", "key", "kind", "url", "rule").unionByName(carried)
                  .repartition("part").sortWithinPartitions("part", "key", "kind"))
