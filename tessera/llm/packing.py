@@ -126,6 +126,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
 
     def cut(batches):
+        tx.release()  # what earlier stages left in this worker
         words = word_cache(tokenizer)
         for whole in batches:
             for batch in tx.steps(whole, "text"):
@@ -144,6 +145,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
                     cols.append(pa.ListArray.from_arrays(pa.array(np.append(lo, len(ids)), type=pa.int32()),
                                                          pa.array(ids.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields])
+        tx.release()
 
     return narrow.mapInArrow(cut, T.StructType(fields))
 

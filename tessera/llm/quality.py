@@ -236,5 +236,6 @@ def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
             yield _by_steps(part, lambda c: pa.array(model.score(statistics(c))), pa.float64())
+        tx.release()
 
     return docs.where(score(F.col(text_col).cast("string")) >= threshold)

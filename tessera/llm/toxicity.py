@@ -84,6 +84,7 @@ class Linear:
         def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for part in parts:
                 yield self.score(part)
+            tx.release()
         return run(text.cast("string"))
 
 
