@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from tessera.operators import allocation as al
 from tessera.operators import neighbors as nb
 
 
@@ -30,3 +31,27 @@ def test_chunks_of_a_neighbour_search_agree_with_one(spark, monkeypatch):
     assert sorted(map(tuple, nb._topk(parts, 4).select("i", "j", "rank", "d2").collect())) == whole
     own = nb._topk(parts.where("fold <> 1"), 4).select("i", "j", "rank", "d2").where("i % 3 <> 1").collect()
     assert sorted(map(tuple, own)) == sorted(map(tuple, nb.knn_join(rows.where("fold <> 1"), "id", "v", 4).collect()))
+
+
+def test_dominated_counts_equal_all_pairs(monkeypatch):
+    r = np.random.default_rng(2)
+    monkeypatch.setattr(al, "DOMINANCE_BOX", 60)
+    for n in (0, 1, 40, 700):
+        a, b, strict = r.integers(0, 8, (n, 4)), r.integers(0, 8, (n // 2 + 1, 4)), [False, False, True, True]
+        assert al.count_dominated(a, b, strict) == sum(int(((x[:2] <= b[:, :2]).all(1) & (x[2:] < b[:, 2:]).all(1)).sum()) for x in a)
+
+
+def test_dominated_pairs_of_many_sides_and_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(al, "DOMINANCE_ROWS", 30)
+    r = np.random.default_rng(3)
+    rows = [(p, i, int(r.integers(0, 20))) for p in (1, 2) for i in range(150)]
+    rows += rows[:40] + [(1, 900, None)]
+    use = [(p, i, k, int(r.integers(0, 9))) for p in (1, 2) for i in range(150) for k in (0, 1) if r.random() < 0.8]
+    items = spark.createDataFrame(rows, "problem int, item long, profit long")
+    cons = spark.createDataFrame(use, "problem int, item long, resource int, amount long")
+    res = spark.createDataFrame([(p, k, f"r{k}", 100) for p in (1, 2) for k in (0, 1)], "problem int, resource int, name string, capacity long")
+    amount = {(p, i, k): a for p, i, k, a in use}
+    got = {x.problem: x.dominated_pairs for x in al.dominated_pairs(items, cons, res).collect()}
+    for p in (1, 2):
+        own = [(i, v, [amount.get((p, i, k), 0) for k in (0, 1)]) for q, i, v in rows if q == p and v is not None]
+        assert got[p] == sum(x[0] < y[0] and x[1] > y[1] and all(s <= t for s, t in zip(x[2], y[2])) for x in own for y in own)
