@@ -55,3 +55,17 @@ def test_dominated_pairs_of_many_sides_and_repeated_rows(spark, monkeypatch):
     for p in (1, 2):
         own = [(i, v, [amount.get((p, i, k), 0) for k in (0, 1)]) for q, i, v in rows if q == p and v is not None]
         assert got[p] == sum(x[0] < y[0] and x[1] > y[1] and all(s <= t for s, t in zip(x[2], y[2])) for x in own for y in own)
+
+
+def test_sampled_attributions_draw_their_orders_once_and_spread(spark, monkeypatch):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+
+    from tessera.operators import explain as xp
+    r = np.random.default_rng(4)
+    rows = spark.createDataFrame([(i, Vectors.dense(r.normal(size=3)), float(i % 2)) for i in range(60)], ["row_id", "features", "label"])
+    model, cut = LogisticRegression(maxIter=5).fit(rows), []
+    keep = xp.checkpoint
+    monkeypatch.setattr(xp, "checkpoint", lambda df: cut.append(df.rdd.getNumPartitions()) or keep(df))
+    phi = xp.sampled_shapley(rows.coalesce(1).limit(20), model, rows, n_perm=3, seed=1)
+    assert phi.count() == 60 and len(cut) == 1 and cut[0] > 1
