@@ -314,47 +314,113 @@ def prefix_greedy(items: DataFrame, consumption: DataFrame, resources: DataFrame
     return sel.select(P, "item")
 
 
+GREEDY_BLOCK = 1 << 17  # items of a problem that one task decides one after another
+
+
+def take_in_order(items: Sequence, copies: Sequence[int], amounts: Sequence[Sequence[int]], capacity: Sequence[int]) -> list[bool]:
+    """The greedy on items in order.  An item listed several times is charged as ``prefix_greedy`` charges it, its
+    listings squared, until the next rejection, and is decided once."""
+    left = list(capacity)
+    charged, used = [0] * len(left), [0] * len(left)
+    gone, now, ended, taken = set(), set(), False, []
+    for item, k, own in zip(items, copies, amounts):
+        taken.append(False)
+        if (k > 1 and item in gone) or any(a > c for a, c in zip(own, left)):
+            continue
+        if not ended and all(u + k * k * a <= c for u, a, c in zip(charged, own, left)):
+            charged = [u + k * k * a for u, a in zip(charged, own)]
+            used = [u + a for u, a in zip(used, own)]
+            taken[-1] = True
+            if k > 1:
+                now.add(item)
+        elif k > 1 and item in now:
+            ended = True  # a listing of it is taken already: the next item is the one that is rejected
+        else:
+            left = [c - u for c, u in zip(left, used)]
+            charged, used, ended = [0] * len(left), [0] * len(left), False
+            gone |= now | ({item} if k > 1 else set())
+            now = set()
+    return taken
+
+
+def greedy_block(todo: DataFrame, consumption: DataFrame, resources: DataFrame, rows: int) -> DataFrame:
+    """(problem, item, taken): the greedy's decisions on the first ``rows`` items of each problem's order."""
+    ranked = ordinal(todo.withColumn("__np", -F.col("profit")), by=[P], order=["__np", "item"],
+                     bucket=F.floor(-F.col("profit") / F.lit(1 << 12)), name="__rank").filter(F.col("__rank") < rows)
+    room = resources.select(P, "resource", F.coalesce("capacity", F.lit((1 << 63) - 1)).alias("capacity"))
+    use = consumption.groupBy(P, "item", "resource").agg(F.sum("amount").alias("amount"))
+    dense = ranked.select(P, "item", "copies", "__rank").join(room, P).join(use, [P, "item", "resource"], "left") \
+        .withColumn("amount", F.coalesce("amount", F.lit(0)).cast("bigint"))
+
+    ship_package(todo.sparkSession)
+
+    def decide(own: pa.Table) -> pa.Table:
+        own = own.sort_by([("__rank", "ascending"), ("resource", "ascending")])
+        m = len(own.column("resource").unique())
+        each = own.take(pa.array(np.arange(0, len(own), m)))
+        amounts = own.column("amount").to_numpy().reshape(-1, m).tolist()
+        taken = take_in_order(each.column("item").to_pylist(), each.column("copies").to_pylist(), amounts, own.column("capacity").to_pylist()[:m])
+        return each.select([P, "item"]).append_column("taken", pa.array(taken, pa.bool_()))
+    return dense.groupBy(P).applyInArrow(decide, todo.select(P, "item", F.lit(True).alias("taken")).schema)
+
+
 def greedy_select(items: DataFrame, consumption: DataFrame, resources: DataFrame,
-                  checkpoint_every: int = 4) -> DataFrame:
+                  checkpoint_every: int = 4, block: int = GREEDY_BLOCK) -> DataFrame:
     """K11 exact: profit-descending greedy, an item is taken when it fits every
     remaining capacity, skipped otherwise.
 
-    Rounds of distributed work, no per-item loop: each round (1) drops items
-    that no longer fit on their own, (2) accepts the longest fitting prefix of
-    the remaining order with ``prefix_greedy``, (3) rejects the first item that
-    does not fit, and (4) lowers the remaining capacities.  Each round decides
-    at least one item, and identical decisions to the sequential greedy follow
-    because capacities only shrink.  The driver holds only the loop state."""
+    Each round (1) drops items that no longer fit on their own, (2) accepts the
+    longest fitting prefix of the remaining order with ``prefix_greedy``, (3)
+    rejects the first item that does not fit, (4) lowers the remaining
+    capacities, (5) drops again, and (6) decides the next ``block`` items of each
+    problem in one bounded task.  So the number of rounds is at most the items over
+    ``block``, whatever the rejections, and identical decisions to the sequential
+    greedy follow because capacities only shrink.  The driver holds only the loop state."""
     from tessera.session import checkpoint
 
     # inputs are rescanned every round: materialize them once (reliable checkpoint)
     res = checkpoint(resources.select(P, "resource", "name", F.col("capacity").cast("bigint").alias("capacity")))
-    todo = items.select(P, "item", "profit")
+    # items without key or profit have no place in the order: they are never taken
+    todo = items.select(P, "item", "profit", F.count(F.lit(1)).over(Window.partitionBy(P, "item")).alias("copies")) \
+        .filter(F.col("item").isNotNull() & F.col("profit").isNotNull())
     cons = checkpoint(consumption.select(P, "item", "resource", "amount"))
+
+    def fitting(left: DataFrame, room: DataFrame) -> DataFrame:
+        too_big = cons.join(left.select(P, "item"), [P, "item"]).join(room, [P, "resource"]) \
+            .filter(F.col("amount") > F.col("capacity")).select(P, "item").distinct()
+        return checkpoint(left.join(too_big, [P, "item"], "left_anti"))
+
+    def lowered(room: DataFrame, taken: DataFrame) -> DataFrame:
+        used = cons.join(taken, [P, "item"]).groupBy(P, "resource").agg(F.sum("amount").alias("__u"))
+        return checkpoint(room.join(used, [P, "resource"], "left").withColumn(
+            "capacity", (F.col("capacity") - F.coalesce("__u", F.lit(0))).cast("bigint")).drop("__u"))
+
     chosen = None
     rnd = 0
     while True:
         # (1) drop items that exceed a remaining capacity on their own
-        too_big = cons.join(todo.select(P, "item"), [P, "item"]).join(res, [P, "resource"]) \
-            .filter(F.col("amount") > F.col("capacity")).select(P, "item").distinct()
-        todo = todo.join(too_big, [P, "item"], "left_anti")
-        todo = checkpoint(todo)
+        todo = fitting(todo, res)
         if todo.isEmpty():
             break
         # (2) accept the longest prefix that fits
-        acc = prefix_greedy(todo, cons.join(todo.select(P, "item"), [P, "item"]), res)
-        acc = checkpoint(acc)
+        acc = checkpoint(prefix_greedy(todo, cons.join(todo.select(P, "item"), [P, "item"]), res))
         # (3) the first item after the prefix does not fit -> reject it
         order = todo.join(acc, [P, "item"], "left_anti")
         first_left = order.groupBy(P).agg(F.max(F.struct(F.col("profit").alias("p"), (-F.col("item")).alias("ni")))
                                             .alias("__f"))
         reject = first_left.select(P, (-F.col("__f.ni")).alias("item"))
         chosen = acc if chosen is None else chosen.unionByName(acc)
-        used = cons.join(acc, [P, "item"]).groupBy(P, "resource").agg(F.sum("amount").alias("__u"))
-        res = res.join(used, [P, "resource"], "left").withColumn(
-            "capacity", (F.col("capacity") - F.coalesce("__u", F.lit(0))).cast("bigint")).drop("__u")
-        res = checkpoint(res)
-        todo = order.join(reject, [P, "item"], "left_anti")
+        # (4), (5) lower the capacities, drop what is too big for them
+        res = lowered(res, acc)
+        todo = fitting(order.join(reject, [P, "item"], "left_anti"), res)
+        if todo.isEmpty():
+            break
+        # (6) the next items of the order, one after another
+        done = checkpoint(greedy_block(todo, cons, res, block))
+        acc = done.filter("taken").select(P, "item")
+        chosen = chosen.unionByName(acc)
+        res = lowered(res, acc)
+        todo = todo.join(done, [P, "item"], "left_anti")
         rnd += 1
         if rnd % checkpoint_every == 0:
             chosen = checkpoint(chosen)
