@@ -7,6 +7,8 @@ import random
 from pyspark.sql import functions as F
 
 from tessera.operators import allocation as al
+from tessera.operators import features as fe
+from tessera.operators import ml
 
 
 def _instance(spark, n: int = 400):
@@ -44,3 +46,25 @@ def test_items_in_order_of_a_block():
     assert al.take_in_order(items, [1] * 5, [[6, 0], [5, 1], [3, 1], [2, 0], [0, 1]], [10, 2]) == [True, False, True, False, True]
     # listed twice: charged four times its amount each until the next rejection, decided once
     assert al.take_in_order([1, 1, 2], [2, 2, 1], [[1], [1], [5]], [9]) == [True, True, False]
+
+
+def test_training_rows_are_dealt_evenly(spark, monkeypatch):
+    monkeypatch.setattr(ml, "LEAST_ROWS", 100)
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 4000, 1, 1).select(F.col("id").alias("row_id"))
+    got = ml.spread(rows)
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == cores and max(sizes) < 2 * min(sizes)  # one partition before
+    assert sorted(r["row_id"] for r in got.collect()) == list(range(4000))
+    few = spark.range(0, 150, 1, 1).select(F.col("id").alias("row_id"))
+    assert ml.spread(few).rdd.getNumPartitions() == 1
+
+
+def test_class_weights_leave_rows_where_they_are(spark):
+    rows = spark.range(0, 2000, 1, 8).select("id", (F.col("id") % 100 == 0).cast("double").alias("label"))
+    got = fe.balanced_weights(rows, "label")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "BroadcastHashJoin" in plan
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) == 250
+    assert {(r["label"], round(r["weight"], 6)) for r in got.select("label", "weight").distinct().collect()} == {(0.0, round(2000 / (2 * 1980), 6)), (1.0, 50.0)}
