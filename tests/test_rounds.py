@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from tessera.operators import allocation as al
 from tessera.operators import features as fe
 from tessera.operators import ml
+from tessera.operators import search as se
+from tessera.session import checkpoint
 
 
 def _instance(spark, n: int = 400):
@@ -68,3 +70,38 @@ def test_class_weights_leave_rows_where_they_are(spark):
     sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == 8 and max(sizes) == 250
     assert {(r["label"], round(r["weight"], 6)) for r in got.select("label", "weight").distinct().collect()} == {(0.0, round(2000 / (2 * 1980), 6)), (1.0, 50.0)}
+
+
+def _population(spark, n: int = 2000):
+    loci = spark.range(0, n, 1, 1).select(F.lit(1).alias("problem"), F.col("id").alias("item"), F.col("id").alias("pos"), F.lit(n).cast("long").alias("n_items"))
+    runs = se.make_runs(loci, [{"pop_size": 7, "crossover_rate": 0.7, "mutation_rate": 0.01}, {"pop_size": 4, "crossover_rate": 0.0, "mutation_rate": 0.01}])
+    return loci, checkpoint(runs)
+
+
+def test_chromosomes_are_drawn_in_many_tasks(spark):
+    loci, runs = _population(spark)
+    pop = se.population_init(runs, loci)
+    sizes = [r["count"] for r in pop.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 3 and sum(sizes) == 11 * 2000  # one task before
+    assert pop.select("run", "chrom", "pos").distinct().count() == 11 * 2000
+
+
+def test_children_are_cut_from_their_parents_in_place(spark):
+    loci, runs = _population(spark)
+    pop = checkpoint(se.population_init(runs, loci).repartition(3, "run", "chrom"))
+    parents = spark.createDataFrame([(f"1:{g}", k, t, (3 * k + t) % (7, 4)[g]) for g, pairs in ((0, 4), (1, 2)) for k in range(pairs) for t in (0, 1)],
+                                    "run string, pair int, slot int, chrom int")
+    kids = se.crossover(pop, parents, runs, 0, 4)
+    assert kids.rdd.getNumPartitions() == 3  # the population was shuffled twice before
+    bits = {(r["run"], r["chrom"], r["pos"]): r["bit"] for r in pop.collect()}
+    draw = parents.select("run", "pair").distinct().select("run", "pair", se.hash_uniform(4, F.lit(0), "run", "pair", F.lit("c")).alias("c"),
+                                                           se.hash_uniform(4, F.lit(0), "run", "pair", F.lit("p")).alias("p")).collect()
+    draw = {(r["run"], r["pair"]): (r["c"], int(r["p"] * 1998) + 1) for r in draw}
+    got = kids.collect()
+    assert len(got) == 11 * 2000 and any(c < 0.7 for (run, _), (c, _) in draw.items() if run == "1:0")
+    for r in got:
+        g, pair = int(r["run"][2:]), r["chrom"] // 2
+        side, (c, point) = r["chrom"] % 2, draw[r["run"], pair]
+        other = c < (0.7, 0.0)[g] and r["pos"] >= point
+        source = (3 * pair + (side ^ other)) % (7, 4)[g]
+        assert r["bit"] == bits[r["run"], source, r["pos"]]
