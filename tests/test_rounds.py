@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tessera.operators import allocation as al
 from tessera.operators import features as fe
 from tessera.operators import ml
 from tessera.operators import search as se
+from tessera.operators import tuning
 from tessera.session import checkpoint
 
 
@@ -105,3 +108,12 @@ def test_children_are_cut_from_their_parents_in_place(spark):
         other = c < (0.7, 0.0)[g] and r["pos"] >= point
         source = (3 * pair + (side ^ other)) % (7, 4)[g]
         assert r["bit"] == bits[r["run"], source, r["pos"]]
+
+
+def test_scored_rows_are_dealt_evenly(spark, monkeypatch):
+    monkeypatch.setattr(ml, "LEAST_ROWS", 100)
+    rows = spark.range(0, 2000, 1, 1).select(F.col("id").alias("row_id"), array_to_vector(F.array(F.col("id") / 1000)).alias("features"))
+    got = tuning.apply(rows, {"kind": "logistic", "weights": np.array([2.0, -1.0])})
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) < 2 * min(sizes)  # one task before
+    assert all(abs(r["score"] - 1 / (1 + np.exp(1 - r["row_id"] / 500))) < 1e-6 for r in got.collect())
