@@ -292,14 +292,37 @@ def _prefix_size(n, threshold: float):
     return np.floor((1 - threshold) * n + 1e-9).astype(np.int64) + 1
 
 
+PARITIES = 1024
+PARITY_WORDS = [f"odd{k}" for k in range(PARITIES // 64)]
+
+
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """Whether an odd number of the distinct ``tokens`` falls into each of ``PARITIES`` bins, as 64-bit words.
+
+    Common tokens of two texts cancel out, so the words differ in at most as many bits as there are tokens
+    that only one of the two has."""
+    bins = tx.mix(tokens.astype(np.uint64)) % np.uint64(PARITIES)
+    return np.packbits((np.bincount(bins.astype(np.int64), minlength=PARITIES) & 1).astype(bool)).view(np.int64)
+
+
+def _may_link(threshold: float) -> F.Column:
+    """Whether the sides ``a`` and ``b`` can share all tokens but the edits that a link allows the longer one;
+    exact, as the parities never count more than what they differ in."""
+    longer = F.greatest("n_a", "n_b")
+    limit = F.floor(F.lit(1 - threshold) * longer + F.lit(1e-9))
+    differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in PARITY_WORDS), F.lit(0))
+    return (longer - F.least("n_a", "n_b") <= limit) & (differ <= F.col("n_a") + F.col("n_b") - 2 * (longer - limit))
+
+
 def rare_meetings(members: DataFrame, shingled: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of members of one lead's buckets that share a token among their first ones; ``members``
-    has lead, node, part (component) and apart (not in the lead's)."""
+    """Pairs (a, b) of members of one lead's buckets that share a token among their first ones and as many
+    tokens as a link needs, by their parities; ``members`` has lead, node, part (component) and apart (not in
+    the lead's)."""
     both = _with_shingles(members.select(F.col("node").alias("a"), F.col("lead").alias("b"), "part", "apart"), shingled)
 
     def own_tokens(batches):
         for batch in batches:
-            tokens, common, size = [], [], []
+            tokens, common, size, long, odd = [], [], [], [], []
             for x, y in _packed_pairs(batch):
                 mine, lead = _occurrences(x), _occurrences(y)
                 own = mine[~np.isin(mine, lead, assume_unique=True)]
@@ -310,12 +333,16 @@ def rare_meetings(members: DataFrame, shingled: DataFrame, threshold: float) ->
                     rest = rest[np.argsort(tx.mix(rest.astype(np.uint64)), kind="stable")[:short]]
                 else:
                     rest = own[:0]
-                tokens.append(own), common.append(rest), size.append(k)
+                tokens.append(own), common.append(rest), size.append(k), long.append(len(mine)), odd.append(parities(mine))
+            words = np.array(odd, dtype=np.int64).reshape(-1, len(PARITY_WORDS))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("b"), batch.column("a"), batch.column("part"), batch.column("apart"), pa.array(size, pa.int64()),
-                 pa.array(tokens, pa.list_(pa.int64())), pa.array(common, pa.list_(pa.int64()))], names=["lead", "node", "part", "apart", "size", "own", "common"])
+                 pa.array(tokens, pa.list_(pa.int64())), pa.array(common, pa.list_(pa.int64())), pa.array(long, pa.int64()),
+                 *[pa.array(words[:, k].copy()) for k in range(len(PARITY_WORDS))]],
+                names=["lead", "node", "part", "apart", "size", "own", "common", "n", *PARITY_WORDS])
         tx.release()
-    schema = "lead long, node long, part long, apart boolean, size long, own array<long>, common array<long>"
+    schema = ("lead long, node long, part long, apart boolean, size long, own array<long>, common array<long>, n long, "
+              + ", ".join(f"{c} long" for c in PARITY_WORDS))
     with batch_bytes(members.sparkSession, ALIGN_BYTES):
         rows = staged(both.select("a", "b", "part", "apart", "x", "y").mapInArrow(own_tokens, schema), "own-tokens")
     narrow = ["lead", "node", "part", "apart"]
@@ -331,10 +358,15 @@ def rare_meetings(members: DataFrame, shingled: DataFrame, threshold: float) ->
     placed = staged(placed, "first-tokens")
     met = placed.groupBy("lead", "token").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max("apart").alias("some"))
     placed = placed.join(met.where("lo < hi AND some").select("lead", "token"), ["lead", "token"], "left_semi")
-    one = placed.where("apart").select("lead", "token", F.col("node").alias("a"), F.col("part").alias("part_a"))
-    two = placed.select("lead", "token", F.col("node").alias("b"), F.col("part").alias("part_b"), F.col("apart").alias("apart_b"))
-    hit = (F.col("part_a") != F.col("part_b")) & (~F.col("apart_b") | (F.col("a") < F.col("b")))
-    return one.join(two, ["lead", "token"]).where(hit).select("a", "b").distinct()
+    # a pair is weighed where it meets: one that cannot link never becomes a row
+    placed = placed.join(rows.select("lead", "node", "n", *PARITY_WORDS), ["lead", "node"])
+
+    def side(mark: str) -> list:
+        return [F.col(c).alias(f"{c}_{mark}") for c in ("part", "apart", "n", *PARITY_WORDS)]
+    one = placed.where("apart").select("lead", "token", F.col("node").alias("a"), *side("a"))
+    two = placed.select("lead", "token", F.col("node").alias("b"), *side("b"))
+    hit = (F.col("part_a") != F.col("part_b")) & (~F.col("apart_b") | (F.col("a") < F.col("b"))) & _may_link(threshold)
+    return one.join(two, ["lead", "token"]).where(hit).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -369,6 +369,32 @@ def test_members_meet_over_a_rare_shingle_if_they_may_link(spark):
     assert not any(max(p) < 120 for p in got)
 
 
+def test_members_that_cannot_link_make_no_pairs(spark):
+    """A group whose members share a frequent shingle that their lead lacks, while most differ from each other too much to link."""
+    r = random.Random(6)
+    base = [r.randrange(1 << 31) for _ in range(150)]
+    texts = {0: [r.randrange(1 << 31) if k % 10 == 0 else x for k, x in enumerate(base)]}
+    for i in range(1, 150):
+        own = set(r.sample(range(150), 12 if i < 120 else 28))
+        texts[i] = [r.randrange(1 << 31) if k in own else x for k, x in enumerate(base)]
+    texts |= {i: [r.randrange(1 << 31) if k % 50 == i % 50 else x for k, x in enumerate(texts[i - 30])] for i in range(150, 180)}
+    members = [(0, i, 0 if i < 120 else i, i >= 120) for i in range(1, 180)]
+    table = spark.createDataFrame([(i, bytearray(np.array(x, "<u4").tobytes())) for i, x in texts.items()], "node long, shingles binary")
+    found = order_minhash.rare_meetings(spark.createDataFrame(members, "lead long, node long, part long, apart boolean"), table, 0.8).collect()
+    got = {(x.a, x.b) for x in found}
+    assert len(got) == len(found) and all(a < b for a, b in got)
+    assert {(i - 30, i) for i in range(150, 180)} <= got and len(got) < 100
+
+
+def test_parities_never_count_more_than_what_two_texts_differ_in():
+    r = random.Random(7)
+    for n in (0, 1, 30, 146, 900, 5000):
+        a = {r.randrange(1 << 40) for _ in range(n)}
+        b = set(r.sample(sorted(a), int(0.8 * len(a)))) | {r.randrange(1 << 40) for _ in range(n // 5)}
+        x, y = (order_minhash.parities(np.array(sorted(t), dtype=np.int64)).view(np.uint64) for t in (a, b))
+        assert np.bitwise_count(x ^ y).sum() <= len(a ^ b) and not (x ^ x).any()
+
+
 def test_recall_of_links_on_planted_near_copies(spark):
     """Pairs within the threshold by a plain edit distance are in one class, others apart, very long texts too."""
     r = random.Random(8)
