@@ -198,6 +198,7 @@ def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
+        tx.release()  # what earlier stages left in this worker
         for whole in batches:
             for batch in tx.steps(whole, "text"):
                 words, first = tx.lower_words(batch.column(1).cast(pa.large_string()))
@@ -218,7 +219,7 @@ def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                                               pa.array(marks.view(np.int64).ravel())),
                      *[pa.array(bits[:, k].view(np.int64)) for k in range(BITS // 64)],
                      packed.cast(pa.binary())], names=["doc_id", "node", "n", "sketch", *WORDS_OF_BITS, "shingles"])
-        tx.release()
+            tx.release()
     words = ", ".join(f"{c} long" for c in WORDS_OF_BITS)
     return narrow.mapInArrow(run, f"doc_id long, node long, n long, sketch array<long>, {words}, shingles binary")
 
@@ -247,7 +248,7 @@ def bucketed(rows: DataFrame, key: str) -> tuple[DataFrame, str]:
     return spark.table(name), name
 
 
-ALIGN_BYTES = 4 << 20  # shingles of pairs in one batch
+ALIGN_BYTES = 4 << 20  # texts, or shingles of pairs, in one batch
 
 
 def _with_shingles(pairs: DataFrame, shingled: DataFrame) -> DataFrame:
@@ -372,7 +373,8 @@ def rare_meetings(members: DataFrame, shingled: DataFrame, threshold: float) ->
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, node and class_node of every row: rows of one class are near copies of each other."""
     spark = docs.sparkSession
-    rows = staged(signed(docs, id_col, text_col), "signed")
+    with batch_bytes(spark, ALIGN_BYTES):
+        rows = staged(signed(docs, id_col, text_col), "signed")
     # one row per different text; copies go before their shingles move, so a group of them sends a row per task
     texts, name = bucketed(rows.where("n > 0").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "sketch", *WORDS_OF_BITS, "shingles")]), "node")
     try:

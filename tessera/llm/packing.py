@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import text as tx
-from tessera.llm.common import staged
+from tessera.llm.common import batch_bytes, staged
 
 SEQ_LEN = 2048
 END_ID = 1
-_CACHES: dict[str, tuple] = {}
+TEXT_BYTES = 4 << 20  # texts in one Arrow batch
 
 
 def word_encoder(path: str):
@@ -40,20 +40,18 @@ def word_encoder(path: str):
     unchanged, so such words go straight to the byte-pair model, a thousand to a call; the model ends
     every word with a token that carries the word-end suffix, which tells them apart again.  Any other
     piece takes the whole tokenizer."""
-    import json
     import unicodedata
 
-    from tokenizers import Tokenizer, models, pre_tokenizers
+    from tokenizers import Tokenizer, pre_tokenizers
     whole = Tokenizer.from_file(path)
-    with open(path, encoding="utf-8") as f:
-        model = json.load(f)["model"]
-    suffix = model["end_of_word_suffix"]
-    words = Tokenizer(models.BPE(vocab=model["vocab"], merges=[tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]],
-                                 end_of_word_suffix=suffix, cache_capacity=0))
+    suffix = whole.model.end_of_word_suffix
+    words = Tokenizer(whole.model)  # the same model in memory, without a normaliser
     words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(),
                                                    pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-    last = np.zeros(max(model["vocab"].values()) + 1, dtype=bool)
-    last[[i for t, i in model["vocab"].items() if t.endswith(suffix)]] = True
+    vocab = whole.get_vocab(with_added_tokens=False)
+    last = np.zeros(max(vocab.values()) + 1, dtype=bool)
+    last[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+    del vocab
 
     def encode(pieces: list[str]) -> list[list[int]]:
         plain = [p.isalpha() and (p.isascii() and p.islower() or p == p.lower() and unicodedata.is_normalized("NFC", p))
@@ -74,11 +72,11 @@ def word_encoder(path: str):
 
 
 def word_cache(path: str):
-    """(tokenizer, cache of its pieces) for ``path``, kept as long as the worker process lives."""
-    if path not in _CACHES:
+    """(tokenizer, cache of its pieces) for ``path``, kept in the worker until another operator's tasks run there."""
+    if path not in tx.HELD:
         whole, encode = word_encoder(path)
-        _CACHES[path] = whole, tx.PieceCache(encode, limit=150_000)
-    return _CACHES[path]
+        tx.HELD[path] = whole, tx.PieceCache(encode, limit=150_000)
+    return tx.HELD[path]
 
 
 _LETTER = tx.byte_table(bytes(range(65, 91)) + bytes(range(97, 123)))
@@ -126,7 +124,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
 
     def cut(batches):
-        tx.release()  # what earlier stages left in this worker
+        tx.release(tokenizer)  # what earlier stages left in this worker
         words = word_cache(tokenizer)
         for whole in batches:
             for batch in tx.steps(whole, "text"):
@@ -145,7 +143,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
                     cols.append(pa.ListArray.from_arrays(pa.array(np.append(lo, len(ids)), type=pa.int32()),
                                                          pa.array(ids.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields])
-        tx.release()
+            tx.release(tokenizer)
 
     return narrow.mapInArrow(cut, T.StructType(fields))
 
@@ -235,7 +233,9 @@ def pack(pieces: DataFrame, seq_len: int = SEQ_LEN, keys: tuple[str, ...] = ("do
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
                    seq_len: int = SEQ_LEN, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, ids_crc32, sequence_id, offset (and ids)."""
-    return pack(staged(tokenized_pieces(docs, tokenizer, id_col, text_col, seq_len, end_id, with_ids), "pieces"), seq_len)
+    with batch_bytes(docs.sparkSession, TEXT_BYTES):
+        pieces = staged(tokenized_pieces(docs, tokenizer, id_col, text_col, seq_len, end_id, with_ids), "pieces")
+    return pack(pieces, seq_len)
 
 
 def sequences(packed: DataFrame, seq_len: int = SEQ_LEN, pad_id: int = 0) -> DataFrame:

@@ -27,10 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import text as tx
-from tessera.llm.common import fold, label_shares, staged
+from tessera.llm.common import batch_bytes, fold, label_shares, staged
 
 THRESHOLD = 0.3
 FOLDS = 5
+TEXT_BYTES = 4 << 20  # texts in one Arrow batch
 
 # character classes: code of each byte
 _CLASSES = {"lower": b"abcdefghijklmnopqrstuvwxyz", "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": b"0123456789",
@@ -116,6 +117,7 @@ def statistics_column(text: Column) -> Column:
     """:func:`statistics` of a text column as an array<double> column."""
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tx.release()  # what earlier stages left in this worker
         for part in parts:
             yield _by_steps(part, lambda c: pa.FixedSizeListArray.from_arrays(
                 pa.array(statistics(c).ravel()), 2 * RATIOS).cast(pa.list_(pa.float64())), pa.list_(pa.float64()))
@@ -200,7 +202,8 @@ def fit_discriminant(sums: list[np.ndarray], ratios: np.ndarray, to_pooled: floa
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and statistics of every whole text, staged."""
-    return staged(docs.select(F.col(id_col).alias("doc_id"), statistics_column(F.col(text_col).cast("string")).alias("x")), "statistics")
+    with batch_bytes(docs.sparkSession, TEXT_BYTES):
+        return staged(docs.select(F.col(id_col).alias("doc_id"), statistics_column(F.col(text_col).cast("string")).alias("x")), "statistics")
 
 
 def train(rows: DataFrame, labels: DataFrame, folds: int = FOLDS) -> Discriminant:

@@ -114,8 +114,15 @@ def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int
     return out
 
 
-def release() -> None:
-    """Give freed memory of this worker back: what one task or stage used is not held while others run."""
+#: What an operator keeps in a worker from task to task, by name.
+HELD: dict[str, object] = {}
+
+
+def release(keep: str | None = None) -> None:
+    """Give freed memory of this worker back, and what operators hold in it under other names than ``keep``: what
+    one task or stage used is not held while others run."""
+    for name in [name for name in HELD if name != keep]:
+        del HELD[name]
     pa.default_memory_pool().release_unused()
     try:
         import ctypes

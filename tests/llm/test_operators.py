@@ -182,6 +182,28 @@ def test_packing_holds_every_id_once(docs, none):
     assert packing.pack_documents(none, WORD_BPE).count() == 0
 
 
+def test_a_worker_holds_one_model_and_gives_it_back_to_other_operators():
+    whole, cache = packing.word_cache(WORD_BPE)
+    assert packing.word_cache(WORD_BPE)[1] is cache
+    tx.release(WORD_BPE)
+    assert packing.word_cache(WORD_BPE)[1] is cache
+    ids, begin = packing.token_ids(pa.array(["plain words, Other Words", None, "plain don't"], pa.large_string()), (whole, cache))
+    texts = ["plain words, Other Words", "", "plain don't"]
+    assert [ids[a:b].tolist() for a, b in zip(begin, begin[1:])] == [whole.encode(x, add_special_tokens=False).ids + [1] for x in texts]
+    tx.release()
+    assert not tx.HELD and packing.word_cache(WORD_BPE)[1] is not cache
+    tx.release()
+
+
+def test_texts_reach_the_tokenizer_in_batches_of_bounded_bytes(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(packing, "staged", lambda df, name: seen.append(
+        int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch"))) or staged(df, name))
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+    assert packing.pack_documents(spark.createDataFrame([(1, "a text")], "doc_id long, text string"), WORD_BPE).count() == 1
+    assert seen[0] == packing.TEXT_BYTES and spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == before
+
+
 def test_histogram_patterns_use_every_length_and_waste_little():
     r = random.Random(3)
     counts = {n: r.randint(1, 50) for n in range(1, 2049)}
